@@ -1,0 +1,55 @@
+"""Tests on the JSON type of a VARIANT column."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+class Value:
+    """One message field as VARIANT, with the questions the coercion rules ask about it.
+
+    SQL NULL means the field is absent; a JSON null is present with type VOID. Every test is
+    false, never NULL, for an absent field.
+    """
+
+    def __init__(self, variant: Column):
+        self.variant = variant
+        self._type = F.coalesce(F.schema_of_variant(variant), F.lit(""))
+
+    @property
+    def absent(self) -> Column:
+        return self.variant.isNull()
+
+    @property
+    def null(self) -> Column:
+        return F.coalesce(F.is_variant_null(self.variant), F.lit(False))
+
+    @property
+    def string(self) -> Column:
+        return self._type == "STRING"
+
+    @property
+    def boolean(self) -> Column:
+        return self._type == "BOOLEAN"
+
+    @property
+    def integer(self) -> Column:
+        return self._type == "BIGINT"
+
+    @property
+    def fraction(self) -> Column:
+        """Written with a point or exponent, or too large for 64 bits."""
+        return (self._type == "DOUBLE") | self._type.startswith("DECIMAL")
+
+    @property
+    def number(self) -> Column:
+        return self.integer | self.fraction
+
+    def get(self, spark_type: str) -> Column:
+        """The value as a Spark type, NULL where Spark cannot convert it."""
+        return F.try_variant_get(self.variant, "$", spark_type)
+
+    @property
+    def text(self) -> Column:
+        return self.get("string")
