@@ -1,0 +1,195 @@
+"""One line per JSON value: what each policy makes of it, X if it rejects the message."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from logscore import Schema, check, valid_rows
+from logscore.functions.coercion import POLICIES
+
+X = "rejected"
+ABSENT = None
+
+# tag -> (JSON text of the value, pydantic, lenient, strict); the field is optional.
+CASES = {
+    "str": [
+        ('"x"', "x", "x", "x"),
+        ('""', "", "", ""),
+        ('"12"', "12", "12", "12"),
+        ('"null"', "null", "null", "null"),
+        ('"NaN"', "NaN", "NaN", "NaN"),
+        ('"a\\n\\u00e9\\"b"', 'a\né"b', 'a\né"b', 'a\né"b'),
+        ("7", X, "7", X),
+        ("-7", X, "-7", X),
+        ("12.0", X, "12", X),
+        ("1.50", X, "1.5", X),
+        ("123456", X, "123456", X),
+        ("1234567", X, "1.234567e+06", X),
+        ("1e21", X, "1e+21", X),
+        ("0.00001", X, "1e-05", X),
+        ("true", X, "true", X),
+        ("false", X, "false", X),
+        ("null", None, "<nil>", X),
+        ('{"a":1}', X, '{"a":1}', X),
+        ("[1,2]", X, "[1,2]", X),
+        (ABSENT, None, None, None),
+    ],
+    "int": [
+        ("5", 5, 5, 5),
+        ("-5", -5, -5, -5),
+        ("0", 0, 0, 0),
+        ("12.0", 12, 12, 12),
+        ("1e3", 1000, 1000, 1000),
+        ("12.5", X, 12, X),
+        ("-12.5", X, -12, X),
+        ("12345678901234567890", X, X, X),
+        ("9007199254740993", 9007199254740993, 9007199254740992, 9007199254740993),
+        ('"5"', 5, 5, X),
+        ('"+5"', 5, 5, X),
+        ('"007"', 7, 7, X),
+        ('" 12 "', 12, X, X),
+        ('"1_000"', 1000, X, X),
+        ('"_1"', X, X, X),
+        ('"12.0"', 12, X, X),
+        ('"12.5"', X, X, X),
+        ('"1e3"', X, X, X),
+        ('"abc"', X, X, X),
+        ('""', X, X, X),
+        ('"12\\n"', 12, X, X),
+        ('"99999999999999999999"', X, X, X),
+        ("true", 1, X, X),
+        ("false", 0, X, X),
+        ("null", None, X, X),
+        ("{}", X, X, X),
+        ("[]", X, X, X),
+        (ABSENT, None, None, None),
+    ],
+    "float": [
+        ("5", 5.0, 5.0, 5.0),
+        ("1.5", 1.5, 1.5, 1.5),
+        ("1e-7", 1e-7, 1e-7, 1e-7),
+        ("0.1", 0.1, 0.1, 0.1),
+        ('"1.5"', 1.5, 1.5, X),
+        ('".5"', 0.5, 0.5, X),
+        ('"5."', 5.0, 5.0, X),
+        ('"1e3"', 1000.0, 1000.0, X),
+        ('" 1.5 "', 1.5, X, X),
+        ('"1_0.5"', 10.5, X, X),
+        ('"inf"', math.inf, math.inf, X),
+        ('"-Infinity"', -math.inf, -math.inf, X),
+        ('"1e999"', math.inf, X, X),
+        ('"1.5d"', X, X, X),
+        ('"abc"', X, X, X),
+        ('""', X, X, X),
+        ("true", 1.0, X, X),
+        ("null", None, X, X),
+        ("{}", X, X, X),
+        (ABSENT, None, None, None),
+    ],
+    "bool": [
+        ("true", True, True, True),
+        ("false", False, False, False),
+        ("1", True, X, X),
+        ("0", False, X, X),
+        ("1.0", True, X, X),
+        ("2", X, X, X),
+        ('"true"', True, True, X),
+        ('"True"', True, True, X),
+        ('"tRUE"', True, X, X),
+        ('"t"', True, True, X),
+        ('"T"', True, True, X),
+        ('"0"', False, False, X),
+        ('"F"', False, False, X),
+        ('"yes"', True, X, X),
+        ('"off"', False, X, X),
+        ('" true"', X, X, X),
+        ('""', X, X, X),
+        ("null", None, X, X),
+        ("[]", X, X, X),
+        (ABSENT, None, None, None),
+    ],
+}
+
+
+def messages(spark, tag):
+    rows = [
+        (i, '{"other":"o"}' if case[0] is ABSENT else f'{{"f":{case[0]},"other":"o"}}')
+        for i, case in enumerate(CASES[tag])
+    ]
+    return spark.createDataFrame(rows, "n int, value string")
+
+
+@pytest.mark.parametrize("tag", CASES)
+@pytest.mark.parametrize("policy", POLICIES)
+def test_optional_field(spark, tag, policy):
+    schema = Schema("one", {"f": tag})
+    flagged = check(messages(spark, tag), schema, policy).collect()
+    got = {r.n: X if r.reject_reason else r.f for r in flagged}
+    column = 1 + POLICIES.index(policy)
+    expected = {i: case[column] for i, case in enumerate(CASES[tag])}
+    assert {i: (CASES[tag][i][0], v) for i, v in got.items()} == {
+        i: (CASES[tag][i][0], v) for i, v in expected.items()
+    }
+    assert {type(v) for v in got.values()} == {type(v) for v in expected.values()}
+
+
+@pytest.mark.parametrize("tag", CASES)
+@pytest.mark.parametrize("policy", POLICIES)
+def test_required_field_differs_only_in_null_and_absent(spark, tag, policy):
+    schema = Schema("one", {"f": tag}, ("f",))
+    valid = valid_rows(messages(spark, tag), schema, policy).collect()
+    column = 1 + POLICIES.index(policy)
+    expected = {
+        i: case[column]
+        for i, case in enumerate(CASES[tag])
+        if case[0] not in (ABSENT, "null") and case[column] is not X
+    }
+    assert {r.n: r.f for r in valid} == expected
+
+
+def test_strict_knows_long_tags_in_any_case_and_unknown_tags_mean_text(spark):
+    rows = [(1, '{"a":1,"b":1.5,"c":true,"d":"t"}')]
+    raw = spark.createDataFrame(rows, "n int, value string")
+    schema = Schema("tags", {"a": "Integer", "b": "NUMBER", "c": "boolean", "d": "uuid"})
+    strict = valid_rows(raw, schema, "strict").collect()
+    assert [(r.a, r.b, r.c, r.d) for r in strict] == [(1, 1.5, True, "t")]
+    # The other policies do not know the long tags and take them for text.
+    lenient = valid_rows(raw, schema, "lenient").collect()
+    assert [(r.a, r.b, r.c, r.d) for r in lenient] == [("1", "1.5", "true", "t")]
+    assert valid_rows(raw, schema, "pydantic").count() == 0
+
+
+UUID = "c4ca4238-a0b9-4382-8dcc-509a6f75849b"
+
+
+@pytest.mark.parametrize(
+    ("text", "accepted"),
+    [
+        (UUID, True),
+        (UUID.upper(), True),
+        (UUID.replace("-", ""), True),
+        ("{" + UUID + "}", True),
+        ("urn:uuid:" + UUID, True),
+        (UUID + "\n", False),
+        (" " + UUID, False),
+        ("{" + UUID, False),
+        (UUID.replace("-4382-", "-1382-"), False),
+        (UUID.replace("-8dcc-", "-7dcc-"), False),
+        ("abc-123", False),
+        ("", False),
+    ],
+)
+def test_event_id(spark, text, accepted):
+    import json
+
+    raw = spark.createDataFrame([(json.dumps({"event_id": text}),)], "value string")
+    # The id is checked whatever its tag.
+    schema = Schema("ids", {"event_id": "int"}, ("event_id",))
+    assert valid_rows(raw, schema).count() == accepted
+    text_schema = Schema("ids", {"event_id": "str"}, ("event_id",))
+    assert valid_rows(raw, text_schema, uuid_check=False).count() == 1
+    assert valid_rows(raw, text_schema, "strict").count() == 1
+    assert valid_rows(raw, text_schema, "strict", uuid_check=True).count() == accepted
+    assert valid_rows(raw, text_schema, "lenient", uuid_check=True).count() == accepted
