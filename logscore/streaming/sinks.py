@@ -33,9 +33,9 @@ def deliver(
     Returns "sent", "dead_letter" or "lost". The dead-letter sink gets the same rows. A batch that
     neither sink takes is logged, or raised with `on_lost="raise"` so that a stream stops and
     starts over from its checkpoint. A retry may repeat rows that the failed attempt had written.
+    Only a failing sink is retried: a batch that cannot be computed raises at once.
     """
-    # Computed once for all attempts.
-    events = events.persist()
+    events = computed(events)
     try:
         error = _try_write(events, write, attempts, first_wait)
         if error is None:
@@ -55,6 +55,19 @@ def deliver(
         events.unpersist()
 
 
+def computed(events: DataFrame) -> DataFrame:
+    """The same rows, computed now and kept, so that later failures are the sink's own."""
+    if events.is_cached:
+        return events
+    events = events.persist()
+    try:
+        events.count()
+    except Exception:
+        events.unpersist()
+        raise
+    return events
+
+
 def _try_write(
     events: DataFrame, write: Write, attempts: int, first_wait: float
 ) -> Exception | None:
@@ -71,8 +84,9 @@ def _try_write(
     return error
 
 
-def broker_writer(servers: str, topic: str, options: Mapping[str, str] | None = None, *,
-                  key: bool = False) -> Write:
+def broker_writer(
+    servers: str, topic: str, options: Mapping[str, str] | None = None, *, key: bool = False
+) -> Write:
     """Writes events to a Kafka topic as JSON; `key` sends the event id as record key."""
 
     def write(events: DataFrame) -> None:

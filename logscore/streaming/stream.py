@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from logscore.operators.envelope import envelope
 from logscore.operators.scoring import Model
 from logscore.operators.validate import check
 from logscore.plans.score import messages_for, score_messages, score_rows
-from logscore.operators.envelope import envelope
 from logscore.schema import Schema
-from logscore.streaming.sinks import Write, deliver
+from logscore.streaming.sinks import Write, computed, deliver
 
 log = logging.getLogger(__name__)
 
@@ -83,21 +83,14 @@ def start_scoring(
 
     def one_batch(messages: DataFrame, batch_id: int) -> None:
         try:
-            events = score_messages(messages, schema, features, model, **settings)
-            if contain_failures:
-                # The model runs here, so that its failure is told from one of the sink.
-                events = events.persist()
-                events.count()
+            events = computed(score_messages(messages, schema, features, model, **settings))
         except Exception:
             if not contain_failures:
                 raise
             log.exception("scoring failed on batch %d, its messages are set aside", batch_id)
             write_failed(messages)
             return
-        try:
-            outcome = deliver(events, write, write_dead_letter, **delivery)
-        finally:
-            events.unpersist()
+        outcome = deliver(events, write, write_dead_letter, **delivery)
         log.info("batch %d: %s", batch_id, outcome)
 
     return (
