@@ -11,13 +11,9 @@ _PLAIN = "[0-9a-fA-F]{12}4[0-9a-fA-F]{3}[89abAB][0-9a-fA-F]{15}"
 UUID4_PATTERN = rf"^(?:{_HYPHENATED}|{_PLAIN}|\{{{_HYPHENATED}\}}|urn:uuid:{_HYPHENATED})\z"
 
 
-def is_uuid4(text: Column) -> Column:
-    return F.coalesce(text.rlike(UUID4_PATTERN), F.lit(False))
-
-
 def uniform_of(text: Column) -> Column:
     """A number in [0, 1) that depends on the text alone: 32 bits of its MD5."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
 def uuid_of(text: Column) -> Column:

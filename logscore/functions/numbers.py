@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from logscore.functions.sql import text
 
 # Rewrites from Spark's text of a DOUBLE to the `%g` form with the fewest digits,
-# which goes over to exponents below 1e-4 and from 1e6 up. At most one of the first three applies.
+# which goes over to exponents below 1e-4 and from 1e6 up.
 _REWRITES = (
     # 1234567.5 -> 1.2345675e+06
     (r"^(-?\d)(\d{6})\.(\d+)\z", "$1.$2$3e+06"),
@@ -27,20 +26,19 @@ _REWRITES = (
 )
 
 
-def shortest_float_text(number: Column) -> Column:
+def shortest_float_text(number: str) -> str:
     """A DOUBLE with the fewest digits: 12.0 gives `12`, 1234567.0 `1.234567e+06`, 1e-5 `1e-05`.
 
     Runs inside `transform`, which is evaluated only where it is asked for and keeps these rarely
     used steps out of the generated code of the rows around it.
     """
+    rewritten = reduce(
+        lambda value, step: f"regexp_replace({value}, {text(step[0])}, {text(step[1])})",
+        _REWRITES,
+        "CAST(number AS STRING)",
+    )
+    return f"get(transform(array({number}), number -> {rewritten}), 0)"
 
-    def rewritten(value: Column) -> Column:
-        return reduce(
-            lambda text, step: F.regexp_replace(text, *step), _REWRITES, value.cast("string")
-        )
 
-    return F.get(F.transform(F.array(number), rewritten), F.lit(0))
-
-
-def finite(number: Column) -> Column:
-    return F.coalesce(~F.isnan(number) & (F.abs(number) < float("inf")), F.lit(False))
+def finite(number: str) -> str:
+    return f"coalesce(NOT isnan({number}) AND abs({number}) < double('infinity'), false)"

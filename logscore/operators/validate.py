@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscore.functions.coercion import POLICIES, coerce
+from logscore.functions.sql import name, text
 from logscore.operators.decode import as_text, decode, decode_problem
 from logscore.schema import TAG_TYPES, Schema
 
@@ -24,22 +23,18 @@ def _decode(raw: DataFrame, schema: Schema, policy: str) -> DataFrame:
     )
 
 
-def _field(column: str) -> Column:
-    return F.col("message").getField(column)
-
-
 def _rules(
     schema: Schema, policy: str, uuid_check: bool | None
-) -> tuple[list[tuple[Column, str]], dict[str, Column]]:
+) -> tuple[list[tuple[str, str]], dict[str, str]]:
     """Ordered (condition to hold, reason if it does not), and the typed value of each field."""
     if uuid_check is None:
         uuid_check = policy == "pydantic"
     rules = []
     for column in schema.required:
-        v = _field(column)
-        present = v.isNotNull()
+        variant = f"message.{name(column)}"
+        present = f"{variant} IS NOT NULL"
         if policy != "strict" or column in schema.fields:
-            present = present & ~F.coalesce(F.is_variant_null(v), F.lit(False))
+            present += f" AND NOT is_variant_null({variant})"
         rules.append((present, f"missing required field: {column}"))
     values = {}
     for column in schema.fields:
@@ -48,18 +43,19 @@ def _rules(
         # The field named event_id is an id whatever its tag says.
         tag = "str" if uuid else tag
         ok, value = coerce(
-            _field(column), tag, policy, required=column in schema.required, uuid=uuid
+            f"message.{name(column)}", tag, policy, required=column in schema.required, uuid=uuid
         )
         expected = "a version-4 UUID" if uuid else tag
         rules.append((ok, f"field {column}: not acceptable as {expected}"))
-        values[column] = value.cast(TAG_TYPES[tag])
+        values[column] = f"CAST({value} AS {TAG_TYPES[tag]})"
     return rules, values
 
 
-def _first_failing(schema: Schema, policy: str, rules: list[tuple[Column, str]]) -> Column:
+def _first_failing(policy: str, rules: list[tuple[str, str]]) -> Column:
+    cases = " ".join(f"WHEN NOT ({ok}) THEN {text(reason)}" for ok, reason in rules)
     return F.coalesce(
         decode_problem(F.col("is_object"), non_finite=policy == "pydantic"),
-        *(F.when(~ok, F.lit(reason)) for ok, reason in rules),
+        F.expr(f"CASE {cases} END") if cases else F.lit(None),
     )
 
 
@@ -78,9 +74,12 @@ def check(
         return _not_found(raw, schema)
     rules, values = _rules(schema, policy, uuid_check)
     judged = _decode(raw, schema, policy).withColumn(
-        "reject_reason", _first_failing(schema, policy, rules)
+        "reject_reason", _first_failing(policy, rules)
     )
-    typed = [F.when(F.col("reject_reason").isNull(), v).alias(c) for c, v in values.items()]
+    typed = [
+        F.expr(f"CASE WHEN reject_reason IS NULL THEN {value} END").alias(column)
+        for column, value in values.items()
+    ]
     kept = [F.col(c) for c in raw.columns if c not in schema.fields]
     return judged.select(*kept, *typed, "reject_reason")
 
@@ -103,10 +102,11 @@ def valid_rows(
         return _not_found(raw, schema).where(F.lit(False)).select(*kept)
     rules, values = _rules(schema, policy, uuid_check)
     decoded = _decode(raw, schema, policy)
-    valid = reduce(lambda a, b: a & b, (ok for ok, _ in rules), F.col("is_object"))
+    valid = " AND ".join(["is_object", *(f"({ok})" for ok, _ in rules)])
     if keep_raw:
         kept.append(F.try_parse_json("value").alias("raw"))
-    return decoded.where(valid).select(*kept, *(v.alias(c) for c, v in values.items()))
+    typed = [F.expr(value).alias(column) for column, value in values.items()]
+    return decoded.where(valid).select(*kept, *typed)
 
 
 def rejected_rows(
@@ -118,7 +118,7 @@ def rejected_rows(
     rules, _ = _rules(schema, policy, uuid_check)
     return (
         _decode(raw, schema, policy)
-        .withColumn("reject_reason", _first_failing(schema, policy, rules))
+        .withColumn("reject_reason", _first_failing(policy, rules))
         .where(F.col("reject_reason").isNotNull())
         .select(*raw.columns, "reject_reason")
     )
