@@ -10,7 +10,7 @@ from logscore.plans.score import score_messages
 from logscore.schema import EXFIL, LOGIN, Schema, find_schema, load_schemas
 from logscore.session import configure
 from logscore.streaming.sinks import deliver
-from logscore.streaming.stream import score_stream, start_scoring
+from logscore.streaming.stream import start_scoring
 
 __all__ = [
     "EXFIL",
@@ -28,7 +28,6 @@ __all__ = [
     "login_anomaly_pandas",
     "rejected_rows",
     "score_messages",
-    "score_stream",
     "sink_records",
     "start_scoring",
     "valid_rows",

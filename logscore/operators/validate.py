@@ -91,11 +91,12 @@ def valid_rows(
     *,
     uuid_check: bool | None = None,
     keep_raw: bool = False,
+    counters: str | None = None,
 ) -> DataFrame:
     """The valid messages as typed rows, with the columns of `raw` other than `value`.
 
     Fields the schema does not name are dropped; `keep_raw` keeps the whole message as the VARIANT
-    column `raw`.
+    column `raw`. `counters` names observed metrics: messages `fetched`, and `dropped` as invalid.
     """
     kept = [F.col(c) for c in raw.columns if c != "value" and c not in schema.fields]
     if not schema.found:
@@ -105,6 +106,13 @@ def valid_rows(
     valid = " AND ".join(["is_object", *(f"({ok})" for ok, _ in rules)])
     if keep_raw:
         kept.append(F.try_parse_json("value").alias("raw"))
+    if counters:
+        decoded = decoded.withColumn("_valid", F.expr(valid)).observe(
+            counters,
+            F.count(F.lit(1)).alias("fetched"),
+            F.count_if(~F.col("_valid")).alias("dropped"),
+        )
+        valid = "_valid"
     typed = [F.expr(value).alias(column) for column, value in values.items()]
     return decoded.where(valid).select(*kept, *typed)
 

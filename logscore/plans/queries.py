@@ -30,7 +30,6 @@ from logscore.schema import EXFIL, LOGIN, Schema, find_schema
 from logscore.session import configure, scratch_folder
 from logscore.sources.raw import stream_messages
 from logscore.sources.tables import raw_exfil, raw_login, user_features
-from logscore.streaming.stream import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +270,7 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     raw_login(spark, folder).select("value").write.text(messages)
     stream = stream_messages(spark, "text", {"maxFilesPerTrigger": "1000"}, messages)
     features = user_features(spark, folder)
-    events = score_stream(stream, LOGIN, features, LoginAnomaly(), as_of=AS_OF)
+    events = score_messages(stream, LOGIN, features, LoginAnomaly(), as_of=AS_OF)
     query = (
         events.writeStream.format("parquet")
         .option("path", sent)

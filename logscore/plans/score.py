@@ -60,14 +60,22 @@ def score_messages(
     zone: str = "utc",
     as_of: str | None = None,
     salt: int = 1,
+    counters: bool = False,
 ) -> DataFrame:
     """Decode, validate, look up, score, keep what reaches the threshold, wrap.
 
     `raw` has the JSON text in `value` and may be a stream. `key` names the columns that tell one
     message from another (for a broker: topic, partition, offset) where `event_id` does not.
-    `carry` names columns of `raw` to keep beside the event, such as a batch id.
+    `carry` names columns of `raw` to keep beside the event, such as a batch id. `counters` adds
+    observed metrics, which a stream reports with its progress: `messages` (fetched, dropped) and
+    `events` (produced).
     """
-    valid = valid_rows(raw, schema, policy, uuid_check=uuid_check)
+    valid = valid_rows(
+        raw, schema, policy, uuid_check=uuid_check, counters="messages" if counters else None
+    )
     rows = messages_for(valid, model, key=key, carry=carry)
     scored = score_rows(rows, features, model, unknown_users=unknown_users, salt=salt)
-    return envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
+    events = envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
+    if counters:
+        events = events.observe("events", F.count(F.lit(1)).alias("produced"))
+    return events

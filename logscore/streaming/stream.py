@@ -1,4 +1,4 @@
-"""The same plan over a stream."""
+"""A stream of messages to the sinks."""
 
 from __future__ import annotations
 
@@ -7,52 +7,16 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logscore.operators.envelope import envelope
 from logscore.operators.scoring import Model
-from logscore.operators.validate import check
-from logscore.plans.score import messages_for, score_messages, score_rows
+from logscore.plans.score import score_messages
 from logscore.schema import Schema
 from logscore.streaming.sinks import Write, computed, deliver
 
 log = logging.getLogger(__name__)
 
 
-def score_stream(
-    raw: DataFrame,
-    schema: Schema,
-    features: DataFrame,
-    model: Model,
-    *,
-    policy: str = "pydantic",
-    uuid_check: bool | None = None,
-    unknown_users: str = "score",
-    key: tuple[str, ...] = ("event_id",),
-    carry: tuple[str, ...] = (),
-    ids: str = "stable",
-    zone: str = "utc",
-    as_of: str | None = None,
-    salt: int = 1,
-) -> DataFrame:
-    """`score_messages` with counters of the messages fetched and dropped and the events produced.
-
-    The counters appear as `messages` and `events` in the observed metrics of each progress report.
-    Without them, `score_messages` takes a stream just as well.
-    """
-    flagged = check(raw, schema, policy, uuid_check=uuid_check).observe(
-        "messages",
-        F.count(F.lit(1)).alias("fetched"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("dropped"),
-    )
-    valid = flagged.where(F.col("reject_reason").isNull())
-    rows = messages_for(valid.drop("value", "reject_reason"), model, key=key, carry=carry)
-    scored = score_rows(rows, features, model, unknown_users=unknown_users, salt=salt)
-    events = envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
-    return events.observe("events", F.count(F.lit(1)).alias("produced"))
-
-
 def start_scoring(
     raw: DataFrame,
     schema: Schema,
@@ -72,30 +36,38 @@ def start_scoring(
 
     Delivery is at least once; with stable ids a replayed batch sends the same events again.
     `options` go to `score_messages`, `delivery` to `deliver`, `trigger` to the stream writer
-    (one micro-batch per second by default; `{"availableNow": True}` for a backfill).
+    (one micro-batch per second by default; `{"availableNow": True}` for a backfill). A sink that
+    Spark itself writes exactly once, such as a Parquet folder, needs none of this: give
+    `score_messages` the stream and write the result.
 
     A batch the model fails on stops the stream. `contain_failures` instead hands its messages to
     `write_failed` and goes on; without that sink they would be lost, so it must be given.
     """
-    if contain_failures and write_failed is None:
-        raise ValueError("contain_failures needs write_failed, the sink for failed batches")
-    settings, delivery = dict(options or {}), dict(delivery or {})
+    options, delivery = dict(options or {}), dict(delivery or {})
 
-    def one_batch(messages: DataFrame, batch_id: int) -> None:
+    def send(events: DataFrame, batch_id: int) -> None:
+        outcome = deliver(events, write, write_dead_letter, **delivery)
+        log.info("batch %d: %s", batch_id, outcome)
+
+    def score_and_send(messages: DataFrame, batch_id: int) -> None:
         try:
-            events = computed(score_messages(messages, schema, features, model, **settings))
+            events = computed(score_messages(messages, schema, features, model, **options))
         except Exception:
-            if not contain_failures:
-                raise
             log.exception("scoring failed on batch %d, its messages are set aside", batch_id)
             write_failed(messages)
             return
-        outcome = deliver(events, write, write_dead_letter, **delivery)
-        log.info("batch %d: %s", batch_id, outcome)
+        send(events, batch_id)
 
+    if contain_failures:
+        # Scored batch by batch, so that the messages of a failed batch are at hand.
+        if write_failed is None:
+            raise ValueError("contain_failures needs write_failed, the sink for failed batches")
+        writer = raw.writeStream.foreachBatch(score_and_send)
+    else:
+        events = score_messages(raw, schema, features, model, **{"counters": True, **options})
+        writer = events.writeStream.foreachBatch(send)
     return (
-        raw.writeStream.foreachBatch(one_batch)
-        .option("checkpointLocation", checkpoint)
+        writer.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )

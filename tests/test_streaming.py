@@ -3,8 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from logscore import LOGIN, LoginAnomaly, PandasModel, deliver, score_messages, score_stream
-from logscore import start_scoring
+from logscore import LOGIN, LoginAnomaly, PandasModel, deliver, score_messages, start_scoring
 from logscore.plans.queries import flat_events
 from logscore.sources.raw import broker_options, read_messages, stream_messages
 from logscore.sources.tables import raw_login, user_features
@@ -19,6 +18,17 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
+def counted(query):
+    """Batches, messages fetched and dropped, and events produced, by the progress reports."""
+    metrics = [p.observedMetrics for p in query.recentProgress if p.observedMetrics]
+    return (
+        len(metrics),
+        sum(m["messages"].fetched for m in metrics),
+        sum(m["messages"].dropped for m in metrics),
+        sum(m["events"].produced for m in metrics),
+    )
+
+
 @pytest.fixture(scope="module")
 def features(spark):
     return user_features(spark, FOLDER)
@@ -49,8 +59,8 @@ def batch_events(spark, features):
 
 
 def test_stream_into_a_table_equals_the_batch(spark, messages, features, batch_events, tmp_path):
-    events = score_stream(
-        stream_of(spark, messages), LOGIN, features, LoginAnomaly(), as_of=AS_OF
+    events = score_messages(
+        stream_of(spark, messages), LOGIN, features, LoginAnomaly(), as_of=AS_OF, counters=True
     )
     query = (
         events.writeStream.format("parquet")
@@ -61,12 +71,7 @@ def test_stream_into_a_table_equals_the_batch(spark, messages, features, batch_e
     )
     query.awaitTermination()
     assert rows(flat_events(spark.read.parquet(str(tmp_path / "out")))) == batch_events
-    # The progress reports count what came in, what was dropped and what went out.
-    metrics = [p.observedMetrics for p in query.recentProgress if p.observedMetrics]
-    assert len(metrics) == 3
-    assert sum(m["messages"].fetched for m in metrics) == 1000
-    assert sum(m["messages"].dropped for m in metrics) == 90
-    assert sum(m["events"].produced for m in metrics) == len(batch_events)
+    assert counted(query) == (3, 1000, 90, len(batch_events))
 
 
 def start(spark, raw, features, model, tmp_path, **changes):
@@ -87,7 +92,9 @@ def test_stream_through_the_sinks_equals_the_batch(
     spark, messages, features, batch_events, tmp_path, salt
 ):
     options = {"as_of": AS_OF, "salt": salt}
-    start(spark, stream_of(spark, messages), features, LoginAnomaly(), tmp_path, options=options)
+    raw = stream_of(spark, messages)
+    query = start(spark, raw, features, LoginAnomaly(), tmp_path, options=options)
+    assert counted(query) == (3, 1000, 90, len(batch_events))
     assert rows(flat_events(spark.read.parquet(str(tmp_path / "out")))) == batch_events
 
 
