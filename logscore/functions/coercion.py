@@ -40,14 +40,14 @@ class Value:
 
     def __init__(self, variant: str):
         self.variant = variant
-        kind = f"coalesce(schema_of_variant({variant}), '')"
+        kind = f"schema_of_variant({variant})"
         self.absent = f"{variant} IS NULL"
-        self.null = f"coalesce(is_variant_null({variant}), false)"
-        self.string = f"{kind} = 'STRING'"
-        self.boolean = f"{kind} = 'BOOLEAN'"
-        self.integer = f"{kind} = 'BIGINT'"
+        self.null = f"is_variant_null({variant})"
+        self.string = f"{kind} <=> 'STRING'"
+        self.boolean = f"{kind} <=> 'BOOLEAN'"
+        self.integer = f"{kind} <=> 'BIGINT'"
         # Written with a point or exponent, or too large for 64 bits.
-        self.fraction = f"({kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL'))"
+        self.fraction = f"coalesce({kind} RLIKE '^(DOUBLE|DECIMAL)', false)"
         self.number = f"({self.integer} OR {self.fraction})"
         self.text = self.get("string")
 

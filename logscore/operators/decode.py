@@ -8,14 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Stands behind the message inside the parsed text, so that anything left over after the message
-# is noticed: without it the parser stops at the closing brace and takes `{"a": 1} rest` as good.
-_END = "logscore-end-of-message"
-_OPTIONS = {
-    "columnNameOfCorruptRecord": "_corrupt",
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
+from logscore.functions.sql import text
+
+# A last member put into every message, so that anything left over behind the message is noticed:
+# without it the parser stops at the closing brace and takes `{"a": 1} rest` as good.
+_END_KEY, _END = "logscore:end", "of message"
+_CORRUPT_KEY = "logscore:corrupt"
+# JSON white space, as the characters that TRIM removes.
+_SPACE = r"' \t\r\n'"
+
+
+def _options(non_finite: bool) -> dict[str, str]:
+    return {
+        "columnNameOfCorruptRecord": _CORRUPT_KEY,
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": str(non_finite).lower(),
+    }
 
 
 def once(df: DataFrame, expression: Column, name: str) -> DataFrame:
@@ -34,6 +42,24 @@ def as_text(raw: DataFrame) -> DataFrame:
     return raw
 
 
+def _with_members(raw: DataFrame) -> DataFrame:
+    """Add `_members`, an object's text up to its closing brace; NULL if it does not end in one."""
+    trimmed = f"CASE WHEN endswith(value, '}}') THEN value ELSE trim(TRAILING {_SPACE} FROM value) END"
+    text = raw.withColumn("_text", F.expr(trimmed))
+    # Cut as bytes, which need no counting of characters.
+    members = "CAST(substring(CAST(_text AS BINARY), 1, octet_length(_text) - 1) AS STRING)"
+    return text.withColumn(
+        "_members", F.expr(f"CASE WHEN endswith(_text, '}}') THEN {members} END")
+    ).drop("_text")
+
+
+def _with_end_member() -> Column:
+    """The object's text with a last member added, which an empty object takes without a comma."""
+    empty = r"NOT endswith(_members, '\"') AND _members RLIKE r'\{[ \t\r\n]*\z'"
+    end = text(f'"{_END_KEY}":"{_END}"}}')
+    return F.expr(f"concat(_members, CASE WHEN {empty} THEN '' ELSE ',' END, {end})")
+
+
 def decode(
     raw: DataFrame,
     columns: Sequence[str],
@@ -48,49 +74,40 @@ def decode(
     column is absent, a VARIANT null if it is JSON null. Only the wanted columns are built; of a
     key given twice the last one counts. `message` is meant only where `is_object` is true.
     """
-    options = dict(_OPTIONS, allowNonNumericNumbers=str(non_finite).lower())
-    fields = [T.StructField(c, T.VariantType()) for c in columns]
-    corrupt = T.StructField("_corrupt", T.StringType())
+    if trailing_text not in ("reject", "ignore"):
+        raise ValueError(f"trailing_text must be reject or ignore, not {trailing_text!r}")
+    whole = trailing_text == "reject"
     raw = as_text(raw)
+    schema = T.StructType([T.StructField(c, T.VariantType()) for c in columns])
+    schema.add(_END_KEY, T.StringType()).add(_CORRUPT_KEY, T.StringType())
+    parsed = F.from_json(
+        _with_end_member() if whole else F.col("value"), schema, _options(non_finite)
+    )
 
-    if trailing_text == "ignore":
-        schema = T.StructType([*fields, corrupt])
-        parsed = once(raw, F.from_json("value", schema, options), "_parsed")
-        # Blank text parses to NULL, which has no corrupt part either.
-        is_object = F.col("_parsed").isNotNull() & F.col("_parsed._corrupt").isNull()
-        message = F.col("_parsed")
-    elif trailing_text == "reject":
-        element = T.StructType([*fields, T.StructField("_end", T.StringType())])
-        schema = T.StructType([T.StructField("_message", T.ArrayType(element)), corrupt])
-        text = F.concat(
-            F.lit('{"_message":['), F.col("value"), F.lit(',{"_end":"' + _END + '"}]}')
-        )
-        parsed = once(raw, F.from_json(text, schema, options), "_parsed")
-        elements = F.col("_parsed._message")
-        is_object = (
-            F.col("_parsed._corrupt").isNull()
-            & (F.size(elements) == 2)
-            & F.coalesce(F.get(elements, F.lit(1))["_end"] == _END, F.lit(False))
-            & F.get(elements, F.lit(0)).isNotNull()
-        )
-        message = F.get(elements, F.lit(0))
+    # Fields come out of the generator as columns of their own, so that each is unpacked once.
+    fields = [f"_field{n}" for n in range(len(columns))]
+    texts = _with_members(raw) if whole else raw
+    rows = texts.select("*", F.inline(F.array(parsed)).alias(*fields, "_end", "_corrupt"))
+    is_object = "_corrupt IS NULL AND "
+    if whole:
+        is_object += f"coalesce(_end = '{_END}', false)"
     else:
-        raise ValueError(f"trailing_text must be reject or ignore, not {trailing_text!r}")
-
-    is_object = F.coalesce(is_object, F.lit(False))
+        # Blank text and the text `null` parse to nothing at all.
+        is_object += f"coalesce(startswith(trim(LEADING {_SPACE} FROM value), '{{'), false)"
     if check_utf8:
-        is_object = is_object & F.coalesce(F.is_valid_utf8("value"), F.lit(False))
-    return parsed.select(
-        *raw.columns, is_object.alias("is_object"), message.alias("message")
+        is_object += " AND is_valid_utf8(value)"
+    message = F.struct(*(F.col(f).alias(c) for f, c in zip(fields, columns, strict=True)))
+    return rows.select(
+        *raw.columns,
+        F.expr(is_object).alias("is_object"),
+        message.alias("message"),
     )
 
 
-def is_json(value: Column | None = None, *, non_finite: bool = False) -> Column:
-    """Whether text is one whole JSON value of any kind, a plain number or `null` included."""
-    value = F.col("value") if value is None else value
-    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": str(non_finite).lower()}
+def is_json(*, non_finite: bool = False) -> Column:
+    """Whether `value` is one whole JSON value of any kind, a plain number or `null` included."""
     listed = F.from_json(
-        F.concat(F.lit("["), value, F.lit(',"' + _END + '"]')), "array<string>", options
+        F.concat(F.lit("["), "value", F.lit(f',"{_END}"]')), "array<string>", _options(non_finite)
     )
     whole = (F.size(listed) == 2) & (F.get(listed, F.lit(1)) == _END)
     return F.coalesce(whole, F.lit(False))

@@ -56,6 +56,30 @@ def test_texts(spark, policy, column):
     assert valid == {case[0] for case in TEXTS if case[column] is None}
 
 
+def test_empty_objects_and_odd_ends(spark):
+    texts = {
+        "{}": True,
+        " { } ": True,
+        "{\n\t}\r\n": True,
+        "{}}": False,
+        "{{}": False,
+        "{},{}": False,
+        '{"b":{}': False,
+        '{"b":"}': False,
+        '{"b":"{}': False,
+        '{"b":"\\}': False,
+        '{"b":"é}"}': True,
+        '{"b":"{"}': True,
+        '{"b":{}}': True,
+        '{"b":[]} ': True,
+        "}": False,
+    }
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    schema = Schema("b", {"b": "str"})
+    got = {r.value: r.reject_reason is None for r in check(raw, schema, "lenient").collect()}
+    assert got == texts
+
+
 def test_is_json(spark):
     rows = [(n, case[0]) for n, case in enumerate(TEXTS)]
     raw = spark.createDataFrame(rows, "n int, value string")

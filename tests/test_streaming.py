@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,7 +164,8 @@ def test_dead_letter_after_the_last_attempt(events):
 
 def test_waits_double(events, monkeypatch):
     waits = []
-    monkeypatch.setattr("time.sleep", waits.append)
+    # Only here: threads of finished streams sleep too.
+    monkeypatch.setattr("logscore.streaming.sinks.time", SimpleNamespace(sleep=waits.append))
     deliver(events, Sink(9), Sink())
     assert waits == [0.1, 0.2]
 
