@@ -33,6 +33,9 @@ def envelope(
     `ids="stable"` derives the id from model and message, so a replayed message gives the same
     event again; "random" makes a new one each time.
     """
+    taken = sorted({*EVENT_COLUMNS, "source_event_id"}.intersection(carry))
+    if taken:
+        raise ValueError(f"an event has columns of these names, rename the carried ones: {taken}")
     name = model_name(model_id)
     if ids == "stable":
         new_id = uuid_of(F.concat(name, F.lit(":"), F.col("source_event_id")))

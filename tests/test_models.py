@@ -182,6 +182,12 @@ def test_messages_told_apart_by_their_place(spark, features):
     assert len({e.event_id for e in events}) == 3 and len({e.score for e in events}) == 3
 
 
+def test_carried_columns_must_not_be_the_events_own(spark, features):
+    messages = raw(spark, message(1, "abc")).withColumn("timestamp", F.current_timestamp())
+    with pytest.raises(ValueError, match="timestamp"):
+        score_messages(messages, LOGIN, features, LoginAnomaly(), carry=("timestamp",))
+
+
 @pytest.mark.parametrize(
     ("zone", "pattern"),
     [

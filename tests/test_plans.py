@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from logscore import LOGIN, LoginAnomaly, check, login_anomaly_pandas, score_messages
+from logscore import (
+    EXFIL,
+    LOGIN,
+    LoginAnomaly,
+    check,
+    login_anomaly_pandas,
+    rejected_rows,
+    score_messages,
+    valid_rows,
+)
 from logscore.plans.queries import flat_events
 from logscore.sources.features import read_features
 from logscore.sources.tables import raw_login, user_features
@@ -148,3 +158,21 @@ def test_batch_counts_are_summed_before_the_shuffle(spark, stored):
     shuffle = plan.index("Exchange hashpartitioning(batch_id")
     assert "partial_count" in plan[shuffle:]
     assert "partial_count" not in plan[:shuffle]
+
+
+@pytest.mark.parametrize("policy", ["pydantic", "lenient", "strict"])
+def test_generated_methods_stay_small_enough_to_be_compiled(spark, stored, policy):
+    """The JVM only interprets methods above 8,000 bytes."""
+    raw, _ = stored
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        for df in (
+            valid_rows(raw, LOGIN, policy),
+            valid_rows(raw, EXFIL, policy),
+            check(raw, LOGIN, policy),
+            rejected_rows(raw, LOGIN, policy),
+            events(stored, policy=policy),
+            events(stored, policy=policy, unknown_users="skip", counters=True),
+        ):
+            explain = spark._jvm.PythonSQLUtils.explainString(query(df), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", explain)]
+            assert max(sizes, default=0) < 8000
