@@ -59,6 +59,10 @@ def _first_failing(policy: str, rules: list[tuple[str, str]]) -> Column:
     )
 
 
+def _all_hold(rules: list[tuple[str, str]]) -> str:
+    return " AND ".join(["is_object", *(f"({ok})" for ok, _ in rules)])
+
+
 def _not_found(raw: DataFrame, schema: Schema) -> DataFrame:
     return as_text(raw).withColumn("reject_reason", F.lit(f"schema not found: {schema.name}"))
 
@@ -103,7 +107,7 @@ def valid_rows(
         return _not_found(raw, schema).where(F.lit(False)).select(*kept)
     rules, values = _rules(schema, policy, uuid_check)
     decoded = _decode(raw, schema, policy)
-    valid = " AND ".join(["is_object", *(f"({ok})" for ok, _ in rules)])
+    valid = _all_hold(rules)
     if keep_raw:
         kept.append(F.try_parse_json("value").alias("raw"))
     if counters:
@@ -124,12 +128,8 @@ def rejected_rows(
     if not schema.found:
         return _not_found(raw, schema)
     rules, _ = _rules(schema, policy, uuid_check)
-    return (
-        _decode(raw, schema, policy)
-        .withColumn("reject_reason", _first_failing(policy, rules))
-        .where(F.col("reject_reason").isNotNull())
-        .select(*raw.columns, "reject_reason")
-    )
+    rejected = _decode(raw, schema, policy).where(f"NOT ({_all_hold(rules)})")
+    return rejected.select(*raw.columns, _first_failing(policy, rules).alias("reject_reason"))
 
 
 def batch_counts(flagged: DataFrame, produced: Column | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscore.operators.envelope import envelope
@@ -17,11 +17,20 @@ from logscore.schema import Schema
 def messages_for(
     valid: DataFrame, model: Model, *, key: Sequence[str] = ("event_id",), carry: Sequence[str] = ()
 ) -> DataFrame:
-    """What a model needs of the valid rows: its inputs, the message's identity, carried columns."""
-    parts = [F.col(c).cast("string") for c in key]
+    """What a model needs of the valid rows: its inputs, the message's identity, carried columns.
+
+    An input the schema does not have is NULL.
+    """
+
+    def column(name: str) -> Column:
+        if name in valid.columns:
+            return F.col(name)
+        return F.lit(None).cast("string").alias(name)
+
+    parts = [column(c).cast("string") for c in key]
     identity = parts[0] if len(parts) == 1 else F.concat_ws(":", *parts)
     wanted = valid.columns if model.inputs is None else model.inputs
-    inputs = [c for c in wanted if c in valid.columns and c not in carry]
+    inputs = [column(c) for c in wanted if c not in carry]
     return valid.select(*inputs, *carry, identity.alias("source_event_id"))
 
 
@@ -70,6 +79,9 @@ def score_messages(
     observed metrics, which a stream reports with its progress: `messages` (fetched, dropped) and
     `events` (produced).
     """
+    unknown = [c for c in key if c not in (*schema.fields, *raw.columns)]
+    if schema.found and unknown:
+        raise ValueError(f"key columns that neither the schema nor the messages have: {unknown}")
     valid = valid_rows(
         raw, schema, policy, uuid_check=uuid_check, counters="messages" if counters else None
     )

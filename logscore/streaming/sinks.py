@@ -35,6 +35,7 @@ def deliver(
     starts over from its checkpoint. A retry may repeat rows that the failed attempt had written.
     Only a failing sink is retried: a batch that cannot be computed raises at once.
     """
+    kept_by_caller = events.is_cached
     events = computed(events)
     try:
         error = _try_write(events, write, attempts, first_wait)
@@ -52,7 +53,8 @@ def deliver(
             raise error
         return "lost"
     finally:
-        events.unpersist()
+        if not kept_by_caller:
+            events.unpersist()
 
 
 def computed(events: DataFrame) -> DataFrame:

@@ -56,7 +56,10 @@ def start_scoring(
             log.exception("scoring failed on batch %d, its messages are set aside", batch_id)
             write_failed(messages)
             return
-        send(events, batch_id)
+        try:
+            send(events, batch_id)
+        finally:
+            events.unpersist()
 
     if contain_failures:
         # Scored batch by batch, so that the messages of a failed batch are at hand.

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from logscore import (
+    EXFIL,
     LOGIN,
     LoginAnomaly,
     PandasModel,
+    find_schema,
     login_anomaly_pandas,
     score_messages,
     sink_records,
@@ -182,6 +184,30 @@ def test_messages_told_apart_by_their_place(spark, features):
     assert len({e.event_id for e in events}) == 3 and len({e.score for e in events}) == 3
 
 
+@pytest.mark.parametrize("make", MODELS.values(), ids=MODELS)
+def test_login_rule_over_another_schema(spark, features, make):
+    upload = message(1, "def", file_size=5, destination="host-1")
+    events = score_messages(raw(spark, upload), EXFIL, features, make(threshold=0.0)).collect()
+    assert [(e.user_id, e.data.ip_address, e.data.user_agent, e.data.reason) for e in events] == [
+        ("def", "10.0.0.1", None, "high_risk_ip")
+    ]
+    assert events[0].data.country_code is None
+
+
+@pytest.mark.parametrize("make", MODELS.values(), ids=MODELS)
+def test_unknown_schema_makes_no_events(spark, features, make):
+    messages = raw(spark, message(1, "abc"))
+    events = score_messages(messages, find_schema({}, "none"), features, make(threshold=0.0))
+    assert events.count() == 0
+    known = score_messages(messages, LOGIN, features, make(threshold=0.0))
+    assert events.schema.names == known.schema.names
+
+
+def test_key_must_exist(spark, features):
+    with pytest.raises(ValueError, match="offset"):
+        score_messages(raw(spark, message(1, "abc")), LOGIN, features, LoginAnomaly(), key=("offset",))
+
+
 def test_carried_columns_must_not_be_the_events_own(spark, features):
     messages = raw(spark, message(1, "abc")).withColumn("timestamp", F.current_timestamp())
     with pytest.raises(ValueError, match="timestamp"):

@@ -189,6 +189,14 @@ def test_events_are_computed_once_for_all_attempts(spark):
     assert len(seen) == 4 and all(s == seen[0] for s in seen)
 
 
+def test_only_its_own_cache_is_dropped(spark):
+    kept, plain = spark.range(2).persist(), spark.range(3)
+    deliver(kept, Sink())
+    deliver(plain, Sink())
+    assert kept.is_cached and not plain.is_cached
+    kept.unpersist()
+
+
 def test_a_batch_that_cannot_be_computed_is_no_matter_of_the_sinks(spark):
     broken = spark.range(3).select(F.raise_error(F.lit("broken")).alias("e"))
     main, dead = Sink(), Sink()
