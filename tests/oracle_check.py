@@ -43,7 +43,7 @@ def main() -> None:
     from tests.conftest import new_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(queries())
+    wanted = sys.argv[2:] or list(oracle_sql())
     spark, db = new_session(), connect(folder)
     for name in wanted:
         start = time.time()
