@@ -39,5 +39,36 @@ FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 
+DECONTAMINATE = rf"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark
+), windows AS (
+    SELECT item_id, least(len(w), 13) AS size,
+        unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2),
+            lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS words
+    FROM items WHERE len(w) > 0
+), places AS (
+    SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS i, w
+    FROM worded, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), hits AS (
+    SELECT doc_id, item_id, i, size
+    FROM (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS words FROM places)
+    JOIN windows USING (size, words)
+), covered AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": NEAR_DUPLICATES}
+    return {"op6_near_duplicates": NEAR_DUPLICATES, "op7_decontaminate": DECONTAMINATE}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logscore.llm import decontaminate
 from logscore.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,11 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return decontaminate.digest(decontaminate.scan(docs, benchmark))
+
+
 def queries() -> dict[str, Query]:
-    found = (op6_near_duplicates,)
+    found = (op6_near_duplicates, op7_decontaminate)
     return {query.__name__: query for query in found}

@@ -195,3 +195,30 @@ def by_run(
                 yield work(run)
 
     return apply
+
+
+class HashIndex:
+    """Finds which of many hashes are in a given set; most are turned away by one bit."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        size = max(16, int(len(self.hashes) * 64).bit_length())
+        self._mask = np.uint64((1 << size) - 1)
+        self._bits = np.zeros(1 << size, dtype=bool)
+        self._bits[self.hashes & self._mask] = True
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where in `hashes` a member stands."""
+        maybe = np.flatnonzero(self._bits[hashes & self._mask])
+        if not len(maybe):
+            return maybe
+        found = np.searchsorted(self.hashes, hashes[maybe])
+        found[found == len(self.hashes)] = 0
+        return maybe[self.hashes[found] == hashes[maybe]]
+
+
+def counts_by_text(words: Words, marked: np.ndarray) -> np.ndarray:
+    """How many words of each text are marked."""
+    sums = np.zeros(len(marked) + 1, dtype=np.int64)
+    np.cumsum(marked, out=sums[1:])
+    return sums[words.first[1:]] - sums[words.first[:-1]]
