@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate
+from logscore.llm import decontaminate, language
+from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +18,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.fit(language.learning_rows(docs.where(~language.held_out())))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -25,6 +34,10 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, benchmark))
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op6_near_duplicates, op7_decontaminate)
+    found = (op2_language, op6_near_duplicates, op7_decontaminate, op10_licenses)
     return {query.__name__: query for query in found}
