@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language
+from logscore.llm import decontaminate, language, pieces
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
@@ -34,10 +35,15 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, benchmark))
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_language, op6_near_duplicates, op7_decontaminate, op10_licenses)
+    found = (op2_language, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
     return {query.__name__: query for query in found}
