@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language, pieces
+from logscore.llm import decontaminate, language, pieces, token_store
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
@@ -26,6 +26,12 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_store(store, docs.select("doc_id"))
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -45,5 +51,5 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_language, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
+    found = (op2_language, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
     return {query.__name__: query for query in found}
