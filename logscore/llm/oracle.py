@@ -7,6 +7,27 @@ _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Base32 of a SHA-1 in hex: five hex digits are a 20-bit number, four letters.
+_BASE32 = """
+    array_to_string(list_transform(range(0, 32), lambda k: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST(('0x' || substr(sha, 1 + 5 * (k // 4), 5))::INT // (32 ** (3 - k % 4))::INT
+            % 32 AS INT), 1)), '')
+"""
+
+WARC = f"""
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS sha
+    FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY sha, n) AS first FROM payloads
+)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to, 1 AS n_requests
+FROM firsts
+"""
+
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents
@@ -71,4 +92,8 @@ FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": NEAR_DUPLICATES, "op7_decontaminate": DECONTAMINATE}
+    return {
+        "op1_warc": WARC,
+        "op6_near_duplicates": NEAR_DUPLICATES,
+        "op7_decontaminate": DECONTAMINATE,
+    }

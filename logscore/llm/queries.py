@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language, pieces, token_store
+from logscore.llm import decontaminate, language, pieces, token_store, warc
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
@@ -19,6 +19,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.write_pages(_table(spark, folder, "pages"))
+    captures = warc.assemble(warc.read_records(spark, archive))
+    fields = F.try_element_at("metadata", F.lit(1))["payload"]
+    return captures.select(
+        warc.field(fields, "page-id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.field(fields, "refers-to-page-id").cast("bigint").alias("refers_to"),
+        F.size("requests").cast("bigint").alias("n_requests"),
+    )
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = language.fit(language.learning_rows(docs.where(~language.held_out())))
@@ -51,5 +65,5 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_language, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
+    found = (op1_warc, op2_language, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
     return {query.__name__: query for query in found}
