@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from logscore.llm import quality
+
 # Separators of the two kinds of words.
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -28,6 +30,68 @@ SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
 FROM firsts
 """
 
+COUNTED = rf"""
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM (
+        SELECT doc_id, lang, source, text, 0 AS text_key, len(w) AS n_words,
+            length(array_to_string(w, '')) AS word_chars,
+            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+            coalesce(repeated, 0) AS n_repeat_words
+        FROM (
+            SELECT *, regexp_extract_all(text, '{_SPACED}') AS w,
+                list_filter(string_split(text, chr(10)),
+                    lambda x: regexp_matches(x, '{_SPACED}')) AS l
+            FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents)
+        ) LEFT JOIN (
+            SELECT doc_id, count(DISTINCT k) AS repeated
+            FROM (
+                SELECT doc_id, unnest(range(i, i + 3)) AS k
+                FROM (
+                    SELECT *, count(*) OVER (PARTITION BY doc_id, a) AS times
+                    FROM (
+                        SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS a
+                        FROM (
+                            SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM (
+                                SELECT doc_id,
+                                    regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w
+                                FROM documents)
+                        )
+                    )
+                ) WHERE times > 1
+            ) GROUP BY doc_id
+        ) USING (doc_id)
+    )
+"""
+
+
+def _quality() -> str:
+    """The statements of the operator one after the other, over counts of this engine's own."""
+    names = {"counted": "counted", "groups": "groups", "rows": "stats", "centres": "centres"}
+    parts = [
+        ("counted", COUNTED),
+        ("groups", quality.GROUPS.format(**names)),
+        ("stats", quality.ROWS.format(**names)),
+        ("centres", quality.CENTRES.format(**names)),
+        ("estimates0", quality.STARTS.format(**names)),
+    ]
+    for step in range(quality.STEPS):
+        distance = quality.DISTANCE if step else quality.FIRST_DISTANCE
+        names |= {"estimates": f"estimates{step}", "cuts": f"cuts{step}"}
+        parts.append((f"cuts{step}", quality.cuts(distance).format(**names)))
+        parts.append((f"estimates{step + 1}", quality.estimates(distance).format(**names)))
+    names |= {"estimates": f"estimates{quality.STEPS}", "best": "best"}
+    parts.append(("best", quality.BEST.format(**names)))
+    parts.append(("outliers", quality.OUTLIERS.format(**names)))
+    tables = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in parts)
+    return f"""
+WITH {tables}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outliers) AS kept
+FROM counted
+"""
+
+
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents
@@ -94,6 +158,7 @@ FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": WARC,
+        "op3_quality": _quality(),
         "op6_near_duplicates": NEAR_DUPLICATES,
         "op7_decontaminate": DECONTAMINATE,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language, pieces, token_store, warc
+from logscore.llm import decontaminate, language, pieces, quality, token_store, warc
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
@@ -40,6 +40,10 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.verdicts(_table(spark, folder, "documents"))
+
+
 def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -65,5 +69,5 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_warc, op2_language, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
+    found = (op1_warc, op2_language, op3_quality, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
     return {query.__name__: query for query in found}
