@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language, pieces, quality, token_store, warc
+from logscore.llm import decontaminate, language, pieces, quality, token_store, toxicity, warc
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
 
@@ -64,10 +64,27 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.fit(toxicity.learning_rows(docs.where(~language.held_out()), labels))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_warc, op2_language, op3_quality, op5_token_store, op6_near_duplicates, op7_decontaminate, op8_pieces, op10_licenses)
+    found = (
+        op1_warc,
+        op2_language,
+        op3_quality,
+        op5_token_store,
+        op6_near_duplicates,
+        op7_decontaminate,
+        op8_pieces,
+        op9_toxicity,
+        op10_licenses,
+    )
     return {query.__name__: query for query in found}
