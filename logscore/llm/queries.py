@@ -8,9 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscore.llm import decontaminate, language, pieces, quality, token_store, toxicity, warc
+import corpus_pipeline
+from logscore.llm import (
+    decontaminate,
+    language,
+    pieces,
+    quality,
+    token_store,
+    toxicity,
+    warc,
+    wrappers,
+)
 from logscore.llm.licenses import scan_licenses
 from logscore.llm.near_dedup import near_duplicates
+from logscore.llm.stored import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +55,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(_table(spark, folder, "documents"))
 
 
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return wrappers.extract_main_text(pages, stored(wrappers.induce_wrappers(pages), "wrappers"))
+
+
 def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -80,6 +96,7 @@ def queries() -> dict[str, Query]:
         op1_warc,
         op2_language,
         op3_quality,
+        op4_main_text,
         op5_token_store,
         op6_near_duplicates,
         op7_decontaminate,
@@ -87,4 +104,4 @@ def queries() -> dict[str, Query]:
         op9_toxicity,
         op10_licenses,
     )
-    return {query.__name__: query for query in found}
+    return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
