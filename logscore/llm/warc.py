@@ -217,7 +217,7 @@ def _unzipped(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     left = content
     while left:
         member = zlib.decompressobj(wbits=31)
-        while left and not member.eof:
+        while not member.eof:
             piece = member.decompress(left, step)
             left = member.unconsumed_tail if not member.eof else member.unused_data
             if piece:

@@ -396,7 +396,8 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
     def down(node: Node, shape: Shape) -> None:
         if shape is target:
             content.append(node)
-            return
+            if node is not root:
+                return
         kids = kids_of(node)
         runs: list[list[Node]] = []
         for kid in kids:
