@@ -54,6 +54,25 @@ def score_rows(
     return model.process(known)
 
 
+def score_valid(
+    valid: DataFrame,
+    features: DataFrame,
+    model: Model,
+    *,
+    unknown_users: str = "score",
+    key: Sequence[str] = ("event_id",),
+    carry: Sequence[str] = (),
+    ids: str = "stable",
+    zone: str = "utc",
+    as_of: str | None = None,
+    salt: int = 1,
+) -> DataFrame:
+    """The part of `score_messages` behind validation, for rows of `valid_rows` or `check`."""
+    rows = messages_for(valid, model, key=key, carry=carry)
+    scored = score_rows(rows, features, model, unknown_users=unknown_users, salt=salt)
+    return envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
+
+
 def score_messages(
     raw: DataFrame,
     schema: Schema,
@@ -85,9 +104,18 @@ def score_messages(
     valid = valid_rows(
         raw, schema, policy, uuid_check=uuid_check, counters="messages" if counters else None
     )
-    rows = messages_for(valid, model, key=key, carry=carry)
-    scored = score_rows(rows, features, model, unknown_users=unknown_users, salt=salt)
-    events = envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
+    events = score_valid(
+        valid,
+        features,
+        model,
+        unknown_users=unknown_users,
+        key=key,
+        carry=carry,
+        ids=ids,
+        zone=zone,
+        as_of=as_of,
+        salt=salt,
+    )
     if counters:
         events = events.observe("events", F.count(F.lit(1)).alias("produced"))
     return events

@@ -1,22 +1,37 @@
-"""Sending a batch of events: retries, then the dead-letter sink."""
+"""Sending a batch of events: retries, then only what is refused to the dead-letter sink."""
 
 from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logscore.operators.envelope import sink_records
 
 log = logging.getLogger(__name__)
 
-Write = Callable[[DataFrame], None]
-
 # Attempts per send and the first wait in seconds, doubled after each failure.
 ATTEMPTS = 3
 FIRST_WAIT = 0.1
+#: Parts that a refused batch, and each refused part of it, is cut into.
+PARTS = 16
+#: Writes that may go into finding the events a sink refuses.
+SEARCH_WRITES = 500
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Which rows a writer gets: the micro-batch's id (None outside of streams) and the part of it."""
+
+    id: int | None = None
+    part: str = "all"
+
+
+Write = Callable[[DataFrame, Batch], None]
 
 
 def deliver(
@@ -24,28 +39,52 @@ def deliver(
     write: Write,
     write_dead_letter: Write | None = None,
     *,
+    batch_id: int | None = None,
     attempts: int = ATTEMPTS,
     first_wait: float = FIRST_WAIT,
-    on_lost: str = "log",
+    on_lost: str = "raise",
+    part_by: str = "event_id",
+    repeatable: bool = False,
 ) -> str:
-    """Write a batch, again after a wait if that fails, and at last to the dead-letter sink.
+    """Write a batch, again after a wait if that fails, and at last only what is refused elsewhere.
+
+    After the last attempt the batch is cut into parts by a hash of `part_by`, refused parts again,
+    down to single events; those still refused go to the dead-letter sink. A sink that refuses every
+    part of the first cut is down, and the batch goes there whole. So does what is left when
+    `SEARCH_WRITES` are used up.
 
-    Returns "sent", "dead_letter" or "lost". The dead-letter sink gets the same rows. A batch that
-    neither sink takes is logged, or raised with `on_lost="raise"` so that a stream stops and
-    starts over from its checkpoint. A retry may repeat rows that the failed attempt had written.
-    Only a failing sink is retried: a batch that cannot be computed raises at once.
+    Returns "sent", "dead_letter" (some or all of it) or "lost". What neither sink takes raises, so
+    that a stream stops and starts over from its checkpoint; `on_lost="log"` only logs it. A retry
+    may repeat rows that a failed attempt had written.
+
+    The batch is computed first and kept for all attempts. With `repeatable=True`, for rows that
+    come out the same when computed again, it is written at once and computed and kept only after a
+    failure. A batch that cannot be computed raises and is no matter of the sinks.
     """
+    if on_lost not in ("raise", "log"):
+        raise ValueError(f"on_lost must be raise or log, not {on_lost!r}")
+    batch = Batch(batch_id)
     kept_by_caller = events.is_cached
+    tried = 0
+    if repeatable and not kept_by_caller:
+        if _try_write(events, write, batch, 1) is None:
+            return "sent"
+        tried = 1
+        time.sleep(first_wait)
     events = computed(events)
     try:
-        error = _try_write(events, write, attempts, first_wait)
+        wait = first_wait * 2**tried
+        error = _try_write(events, write, batch, attempts - tried, wait)
         if error is None:
             return "sent"
         log.error("all %d attempts failed", attempts)
         if write_dead_letter is not None:
             try:
-                write_dead_letter(events)
-                return "dead_letter"
+                refused = _refused(events, write, batch, part_by)
+                if refused is not None:
+                    write_dead_letter(refused, replace(batch, part="refused"))
+                    return "dead_letter"
+                return "sent"
             except Exception as dead_letter_error:
                 error = dead_letter_error
                 log.exception("the dead-letter sink failed too")
@@ -71,12 +110,12 @@ def computed(events: DataFrame) -> DataFrame:
 
 
 def _try_write(
-    events: DataFrame, write: Write, attempts: int, first_wait: float
+    events: DataFrame, write: Write, batch: Batch, attempts: int, first_wait: float = 0.0
 ) -> Exception | None:
     error: Exception | None = None
     for attempt in range(attempts):
         try:
-            write(events)
+            write(events, batch)
             return None
         except Exception as failure:
             error = failure
@@ -86,12 +125,51 @@ def _try_write(
     return error
 
 
+def _refused(events: DataFrame, write: Write, batch: Batch, part_by: str) -> DataFrame | None:
+    """Send what the sink takes, in ever smaller parts; returns the rest, None if nothing is left."""
+    if part_by not in events.columns:
+        return events
+    place = F.xxhash64(F.col(part_by))
+
+    def parts(name: str, rows: DataFrame, level: int) -> Iterator[tuple[str, DataFrame, int]]:
+        digit = F.pmod(F.shiftright(place, 4 * level), F.lit(PARTS))
+        for i in range(PARTS):
+            yield f"{name}{i:x}", rows.where(digit == i), level + 1
+
+    first = [part for part in parts("", events, 0) if not part[1].isEmpty()]
+    todo = [part for part in first if not _takes(write, batch, part)]
+    if len(todo) == len(first) > 1:
+        return events
+    refused: list[DataFrame] = []
+    writes = len(first)
+    while todo:
+        name, rows, level = todo.pop(0)
+        if level == 16 or writes >= SEARCH_WRITES or rows.limit(2).count() == 1:
+            refused.append(rows)
+            continue
+        for part in parts(name, rows, level):
+            if not part[1].isEmpty():
+                writes += 1
+                if not _takes(write, batch, part):
+                    todo.append(part)
+    if not refused:
+        return None
+    result = refused[0]
+    for rows in refused[1:]:
+        result = result.union(rows)
+    return result
+
+
+def _takes(write: Write, batch: Batch, part: tuple[str, DataFrame, int]) -> bool:
+    return _try_write(part[1], write, replace(batch, part=part[0]), 1) is None
+
+
 def broker_writer(
     servers: str, topic: str, options: Mapping[str, str] | None = None, *, key: bool = False
 ) -> Write:
     """Writes events to a Kafka topic as JSON; `key` sends the event id as record key."""
 
-    def write(events: DataFrame) -> None:
+    def write(events: DataFrame, batch: Batch) -> None:
         (
             sink_records(events, key=key)
             .write.format("kafka")
@@ -103,10 +181,22 @@ def broker_writer(
 
 
 def file_writer(path: str, layout: str = "parquet") -> Write:
-    """Appends to a folder: events as a "parquet" table, or their JSON text with "text"."""
+    """Writes to a folder: events as a "parquet" table, or their JSON text with "text".
+
+    A micro-batch has the folder `batch_id=<id>/part=<part>` and replaces what is there, so that a
+    replayed one is not there twice; outside of streams rows are appended.
+    """
 
-    def write(events: DataFrame) -> None:
+    def write(events: DataFrame, batch: Batch) -> None:
         rows = sink_records(events) if layout == "text" else events
-        rows.write.mode("append").format(layout).save(path)
+        if batch.id is None:
+            rows.write.mode("append").format(layout).save(path)
+            return
+        folder = f"{path}/batch_id={batch.id}"
+        if batch.part == "all":  # replaces parts of an earlier try as well
+            rows = rows.withColumn("part", F.lit("all"))
+            rows.write.mode("overwrite").partitionBy("part").format(layout).save(folder)
+        else:
+            rows.write.mode("overwrite").format(layout).save(f"{folder}/part={batch.part}")
 
     return write

@@ -9,7 +9,7 @@ from logscore import LOGIN, LoginAnomaly, PandasModel, deliver, score_messages,
 from logscore.plans.queries import flat_events
 from logscore.sources.raw import broker_options, read_messages, stream_messages
 from logscore.sources.tables import raw_login, user_features
-from logscore.streaming.sinks import broker_writer, file_writer
+from logscore.streaming.sinks import Batch, broker_writer, file_writer
 
 FOLDER = "/root/testdata/sf0.001"
 AS_OF = "2024-02-01T00:00:00.000000Z"
@@ -137,7 +137,7 @@ class Sink:
     def __init__(self, failures=0):
         self.failures, self.calls, self.kept = failures, 0, []
 
-    def __call__(self, events):
+    def __call__(self, events, batch=None):
         self.calls += 1
         if self.calls <= self.failures:
             raise OSError("sink is down")
@@ -171,21 +171,21 @@ def test_waits_double(events, monkeypatch):
 
 
 def test_both_sinks_down(events):
-    assert deliver(events, Sink(9), Sink(9), first_wait=0.0) == "lost"
-    assert deliver(events, Sink(9), first_wait=0.0) == "lost"
+    assert deliver(events, Sink(9), Sink(9), first_wait=0.0, on_lost="log") == "lost"
+    assert deliver(events, Sink(9), first_wait=0.0, on_lost="log") == "lost"
     with pytest.raises(OSError):
-        deliver(events, Sink(9), Sink(9), first_wait=0.0, on_lost="raise")
+        deliver(events, Sink(9), Sink(9), first_wait=0.0)
 
 
 def test_events_are_computed_once_for_all_attempts(spark):
     drawn = spark.range(20).select(F.rand().alias("r"))
     seen = []
 
-    def write(events):
+    def write(events, batch):
         seen.append(rows(events))
         raise OSError
 
-    deliver(drawn, write, lambda events: seen.append(rows(events)), first_wait=0.0)
+    deliver(drawn, write, lambda events, batch: seen.append(rows(events)), first_wait=0.0)
     assert len(seen) == 4 and all(s == seen[0] for s in seen)
 
 
@@ -212,18 +212,18 @@ def test_stream_sends_failed_batches_to_the_dead_letters(
     good = file_writer(str(tmp_path / "out"))
     sent = []
 
-    def write(batch):
+    def write(batch, which):
         # The second batch never gets through.
         if len(sent) == 1:
             raise OSError("sink is down")
-        good(batch)
+        good(batch, which)
         sent.append(batch)
 
     dead = file_writer(str(tmp_path / "dead"))
 
-    def write_dead(batch):
+    def write_dead(batch, which):
         sent.append(batch)
-        dead(batch)
+        dead(batch, which)
 
     start(
         spark, stream_of(spark, messages), features, LoginAnomaly(), tmp_path,
@@ -263,7 +263,7 @@ def test_failing_model_contained(spark, features, tmp_path):
     aside = []
     start(
         spark, raw_stream, features, failing_model("1"), tmp_path,
-        contain_failures=True, write_failed=lambda batch: aside.extend(batch.collect()),
+        contain_failures=True, write_failed=lambda batch, which: aside.extend(batch.collect()),
     )
     assert sorted(r.value for r in aside) == sorted(
         r.value for r in raw.where("batch_id = 1").collect()
@@ -310,7 +310,7 @@ def test_broker_writer_sets_servers_topic_and_options(spark, features, monkeypat
     monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
     monkeypatch.setattr(DataFrameWriter, "save", save)
     events = score_messages(raw_login(spark, FOLDER), LOGIN, features, LoginAnomaly())
-    broker_writer("host:9092", "events", {"kafka.acks": "all"}, key=True)(events)
+    broker_writer("host:9092", "events", {"kafka.acks": "all"}, key=True)(events, Batch())
     assert seen == {
         "format": "kafka",
         "kafka.bootstrap.servers": "host:9092",
@@ -318,3 +318,85 @@ def test_broker_writer_sets_servers_topic_and_options(spark, features, monkeypat
         "kafka.acks": "all",
         "columns": None,
     }
+
+
+class Picky(Sink):
+    """Refuses batches that hold a refused number."""
+
+    def __init__(self, *refused):
+        super().__init__()
+        self.refused = set(refused)
+
+    def __call__(self, events, batch=None):
+        self.calls += 1
+        found = events.collect()
+        if self.refused & {r.n for r in found}:
+            raise OSError("refused")
+        self.kept += found
+
+
+def test_only_what_is_refused_goes_to_the_dead_letters(spark):
+    events = spark.range(300).toDF("n")
+    main, dead = Picky(17, 230), Sink()
+    assert deliver(events, main, dead, first_wait=0.0, part_by="n") == "dead_letter"
+    assert sorted(r.n for r in dead.kept) == [17, 230]
+    assert sorted(r.n for r in main.kept) == [n for n in range(300) if n not in (17, 230)]
+
+
+def test_repeatable_batches_are_written_at_once(spark):
+    """Nothing is computed before the first write; after a failure the rows are kept."""
+    main = Sink(1)
+    assert deliver(spark.range(5), main, Sink(), first_wait=0.0, repeatable=True) == "sent"
+    assert main.calls == 2 and len(main.kept) == 5
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).alias("e"))
+
+    def write(events, batch):
+        events.collect()
+
+    dead = Sink()
+    with pytest.raises(Exception, match="broken"):
+        deliver(broken, write, dead, first_wait=0.0, repeatable=True)
+    assert dead.calls == 0
+
+
+def test_a_replayed_batch_replaces_what_it_wrote(spark, tmp_path):
+    write, folder = file_writer(str(tmp_path / "out")), str(tmp_path / "out")
+    for batch in (Batch(1, "3"), Batch(1, "a"), Batch(2), Batch(1), Batch(1)):
+        write(spark.range(4), batch)
+    assert spark.read.parquet(folder).groupBy("batch_id").count().orderBy("batch_id").collect() == [
+        (1, 4), (2, 4),
+    ]
+
+
+def test_reports_count_real_events(spark, messages, features, batch_events, tmp_path):
+    reports, rejects = [], str(tmp_path / "rejects")
+    query = start(
+        spark, stream_of(spark, messages), features, LoginAnomaly(), tmp_path,
+        write_rejected=file_writer(rejects), on_batch=reports.append,
+    )
+    assert [r.batch_id for r in reports] == [0, 1, 2]
+    assert sum(r.fetched for r in reports) == 1000 and sum(r.dropped for r in reports) == 90
+    assert sum(r.produced for r in reports) == len(batch_events)
+    assert rows(flat_events(spark.read.parquet(str(tmp_path / "out")))) == batch_events
+    assert spark.read.parquet(rejects).where("reject_reason IS NULL").count() == 0
+    assert spark.read.parquet(rejects).count() == 90
+    metrics = [p.observedMetrics["messages"] for p in query.recentProgress if p.observedMetrics]
+    assert sum(m.fetched for m in metrics) == 1000 and sum(m.dropped for m in metrics) == 90
+
+
+def test_errors_that_are_not_the_models_stop_the_stream(spark, messages, features, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    aside = []
+    lost = features.where(F.assert_true(F.lit(True)).isNull())
+
+    class Broken(LoginAnomaly):
+        def process(self, rows):
+            raise OSError("an executor was lost")
+
+    with pytest.raises(StreamingQueryException):
+        start(
+            spark, stream_of(spark, messages), lost, Broken(), tmp_path,
+            contain_failures=True, write_failed=lambda batch, which: aside.append(which),
+        )
+    assert not aside
