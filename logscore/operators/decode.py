@@ -14,6 +14,8 @@ from logscore.functions.sql import text
 # without it the parser stops at the closing brace and takes `{"a": 1} rest` as good.
 _END_KEY, _END = "logscore:end", "of message"
 _CORRUPT_KEY = "logscore:corrupt"
+#: Columns that `decode` adds; messages may not have them.
+MESSAGE, IS_OBJECT = "_message", "_is_object"
 # JSON white space, as the characters that TRIM removes.
 _SPACE = r"' \t\r\n'"
 
@@ -70,10 +72,13 @@ def decode(
 ) -> DataFrame:
     """Parse `value` as a JSON object.
 
-    Adds `is_object` and `message`, a struct with one VARIANT per wanted column: SQL NULL if the
+    Adds `_is_object` and `_message`, a struct with one VARIANT per wanted column: SQL NULL if the
     column is absent, a VARIANT null if it is JSON null. Only the wanted columns are built; of a
-    key given twice the last one counts. `message` is meant only where `is_object` is true.
+    key given twice the last one counts. `_message` is meant only where `_is_object` is true.
     """
+    taken = [c for c in raw.columns if c in (MESSAGE, IS_OBJECT)]
+    if taken:
+        raise ValueError(f"rename these columns, decoding adds columns of that name: {taken}")
     if trailing_text not in ("reject", "ignore"):
         raise ValueError(f"trailing_text must be reject or ignore, not {trailing_text!r}")
     whole = trailing_text == "reject"
@@ -99,8 +104,8 @@ def decode(
     message = F.struct(*(F.col(f).alias(c) for f, c in zip(fields, columns, strict=True)))
     return rows.select(
         *raw.columns,
-        F.expr(is_object).alias("is_object"),
-        message.alias("message"),
+        F.expr(is_object).alias(IS_OBJECT),
+        message.alias(MESSAGE),
     )
 
 
@@ -113,6 +118,17 @@ def is_json(*, non_finite: bool = False) -> Column:
     return F.coalesce(whole, F.lit(False))
 
 
+def whole_message(*, non_finite: bool = False) -> Column:
+    """The whole message as a VARIANT, under the rules of `decode`; its text if that fails."""
+    whole = F.try_parse_json("value")
+    if non_finite:
+        listed = F.from_json(
+            F.concat(F.lit("["), "value", F.lit("]")), "array<variant>", _options(non_finite)
+        )
+        whole = F.coalesce(whole, F.get(listed, F.lit(0)))
+    return F.coalesce(whole, F.col("value").cast("variant"))
+
+
 def decode_problem(is_object: Column, *, non_finite: bool = False) -> Column:
     """Why a row holds no message: "malformed JSON", "not a JSON object", or NULL if it does."""
     not_object = ~F.ltrim("value").startswith("{") & is_json(non_finite=non_finite)

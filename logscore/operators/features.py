@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY = "user_id"
 
@@ -70,20 +71,31 @@ def lookup(
         on = [KEY, "_salt"]
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salt)).cast("int"))
         side = side.withColumn("_salt", F.explode(F.array(*map(F.lit, range(salt)))))
-    joined = rows.join(side, on, how).drop("_salt")
+    rows = rows.withColumn("_user", _match_key(rows))
+    side = side.withColumnRenamed(KEY, "_user")
+    joined = rows.join(side, ["_user", *on[1:]], how).drop("_user", "_salt")
     return joined.withColumn("has_features", F.coalesce("has_features", F.lit(False)))
 
 
+def _match_key(rows: DataFrame) -> Column:
+    """The user, or where there is none a text that matches no user and differs between rows, so
+    that such rows do not meet in one partition."""
+    texts = [f.name for f in rows.schema.fields if f.dataType == T.StringType()]
+    other = F.concat(F.lit("\0"), F.xxhash64(*texts).cast("string"))
+    return F.when(has_user(), F.col(KEY)).otherwise(other)
+
+
 def without_features(rows: DataFrame, features: DataFrame) -> DataFrame:
     """The rows that `lookup(..., unknown_users="skip")` drops for want of features."""
-    return rows.join(not_empty(features).select(KEY), KEY, "left_anti")
+    side = not_empty(features).select(F.col(KEY).alias("_user"))
+    return rows.withColumn("_user", _match_key(rows)).join(side, "_user", "left_anti").drop("_user")
 
 
-def broadcast_if_small(features: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast if the table has at most `max_rows` rows, else return it as it is.
+def by_user(features: DataFrame) -> DataFrame:
+    """The features dealt by user once and kept, for a stream whose batches all look up in them.
 
-    Reads at most `max_rows + 1` rows to find out. For narrow feature columns of known width.
+    Joins above Spark's broadcast threshold then shuffle the messages of a batch only. `unpersist`
+    the result when the stream has ended. A table bucketed by `user_id` needs no such copy.
     """
-    if features.select(KEY).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(features)
-    return features
+    parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return features.repartition(parts, KEY).persist()

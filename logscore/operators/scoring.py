@@ -8,9 +8,11 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from logscore.functions.identity import uniform_of
 from logscore.operators.features import has_user
@@ -25,6 +27,14 @@ REASON_RISK = "high_risk_ip"
 REASON_COUNTRY = "unusual_country"
 
 
+_NULLABLE = {
+    pa.int8(): pd.Int8Dtype(),
+    pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(),
+    pa.int64(): pd.Int64Dtype(),
+}
+
+
 class Model(Protocol):
     """A scoring model.
 
@@ -123,7 +133,8 @@ class PandasModel:
 
     `function` gets a pandas frame of messages with their features and returns the rows that become
     events, with the columns of `adds` (a DDL list that names `score`). `data` lists the columns
-    that make up the event's `data`.
+    that make up the event's `data`. Integer columns are pandas' nullable integers, so that a null
+    beside it does not round a large number; timestamps are in UTC.
     """
 
     function: Callable[[pd.DataFrame], pd.DataFrame]
@@ -143,14 +154,19 @@ class PandasModel:
 
     def process(self, rows: DataFrame) -> DataFrame:
         function = self.function
-
-        def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                yield function(frame)
-
         added = T.StructType.fromDDL(self.adds)
         kept = [f for f in rows.schema.fields if f.name not in added.names]
-        scored = rows.mapInPandas(batches, T.StructType([*kept, *added.fields]))
+        schema = T.StructType([*kept, *added.fields])
+        result = to_arrow_schema(schema)
+
+        def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                frame = function(batch.to_pandas(types_mapper=_NULLABLE.get))
+                yield from pa.Table.from_pandas(
+                    frame[result.names], schema=result, preserve_index=False
+                ).to_batches()
+
+        scored = rows.mapInArrow(batches, schema)
         return scored.withColumn("data", F.struct(*self.data))
 
 

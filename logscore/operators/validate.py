@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 
 from logscore.functions.coercion import POLICIES, coerce
 from logscore.functions.sql import name, text
-from logscore.operators.decode import as_text, decode, decode_problem
+from logscore.operators.decode import (
+    IS_OBJECT,
+    MESSAGE,
+    as_text,
+    decode,
+    decode_problem,
+    once,
+    whole_message,
+)
 from logscore.schema import TAG_TYPES, Schema
 
 
 def _decode(raw: DataFrame, schema: Schema, policy: str) -> DataFrame:
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
+    if "reject_reason" in (*schema.fields, *raw.columns):
+        raise ValueError("rename the field or column reject_reason, which validation adds")
     return decode(
         raw,
         schema.columns,
@@ -31,7 +41,7 @@ def _rules(
         uuid_check = policy == "pydantic"
     rules = []
     for column in schema.required:
-        variant = f"message.{name(column)}"
+        variant = f"{MESSAGE}.{name(column)}"
         present = f"{variant} IS NOT NULL"
         if policy != "strict" or column in schema.fields:
             present += f" AND NOT is_variant_null({variant})"
@@ -43,7 +53,7 @@ def _rules(
         # The field named event_id is an id whatever its tag says.
         tag = "str" if uuid else tag
         ok, value = coerce(
-            f"message.{name(column)}", tag, policy, required=column in schema.required, uuid=uuid
+            f"{MESSAGE}.{name(column)}", tag, policy, required=column in schema.required, uuid=uuid
         )
         expected = "a version-4 UUID" if uuid else tag
         rules.append((ok, f"field {column}: not acceptable as {expected}"))
@@ -54,13 +64,13 @@ def _rules(
 def _first_failing(policy: str, rules: list[tuple[str, str]]) -> Column:
     cases = " ".join(f"WHEN NOT ({ok}) THEN {text(reason)}" for ok, reason in rules)
     return F.coalesce(
-        decode_problem(F.col("is_object"), non_finite=policy == "pydantic"),
+        decode_problem(F.col(IS_OBJECT), non_finite=policy == "pydantic"),
         F.expr(f"CASE {cases} END") if cases else F.lit(None),
     )
 
 
 def _all_hold(rules: list[tuple[str, str]]) -> str:
-    return " AND ".join(["is_object", *(f"({ok})" for ok, _ in rules)])
+    return " AND ".join([IS_OBJECT, *(f"({ok})" for ok, _ in rules)])
 
 
 def _not_found(raw: DataFrame, schema: Schema) -> DataFrame:
@@ -100,7 +110,7 @@ def valid_rows(
     """The valid messages as typed rows, with the columns of `raw` other than `value`.
 
     Fields the schema does not name are dropped; `keep_raw` keeps the whole message as the VARIANT
-    column `raw`. `counters` names observed metrics: messages `fetched`, and `dropped` as invalid.
+    column `raw` (as a VARIANT text where no VARIANT object can hold it). `counters` names observed metrics: messages `fetched`, and `dropped` as invalid.
     """
     kept = [F.col(c) for c in raw.columns if c != "value" and c not in schema.fields]
     if not schema.found:
@@ -109,7 +119,8 @@ def valid_rows(
     decoded = _decode(raw, schema, policy)
     valid = _all_hold(rules)
     if keep_raw:
-        kept.append(F.try_parse_json("value").alias("raw"))
+        decoded = once(decoded, whole_message(non_finite=policy == "pydantic"), "_whole")
+        kept.append(F.col("_whole").alias("raw"))
     if counters:
         decoded = decoded.withColumn("_valid", F.expr(valid)).observe(
             counters,

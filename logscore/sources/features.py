@@ -35,13 +35,26 @@ def read_features(
     path: str,
     layout: str = "parquet",
     schema: T.StructType = FEATURES_SCHEMA,
+    latest_by: str | None = None,
 ) -> DataFrame:
     """The features table, one row per user; a missing path gives an empty table.
 
     `layout`: "parquet" or "json_lines" for tables of any size; "json_object" for one JSON object
     keyed by user, which a single task reads. Values of the wrong type become NULL; a file that
     is not JSON gives no rows.
+
+    Rows that repeat a user double that user's events. `latest_by` names a column of the schema, such
+    as "version", by which only the largest row of each user is kept (null is the smallest).
     """
+    rows = _read(spark, path, layout, schema)
+    if latest_by is None:
+        return rows
+    whole = F.struct(*rows.columns)
+    latest = rows.groupBy("user_id").agg(F.max_by(whole, F.struct(latest_by, whole.cast("string"))))
+    return latest.toDF("user_id", "row").select("row.*")
+
+
+def _read(spark: SparkSession, path: str, layout: str, schema: T.StructType) -> DataFrame:
     try:
         if layout == "parquet":
             return spark.read.schema(schema).parquet(path)

@@ -103,10 +103,10 @@ def test_last_of_a_repeated_key_and_numbers_that_are_none(spark):
 def test_absent_null_and_wrong_type_stay_apart(spark):
     raw = spark.createDataFrame([('{"a":null,"b":{"c":[1]}}',)], "value string")
     row = decode(raw, ["a", "b", "c"]).select(
-        "is_object",
-        F.is_variant_null("message.a").alias("a_null"),
-        F.schema_of_variant("message.b").alias("b"),
-        F.col("message.c").isNull().alias("c_absent"),
+        "_is_object",
+        F.is_variant_null("_message.a").alias("a_null"),
+        F.schema_of_variant("_message.b").alias("b"),
+        F.col("_message.c").isNull().alias("c_absent"),
     )
     assert tuple(row.first()) == (True, True, "OBJECT<c: ARRAY<BIGINT>>", True)
 

@@ -10,13 +10,13 @@ from logscore import rejected_rows, valid_rows
 from logscore.functions.coercion import POLICIES
 
 FULL = {
-    "event_id": "c4ca4238-a0b9-4382-8dcc-509a6f75849b",
-    "log_type": "login",
-    "ip_address": "192.168.1.1",
-    "event_timestamp": "2024-02-10T00:00:00Z",
-    "user_id": "abc",
-    "user_agent": "Mozilla/5.0",
-    "country_code": "US",
+    "event_id": "6f1c2b9e-58d0-4a77-9c3e-2f4d1e0b7a65",
+    "log_type": "signin",
+    "ip_address": "172.16.4.9",
+    "event_timestamp": "2025-07-01T12:30:00Z",
+    "user_id": "ann",
+    "user_agent": "Lynx/2.9",
+    "country_code": "NZ",
 }
 
 
@@ -161,3 +161,28 @@ def test_schema_files(tmp_path):
 
 def test_missing_schema_folder_gives_no_schemas(tmp_path):
     assert load_schemas(tmp_path / "none") == {}
+
+
+def test_keep_raw_never_loses_a_message(spark):
+    """Numbers that are none, and keys given twice when the session does not allow them."""
+    texts = ['{"a":"x","n":NaN}', '{"a":"x","o":{"k":1,"k":2}}', '{"a":"x"}']
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    for allowed in ("true", "false"):
+        spark.conf.set(setting, allowed)
+        try:
+            kept = valid_rows(messages, Schema("s", {"a": "str"}), "pydantic", keep_raw=True)
+            assert kept.where("raw IS NULL").count() == 0 and kept.count() == 3
+        finally:
+            spark.conf.set(setting, "true")
+
+
+def test_columns_named_like_our_own(spark):
+    schema = Schema("s", {"message": "str"})
+    rows = spark.createDataFrame([('{"message":"x"}', 1, 2)], "value string, is_object int, n int")
+    assert valid_rows(rows, schema).first().asDict() == {"is_object": 1, "n": 2, "message": "x"}
+    for taken in ("reject_reason", "_message", "_is_object"):
+        with pytest.raises(ValueError, match="rename"):
+            check(rows.withColumn(taken, F.lit(1)), schema)
+    with pytest.raises(ValueError, match="rename"):
+        valid_rows(rows, Schema("s", {"reject_reason": "str"}))
