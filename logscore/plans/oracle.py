@@ -218,4 +218,24 @@ SELECT event_id AS "key", * EXCLUDE (batch_id, source_event_id),
 FROM produced""",
         "pandas_model": _flat(events),
         "stream_events": _flat(events),
+        "stream_dead_letters": f"""{events}
+SELECT * EXCLUDE (batch_id),
+       CASE WHEN event_id LIKE '000%' THEN 'dead_letters' ELSE 'events' END AS sink
+FROM produced""",
+        "stream_rejects": f"""SELECT reject_reason, count(*) AS messages FROM ({_rejects()})
+WHERE policy = 'pydantic' GROUP BY reject_reason""",
+        "stream_contained": f"""{events}
+SELECT 'events' AS sink, count(*) AS rows FROM produced WHERE batch_id <> 0
+UNION ALL SELECT 'failed', count(*) FROM events WHERE event_id // 100 = 0""",
+        "pandas_exfil": f"""SELECT "offset",
+       CAST(CASE WHEN "offset" % 3 <> 0 THEN "offset" + 9007199254740993 END AS VARCHAR) AS big,
+       CAST(file_size + 9007199254740993 AS VARCHAR) AS file_size, destination, CAST(1 AS DOUBLE) AS score
+FROM ({_exfil("pydantic")})""",
+        "unnamed_events": _valid_login(
+            "pydantic",
+            f"{_UUID.format("'unknown_model:' || event_id")} AS \"key\", user_id, "
+            "'unknown_model' AS model_id, '{}' AS data",
+        ),
+        "features_parquet": flat_features,
+        "features_json_lines": flat_features,
     }

@@ -6,17 +6,21 @@ whole. `oracle.py` states the same results as SQL that never parses JSON.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from functools import reduce
+from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logscore.operators import features as lookups
 from logscore.operators.decode import decode, is_json
-from logscore.operators.envelope import sink_records
+from logscore.operators.envelope import envelope, sink_records
 from logscore.operators.scoring import (
     LoginAnomaly,
+    PandasModel,
     base_score,
     known,
     login_anomaly_pandas,
@@ -25,11 +29,14 @@ from logscore.operators.scoring import (
     reason,
 )
 from logscore.operators.validate import batch_counts, check, rejected_rows, valid_rows
-from logscore.plans.score import messages_for, score_messages
+from logscore.plans.score import messages_for, score_messages, score_valid
 from logscore.schema import EXFIL, LOGIN, Schema, find_schema
 from logscore.session import configure, scratch_folder
+from logscore.sources.features import read_features
 from logscore.sources.raw import stream_messages
 from logscore.sources.tables import raw_exfil, raw_login, user_features
+from logscore.streaming.sinks import Batch, file_writer
+from logscore.streaming.stream import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +69,7 @@ def decode_ok(spark: SparkSession, folder: str) -> DataFrame:
 
 def decode_objects(spark: SparkSession, folder: str) -> DataFrame:
     decoded = decode(raw_login(spark, folder), LOGIN.columns)
-    return decoded.where("is_object").select("offset")
+    return decoded.where("_is_object").select("offset")
 
 
 def required_ok(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,14 +97,15 @@ def valid_keep_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_login(spark, folder)
-    parts = [
-        rejected_rows(raw, LOGIN, policy).select(
-            F.lit(policy).alias("policy"), "offset", "reject_reason"
+    rows = raw_login(spark, folder).select("offset", "value")
+    policies = ("pydantic", "lenient", "strict")
+    for policy in policies:  # one scan, a decode for each policy
+        rows = check(rows, LOGIN, policy).select(
+            *rows.columns, F.col("reject_reason").alias(f"why_{policy}")
         )
-        for policy in ("pydantic", "lenient", "strict")
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    whys = [F.struct(F.lit(p).alias("policy"), F.col(f"why_{p}").alias("reject_reason")) for p in policies]
+    rows = rows.select("offset", F.inline(F.array(*whys)))
+    return rows.where("reject_reason IS NOT NULL").select("policy", "offset", "reject_reason")
 
 
 def schema_not_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,12 +271,162 @@ def sent_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+BIG = 9007199254740993  # not a float
+
+
+def pandas_exfil(spark: SparkSession, folder: str) -> DataFrame:
+    """Large integers, nulls among them, through a Python model."""
+    model = PandasModel(
+        function=lambda frame: frame.assign(score=1.0),
+        adds="score double",
+        data=("file_size", "destination"),
+        model_id="exfil",
+        inputs=("user_id", "file_size", "destination"),
+    )
+    valid = valid_rows(raw_exfil(spark, folder), EXFIL, "pydantic")
+    valid = valid.withColumns(
+        {
+            "file_size": F.col("file_size") + BIG,
+            "big": F.when(F.col("offset") % 3 != 0, F.col("offset") + BIG),
+        }
+    )
+    features = user_features(spark, folder)
+    carry = ("offset", "big")
+    events = score_valid(valid, features, model, key=("offset",), carry=carry, as_of=AS_OF)
+    exact = [F.col(c).cast("string").alias(c.split(".")[-1]) for c in ("big", "data.file_size")]
+    return events.select("offset", *exact, "data.destination", "score")
+
+
+def unnamed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that name no model and have no data, as they are sent."""
+    scored = hash_scores(spark, folder).withColumn("data", F.lit(None).cast("struct<x: string>"))
+    records = sink_records(envelope(scored, None, as_of=AS_OF), key=True)
+    member = {c: F.get_json_object("value", f"$.{c}") for c in ("user_id", "model_id", "data")}
+    return records.select("key", *(value.alias(name) for name, value in member.items()))
+
+
+def stored_features(layout: str) -> Query:
+    """The features written as a table of that layout and read back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = scratch_folder(spark, "features")
+        features = user_features(spark, folder)
+        features.write.format({"json_lines": "json"}.get(layout, layout)).save(path)
+        return _flat_features(read_features(spark, path, layout))
+
+    return query
+
+
+def _message_files(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """Messages written as four text files, to be read as a stream in four micro-batches."""
+    path = scratch_folder(spark, "messages")
+    messages.select("value").repartition(4).write.text(path)
+    return stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
+
+
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What a file writer has written; it makes no folder when there is nothing to write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """A sink that refuses some events gets all others; those go to the dead letters."""
+    sent, dead, checkpoint = (scratch_folder(spark, x) for x in ("events", "dead", "checkpoint"))
+    accept = file_writer(sent)
+
+    def write(events: DataFrame, batch: Batch) -> None:
+        if not events.where("event_id LIKE '000%'").isEmpty():
+            raise OSError("refused")
+        accept(events, batch)
+
+    stream = _message_files(spark, raw_login(spark, folder))
+    features = user_features(spark, folder)
+    start_scoring(
+        stream,
+        LOGIN,
+        features,
+        LoginAnomaly(),
+        checkpoint=checkpoint,
+        write=write,
+        write_dead_letter=file_writer(dead),
+        trigger={"availableNow": True},
+        options={"as_of": AS_OF},
+        delivery={"first_wait": 0.0},
+    ).awaitTermination()
+    schema = score_messages(raw_login(spark, folder), LOGIN, features, LoginAnomaly()).schema
+    parts = [
+        flat_events(_written(spark, path, schema)).withColumn("sink", F.lit(name))
+        for name, path in (("events", sent), ("dead_letters", dead))
+    ]
+    return parts[0].union(parts[1])
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """How many messages a stream rejects for each reason, from its rejects sink."""
+    sent, rejects, checkpoint = (
+        scratch_folder(spark, x) for x in ("events", "rejects", "checkpoint")
+    )
+    start_scoring(
+        _message_files(spark, raw_login(spark, folder)),
+        LOGIN,
+        user_features(spark, folder),
+        LoginAnomaly(),
+        checkpoint=checkpoint,
+        write=file_writer(sent),
+        write_rejected=file_writer(rejects),
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    rows = _written(spark, rejects, T.StructType.fromDDL("value string, reject_reason string"))
+    return rows.groupBy("reject_reason").agg(F.count("*").alias("messages"))
+
+
+def stream_contained(spark: SparkSession, folder: str) -> DataFrame:
+    """A model that fails on one micro-batch: its messages are set aside, the others scored."""
+    path, sent, aside, checkpoint = (
+        scratch_folder(spark, x) for x in ("messages", "events", "aside", "checkpoint")
+    )
+    raw = raw_login(spark, folder)
+    for chosen in ("batch_id = 0", "batch_id <> 0"):
+        part = raw.where(chosen).select("value").coalesce(1)
+        part.write.mode("append").text(path)
+    login, failing = login_anomaly_pandas(), raw.where("offset = 11").first()["value"]
+    failing = json.loads(failing)["event_id"]
+
+    def function(frame):
+        if (frame["source_event_id"] == failing).any():
+            raise ValueError("no score for this message")
+        return login.function(frame)
+
+    start_scoring(
+        stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path),
+        LOGIN,
+        user_features(spark, folder),
+        replace(login, function=function),
+        checkpoint=checkpoint,
+        write=file_writer(sent),
+        write_failed=file_writer(aside),
+        contain_failures=True,
+        trigger={"availableNow": True},
+        options={"as_of": AS_OF},
+    ).awaitTermination()
+    counts = [
+        _written(spark, folder_, T.StructType.fromDDL("value string, event_id string"))
+        .agg(F.count("*").alias("rows"))
+        .select(F.lit(name).alias("sink"), "rows")
+        for name, folder_ in (("events", sent), ("failed", aside))
+    ]
+    return counts[0].union(counts[1])
+
+
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     """The messages written as text files, then scored as a stream into a table of events."""
-    messages = scratch_folder(spark, "messages")
     sent, checkpoint = scratch_folder(spark, "events"), scratch_folder(spark, "checkpoint")
-    raw_login(spark, folder).select("value").write.text(messages)
-    stream = stream_messages(spark, "text", {"maxFilesPerTrigger": "1000"}, messages)
+    stream = _message_files(spark, raw_login(spark, folder))
     features = user_features(spark, folder)
     events = score_messages(stream, LOGIN, features, LoginAnomaly(), as_of=AS_OF)
     query = (
@@ -317,6 +475,13 @@ _QUERIES: dict[str, Query] = {
     "sink_records": sent_records,
     "pandas_model": pandas_model,
     "stream_events": stream_events,
+    "stream_dead_letters": stream_dead_letters,
+    "stream_rejects": stream_rejects,
+    "stream_contained": stream_contained,
+    "pandas_exfil": pandas_exfil,
+    "unnamed_events": unnamed_events,
+    "features_parquet": stored_features("parquet"),
+    "features_json_lines": stored_features("json_lines"),
 }
 
 
