@@ -21,6 +21,7 @@ import re
 import zlib
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logscore.llm.kept import Kept
 from logscore.llm.words import by_run
 
 SPACE = "▁"
-#: Words that a process keeps; beyond it starts anew.
-KEPT_WORDS = 1_000_000
+#: Words of a generation of those that a process keeps.
+KEPT_WORDS = 600_000
 #: Pairs of pieces whose border was looked at lately.
 KEPT_PAIRS = 1 << 20
 #: Characters of new words that are indexed at once; a longer word is indexed alone.
@@ -81,7 +83,7 @@ class PieceModel:
         ]
         self.raw[p.unk_id()] = " ⁇ ".encode()
         self.prefixed = p.normalize("a") == SPACE + "a"
-        self.words: dict[str, bytes] = {}
+        self.words = Kept(KEPT_WORDS)
         self._pair_keys = np.full(KEPT_PAIRS, -1, dtype=np.int64)
         self._pair_stays = np.zeros(KEPT_PAIRS, dtype=bool)
 
@@ -267,10 +269,8 @@ class PieceModel:
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """The ids of each text; of a null none."""
         cut = [_WORD.findall(self.processor.normalize(text)) if text else [] for text in texts]
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        new = dict.fromkeys(w for words in cut for w in words if w not in self.words)
-        new = list(new)
+        self.words.turn()
+        new = list(self.words.missing(set(chain.from_iterable(cut))))
         begin = size = 0
         for i, word in enumerate([*new, None]):
             if word is None or size + len(word) > BATCH_CHARS and i > begin:
