@@ -140,6 +140,28 @@ SELECT n AS "offset", made_id AS event_id, log_type, ip_address, event_timestamp
 FROM sent WHERE way IN ({", ".join(map(str, sizes))})"""
 
 
+def _typed(policy: str) -> str:
+    """By policy, what each way of giving a number and a truth value comes to."""
+    half, whole, read = "floor(value) + 0.5", "floor(value)", policy != "strict"
+    ratios = {0: half, 2: whole, 8: "NULL"}
+    flags = {0: "true", 1: "false", 9: "NULL"}
+    if read:
+        ratios |= {1: half, 4: "1000"}
+        flags |= {4: "true", 6: "false"}
+    if policy == "pydantic":
+        ratios |= {3: "1.5", 5: "1", 6: "NULL", 10: "10.5"}
+        flags |= {2: "true", 5: "true", 7: "NULL"}
+
+    def cases(values: dict[int, str]) -> str:
+        return " ".join(f"WHEN {way} THEN {value}" for way, value in values.items())
+
+    return f"""
+SELECT event_id AS "offset", CAST(CASE event_id % 11 {cases(ratios)} END AS DOUBLE) AS ratio,
+       CAST(CASE event_id // 11 % 10 {cases(flags)} END AS BOOLEAN) AS flag
+FROM events WHERE event_id % 11 IN ({", ".join(map(str, ratios))})
+  AND event_id // 11 % 10 IN ({", ".join(map(str, flags))})"""
+
+
 def _rejects() -> str:
     parts = []
     for policy in _REJECTED:
@@ -191,6 +213,9 @@ FROM produced GROUP BY batch_id""",
         "exfil_strict": _exfil("strict"),
         "exfil_lenient": _exfil("lenient"),
         "exfil_pydantic": _exfil("pydantic"),
+        "typed_strict": _typed("strict"),
+        "typed_lenient": _typed("lenient"),
+        "typed_pydantic": _typed("pydantic"),
         "features_table": flat_features,
         "feature_point_lookup": f"{flat_features} WHERE user_id = '42'",
         "distinct_users": _valid_login("pydantic", "DISTINCT user_id") + " WHERE user_id <> ''",

@@ -34,7 +34,7 @@ from logscore.schema import EXFIL, LOGIN, Schema, find_schema
 from logscore.session import configure, scratch_folder
 from logscore.sources.features import read_features
 from logscore.sources.raw import stream_messages
-from logscore.sources.tables import raw_exfil, raw_login, user_features
+from logscore.sources.tables import raw_exfil, raw_login, raw_typed, user_features
 from logscore.streaming.sinks import Batch, file_writer
 from logscore.streaming.stream import start_scoring
 
@@ -108,6 +108,15 @@ def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("reject_reason IS NOT NULL").select("policy", "offset", "reject_reason")
 
 
+def typed_messages(policy: str) -> Query:
+    schema = Schema("typed", {"ratio": "float", "flag": "bool"})
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return valid_rows(raw_typed(spark, folder), schema, policy)
+
+    return query
+
+
 def schema_not_found(spark: SparkSession, folder: str) -> DataFrame:
     missing = find_schema({LOGIN.name: LOGIN}, "app_log_type_none")
     return rejected_rows(raw_login(spark, folder), missing).select("offset", "reject_reason")
@@ -456,6 +465,9 @@ _QUERIES: dict[str, Query] = {
     "exfil_strict": exfil_messages("strict"),
     "exfil_lenient": exfil_messages("lenient"),
     "exfil_pydantic": exfil_messages("pydantic"),
+    "typed_strict": typed_messages("strict"),
+    "typed_lenient": typed_messages("lenient"),
+    "typed_pydantic": typed_messages("pydantic"),
     "features_table": features_table,
     "feature_point_lookup": feature_point_lookup,
     "distinct_users": distinct_users,

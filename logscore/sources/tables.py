@@ -95,6 +95,34 @@ def raw_exfil(spark: SparkSession, folder: str) -> DataFrame:
     return message.select(F.col("message").alias("value"), F.col("event_id").alias("offset"))
 
 
+#: What a number and a truth value are given as, by event number; None leaves the field out.
+_RATIOS = ("half", '"half"', "whole", '" 1.5 "', '"1e3"', "true", "null", '"abc"', None, "{}", '"1_0.5"')
+_FLAGS = ("true", "false", "1", "2", '"True"', '"yes"', '"F"', "null", "[]", None)
+
+
+def raw_typed(spark: SparkSession, folder: str) -> DataFrame:
+    """`value` and `offset`: one message per event with a number and a truth value, each given in
+    about ten ways."""
+    events = table(spark, folder, "events")
+    whole = F.floor("value").cast("string")
+    half = F.concat(whole, F.lit(".5"))
+    given = {"half": half, '"half"': F.concat(F.lit('"'), half, F.lit('"')), "whole": whole}
+
+    def member(name: str, ways: tuple, number: Column) -> Column:
+        text = F.lit("")
+        for i, way in enumerate(ways):
+            if way is not None:
+                value = F.concat(F.lit(f',"{name}":'), given.get(way, F.lit(way)))
+                text = F.when(number == i, value).otherwise(text)
+        return text
+
+    number = F.col("event_id")
+    ratio = member("ratio", _RATIOS, number % len(_RATIOS))
+    flag = member("flag", _FLAGS, F.floor(number / len(_RATIOS)) % len(_FLAGS))
+    message = F.concat(F.lit('{"kind":"typed"'), ratio, flag, F.lit("}"))
+    return events.select(message.alias("value"), number.alias("offset"))
+
+
 def user_features(spark: SparkSession, folder: str) -> DataFrame:
     """One feature row per customer, nine of ten; one of those has an empty vector."""
     customers, nations = table(spark, folder, "customer"), table(spark, folder, "nation")
