@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from logscore.llm import components as graph
 from logscore.llm import near_dedup
 from logscore.llm.components import components
 from tests.llm.helpers import SPACED, documents, lower, rows_of
@@ -97,7 +98,10 @@ def test_estimate_is_near_the_truth():
     assert abs(estimate - true) < near_dedup.SLACK / 2
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [8, 200_000])
+def test_components(spark, monkeypatch, per_task):
+    """In one task, and in several with stars between."""
+    monkeypatch.setattr(graph, "PAIRS_PER_TASK", per_task)
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (5, 5), (7, None)]
     pairs = spark.createDataFrame(chain, "a int, b int")
     found = {r.node: r.root for r in components(pairs, "a", "b").collect()}
