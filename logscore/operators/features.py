@@ -43,6 +43,7 @@ def lookup(
     unknown_users: str = "score",
     salt: int = 1,
     salt_by: str = "event_id",
+    spread: bool = True,
 ) -> DataFrame:
     """Add feature columns to each row by `user_id`; `features` has one row per user.
 
@@ -53,7 +54,8 @@ def lookup(
     Spark picks the join: broadcast when the features are below its threshold, else a shuffle
     by user in which adaptive execution splits the partitions of very active users. Where that is
     off, as in some streaming set-ups, `salt=n` spreads every user over n partitions at the price
-    of n copies of the feature rows.
+    of n copies of the feature rows. Rows without a user are spread over all partitions;
+    `spread=False` saves that where there are none.
     """
     if columns is None:
         columns = {c: F.col(c) for c in features.columns if c != KEY}
@@ -71,9 +73,10 @@ def lookup(
         on = [KEY, "_salt"]
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salt)).cast("int"))
         side = side.withColumn("_salt", F.explode(F.array(*map(F.lit, range(salt)))))
-    rows = rows.withColumn("_user", _match_key(rows))
-    side = side.withColumnRenamed(KEY, "_user")
-    joined = rows.join(side, ["_user", *on[1:]], how).drop("_user", "_salt")
+    if spread:
+        rows = rows.withColumn("_user", _match_key(rows))
+        side, on = side.withColumnRenamed(KEY, "_user"), ["_user", *on[1:]]
+    joined = rows.join(side, on, how).drop("_user", "_salt")
     return joined.withColumn("has_features", F.coalesce("has_features", F.lit(False)))
 
 

@@ -38,8 +38,8 @@ _NULLABLE = {
 class Model(Protocol):
     """A scoring model.
 
-    `inputs` names the message columns it needs, None for all. `before_lookup` may drop and score
-    rows by the message alone, which saves them the lookup. `process` gets the rows with the
+    `inputs` names the message columns it needs, None for all. `before_lookup` drops rows without a
+    user and may drop and score others by the message alone, which saves them the lookup. `process` gets the rows with the
     columns of `feature_columns` and adds `score` and `data`, keeping the rows that become events.
     Rows carry `source_event_id`, which identifies the message.
     """

@@ -50,6 +50,7 @@ def score_rows(
         unknown_users=unknown_users,
         salt=salt,
         salt_by="source_event_id",
+        spread=False,
     )
     return model.process(known)
 
