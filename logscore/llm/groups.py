@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def by_group(
@@ -15,7 +16,9 @@ def by_group(
     """Apply `work` to the rows of each key; a group must be small enough for one task.
 
     Rows are shuffled and sorted by the keys and read as a stream, so a task holds one Arrow batch
-    and the group that goes on into the next one.
+    and the group that goes on into the next one. They are dealt by a hash of the keys, a column of
+    its own: a shuffle by the keys themselves is left out where a join below is dealt by them, and
+    adaptive execution may then turn that join into one that is not.
     """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,7 +33,8 @@ def by_group(
         if held is not None and held.num_rows:
             yield from work(held)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(apply, schema)
+    dealt = df.withColumn("_dealt_by", F.xxhash64(*keys)).repartition("_dealt_by")
+    return dealt.sortWithinPartitions(*keys).drop("_dealt_by").mapInArrow(apply, schema)
 
 
 def _cuts(table: pa.Table, keys: list[str]) -> list[int]:

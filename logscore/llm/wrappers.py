@@ -19,7 +19,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,8 +88,9 @@ class Node:
         return f"{self.tag}.{self.names}"
 
     def never(self) -> bool:
-        words = set(self.names.split())
-        return self.hidden or self.tag in NEVER or bool(words & NEVER_NAMED)
+        if self.hidden or self.tag in NEVER:
+            return True
+        return bool(self.names) and not NEVER_NAMED.isdisjoint(self.names.split())
 
     def outside(self) -> bool:
         return self.tag in OUTSIDE or bool(set(self.names.split()) & OUTSIDE_NAMED)
@@ -180,8 +180,11 @@ class Shape:
         return cls(sign, text, chars, never, [cls.load(kid) for kid in kids], pages)
 
 
-def shape_of(node: Node) -> Shape:
-    """The tree with runs of like siblings folded and inline elements read as text."""
+def shape_of(node: Node, read: bool = True) -> Shape:
+    """The tree with runs of like siblings folded and inline elements read as text.
+
+    `read=False` gives the bare tree, without texts.
+    """
     texts: list[str] = []
     kids: list[Shape] = []
 
@@ -194,17 +197,18 @@ def shape_of(node: Node) -> Shape:
                 gather(item.items)
                 texts.append(" ")
             else:
-                kids.append(shape_of(item))
+                kids.append(shape_of(item, read))
 
     gather(node.items)
-    text = _clean("".join(texts))
+    text = _clean("".join(texts)) if read else ""
     folded: list[Shape] = []
     for kid in kids:
         if folded and folded[-1].sign == kid.sign:
-            folded[-1] = merge(folded[-1], kid, same_page=True)
+            if read or kid.kids:
+                folded[-1] = merge(folded[-1], kid, same_page=True)
         else:
             folded.append(kid)
-    return Shape(node.sign, text, len(text), node.never(), folded)
+    return Shape(node.sign, text, len(text), read and node.never(), folded)
 
 
 def _blocks(node: Node) -> bool:
@@ -219,17 +223,16 @@ def match_trees(a: list, b: list, size) -> list[tuple[int, int]]:
 
     `size(x, y)` is the weight of a pair, 0 if it does not match.
     """
-    best = np.zeros((len(a) + 1, len(b) + 1))
-    weight = np.array([[size(x, y) for y in b] for x in a]).reshape(len(a), len(b))
-    for i in range(len(a)):
-        for j in range(len(b)):
-            both = best[i, j] + weight[i, j]
-            best[i + 1, j + 1] = max(best[i + 1, j], best[i, j + 1], both)
+    best = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        above, row = best[i], best[i + 1]
+        for j, y in enumerate(b):
+            row[j + 1] = max(row[j], above[j + 1], above[j] + size(x, y))
     pairs, i, j = [], len(a), len(b)
     while i and j:
-        if best[i, j] == best[i - 1, j]:
+        if best[i][j] == best[i - 1][j]:
             i -= 1
-        elif best[i, j] == best[i, j - 1]:
+        elif best[i][j] == best[i][j - 1]:
             j -= 1
         else:
             i, j = i - 1, j - 1
@@ -393,6 +396,15 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
                 found.append(item)
         return found
 
+    shapes: dict[int, Shape] = {}
+
+    def _weight(node: Node, shape: Shape) -> float:
+        if node.sign != shape.sign:
+            return 0
+        if id(node) not in shapes:
+            shapes[id(node)] = shape_of(node, read=False)
+        return _size(shapes[id(node)], shape)
+
     def down(node: Node, shape: Shape) -> None:
         if shape is target:
             content.append(node)
@@ -405,8 +417,7 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
                 runs[-1].append(kid)
             else:
                 runs.append([kid])
-        shapes = {id(run[0]): shape_of(run[0]) for run in runs}
-        pairs = match_trees(runs, shape.kids, lambda run, s: _size(shapes[id(run[0])], s))
+        pairs = match_trees(runs, shape.kids, lambda run, s: _weight(run[0], s))
         for i, j in pairs:
             other = shape.kids[j]
             for kid in runs[i]:
@@ -416,7 +427,9 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
                     down(kid, other)
 
     down(root, wrapper.shape)
-    chosen = max(content, key=lambda x: sum(map(len, blocks(x))), default=None)
+    chosen = content[0] if content else None
+    if len(content) > 1:
+        chosen = max(content, key=lambda x: sum(map(len, blocks(x))))
     return (None if chosen is root else chosen), template
 
 
