@@ -22,12 +22,14 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logscore.llm.kept import Kept
 from logscore.llm.stored import stored
 from logscore.llm.words import by_run, mix
 from logscore.session import scratch_folder
@@ -37,20 +39,25 @@ SHARD_BYTES = 16 << 20
 KEYS_PER_PART = 100_000
 #: Bits of a level for each key that is left.
 SPREAD = 2
-#: Encoded chunks that a process keeps; beyond it starts anew.
-KEPT_CHUNKS = 800_000
+#: Chunks of a generation of those that a process keeps.
+KEPT_CHUNKS = 250_000
 
 END_ID = 0
 _HEADER = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n", "<u4")])
 #: White space before a space that white space or the end follows: there a cut could part a token.
 _UNSAFE = re.compile(r"\s (?=\s|\Z)")
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
+_MARKS = frozenset(".,;:!?")
+_WORDS_AT_ONCE = 4096
 
 
 class Encoder:
-    """Encodes texts as the tokenizer does, but each chunk only once.
+    """Encodes texts as the tokenizer does, but each word only once.
 
-    Texts are cut before single spaces. The tokenizer's own pattern always begins a new token there,
-    unless white space stands on both sides of the space; such texts are encoded whole.
+    Texts are cut before single spaces into chunks, chunks at line ends and before a last mark. The
+    tokenizer's own pattern always begins a new token there, unless white space stands on both sides
+    of a space; such texts are encoded whole. New words go to the tokenizer many at once, as one
+    text, and its ids are dealt to the words by their lengths in bytes.
     """
 
     def __init__(self, path: str):
@@ -58,37 +65,96 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(found.ids, dtype="<u4").tobytes()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        for token, i in vocabulary.items():  # a character of a byte-level token stands for a byte
+            self.sizes[i] = len(token)
+        for i, token in added.items():
+            self.sizes[i] = len(token.content.encode())
+        self.chunks = Kept(KEPT_CHUNKS)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _encoded_words(self, words: list[str]) -> None:
+        """Add words that begin with a space and end in none to the known chunks."""
+        for begin in range(0, len(words), _WORDS_AT_ONCE):
+            part = words[begin : begin + _WORDS_AT_ONCE]
+            ids = np.frombuffer(self._encoded(["".join(part)])[0], dtype="<u4")
+            ends = np.cumsum([len(word.encode()) for word in part])
+            reached = np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(reached, ends) + 1
+            if len(ids) != cuts[-1] or (reached[cuts - 1] != ends).any():
+                self.chunks.update(zip(part, self._encoded(part), strict=True))
+                continue
+            whole, at = ids.tobytes(), 0
+            for word, cut in zip(part, (4 * cuts).tolist(), strict=True):
+                self.chunks[word] = whole[at:cut]
+                at = cut
+
+    def _learn(self, new: set[str]) -> None:
+        """Add chunks to the known ones."""
+        known, atoms, marked, lined = self.chunks, set(), [], {}
+        for chunk in new:
+            if "\n" in chunk:
+                lined[chunk] = _atoms(chunk)
+                atoms.update(lined[chunk])
+            elif chunk[-1] in _MARKS and len(chunk) > 1 and chunk[-2].isalpha():
+                marked.append(chunk)
+                atoms.add(chunk[:-1])
+                atoms.add(chunk[-1])
+            else:
+                atoms.add(chunk)
+        atoms = known.missing(atoms)
+        self._encoded_words([x for x in atoms if x[0] == " " and not x[-1].isspace()])
+        others = [x for x in atoms if x not in known]
+        known.update(zip(others, self._encoded(others), strict=True))
+        for chunk in marked:
+            known[chunk] = known[chunk[:-1]] + known[chunk[-1]]
+        for chunk, parts in lined.items():
+            known[chunk] = b"".join(map(known.__getitem__, parts))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; of a null none."""
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks.clear()
-        cut: list[list[str]] = []
+        self.chunks.turn()
+        cut: list[list[str] | None] = []
+        whole: list[str] = []
         for text in texts:
-            if not text or _UNSAFE.search(text):
-                cut.append([text] if text else [])
+            if not text:
+                cut.append([])
+            elif _UNSAFE.search(text):
+                cut.append(None)
+                whole.append(text)
             else:
-                first, *rest = text.split(" ")
-                cut.append([first, *[" " + x for x in rest]])
-        whole = {text[0] for text in cut if len(text) == 1}
+                chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _cut(text)
+                cut.append(chunks if chunks[0] else chunks[1:])
         known = self.chunks
-        new = list(dict.fromkeys(x for text in cut for x in text if x not in known))
-        fresh = dict(zip(new, self._encoded(new), strict=True))
-        known.update((x, ids) for x, ids in fresh.items() if x not in whole)
-        kept = known.get
-        result = []
-        for text in cut:
-            if len(text) == 1:
-                ids = fresh[text[0]] if text[0] in fresh else known[text[0]]
-            else:
-                ids = b"".join([kept(x) or fresh.get(x, b"") for x in text])
-            result.append(np.frombuffer(ids, dtype="<u4"))
-        return result
+        new = known.missing(set(chain.from_iterable(filter(None, cut))))
+        if new:
+            self._learn(new)
+        wholes = iter(self._encoded(whole) if whole else ())
+        joined = (next(wholes) if x is None else b"".join(map(known.__getitem__, x)) for x in cut)
+        return [np.frombuffer(ids, dtype="<u4") for ids in joined]
+
+
+def _cut(text: str) -> list[str]:
+    first, *rest = text.split(" ")
+    return [first, *[" " + x for x in rest]]
+
+
+def _atoms(chunk: str) -> list[str]:
+    """A chunk cut at single line ends within it and before a mark that ends a word."""
+    result: list[str] = []
+    for i, part in enumerate(_LINE_END.split(chunk)):
+        if i:
+            result.append("\n")
+        if len(part) > 1 and part[-1] in _MARKS and part[-2].isalpha():
+            result += [part[:-1], part[-1]]
+        else:
+            result.append(part)
+    return result
 
 
 @lru_cache(maxsize=2)
