@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,10 +41,11 @@ KEYS_PER_PART = 100_000
 #: Bits of a level for each key that is left.
 SPREAD = 2
 #: Chunks of a generation of those that a process keeps.
-KEPT_CHUNKS = 250_000
+KEPT_CHUNKS = 300_000
 
 END_ID = 0
-_HEADER = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n", "<u4")])
+_HEADER = "<qBI"
+_HEADER_BYTES = struct.calcsize(_HEADER)
 #: White space before a space that white space or the end follows: there a cut could part a token.
 _UNSAFE = re.compile(r"\s (?=\s|\Z)")
 _LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
@@ -186,15 +188,15 @@ def write_shards(docs: DataFrame, tokenizer: str) -> str:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    kind = f"<u{_width(tokenizer)}"
+    kind = np.dtype(f"<u{_width(tokenizer)}")
+    end = np.array([END_ID], dtype=kind).tobytes()
 
     def work(run: pa.RecordBatch) -> pa.RecordBatch:
         records = []
         found = encoder_at(tokenizer).encode(run.column("text").to_pylist())
         for doc_id, ids in zip(run.column("doc_id").to_pylist(), found, strict=True):
-            header = np.array([(doc_id or 0, doc_id is not None, len(ids) + 1)], dtype=_HEADER)
-            payload = np.append(ids, END_ID).astype(kind)
-            records.append(header.tobytes() + payload.tobytes())
+            header = struct.pack(_HEADER, doc_id or 0, doc_id is not None, len(ids) + 1)
+            records.append(header + ids.astype(kind).tobytes() + end)
         return pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     folder = scratch_folder(docs.sparkSession, "token-shards")
@@ -209,8 +211,8 @@ def _scan_shard(content: bytes, width: int) -> Iterator[tuple]:
     at = before = repeat = 0
     last: tuple | None = None
     while at < len(content):
-        doc_id, known, count = np.frombuffer(content, _HEADER, 1, at)[0].tolist()
-        begin = at + _HEADER.itemsize
+        doc_id, known, count = struct.unpack_from(_HEADER, content, at)
+        begin = at + _HEADER_BYTES
         ids = np.frombuffer(content, f"<u{width}", count, begin)
         doc_id = doc_id if known else None
         repeat = repeat + 1 if last == (doc_id,) else 0
@@ -406,7 +408,7 @@ def fetch(spark: SparkSession, store: TokenStore, ids: list[int]) -> dict[int, n
     paths = {r.shard: r.path for r in files.select(number, "path").collect()}
     for row in look_up(keys, store.index, store.parts).collect():
         file = spark.read.format("binaryFile").load(paths[row.shard])
-        begin = row.at + _HEADER.itemsize + 1
+        begin = row.at + _HEADER_BYTES + 1
         part = F.substring("content", begin, row.n_tokens * store.width)
         payload = file.select(part.alias("x")).first().x
         result[row.doc_id] = np.frombuffer(bytes(payload), f"<u{store.width}").astype(np.uint32)
