@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logscore.llm.stored import stored
 from logscore.llm.words import buffer_of, by_run
 
 #: Bytes of context.
@@ -33,6 +34,8 @@ CONTEXTS = 20_000
 TABLE_VALUES = 32_000_000
 #: Bytes of a text, however long, that are worked on at once.
 CHUNK_BYTES = 1 << 20
+#: Languages whose row counts are broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: A language is left out when it has fewer labelled rows.
 LEAST_ROWS = 1
 
@@ -53,7 +56,9 @@ class Model:
 def learning_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """About that many rows of each language, chosen by a hash of the row."""
     labelled = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    counts = stored(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "language-counts")
+    if counts.count() <= BROADCAST_LANGUAGES:  # else Spark shuffles the texts
+        counts = F.broadcast(counts)
     share = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) / float(1 << 20)
     chosen = labelled.join(counts.where(f"rows >= {LEAST_ROWS}"), "lang")
     return chosen.where(share * F.col("rows") < rows_per_language).select("lang", "text")
