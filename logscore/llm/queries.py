@@ -82,7 +82,8 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    model = toxicity.fit(toxicity.learning_rows(docs.where(~language.held_out()), labels))
+    known = [table.where(~language.held_out()) for table in (docs, labels)]
+    model = toxicity.fit(toxicity.learning_rows(*known))
     found = toxicity.score(docs, model)
     return found.select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from logscore.llm.words import ALNUM, Words, by_run, words_of
 
 #: Labelled rows of each label to learn from, about; texts above LONGEST bytes are not learnt from.
-ROWS_PER_LABEL = 2000
+ROWS_PER_LABEL = 1200
 LONGEST = 64_000
 #: Words of a window, and words that one shares with the next.
 WINDOW, OVERLAP = 32, 8
@@ -46,6 +46,8 @@ UNSEEN = 0.5
 
 #: Windows that are scored at once, and text that is cut into words at once.
 _TOGETHER, _RUN_BYTES = 4096, 2 << 20
+#: Distinct words whose runs of characters are looked up at once.
+_WORDS_TOGETHER = 10_000
 
 Arrays = dict[str, np.ndarray]
 
@@ -127,8 +129,15 @@ def _inputs(model: Model, lexicon: Lexicon, rows: np.ndarray) -> np.ndarray:
     w = model.weights
     if not len(rows):
         return np.zeros((0, WORD_DIMS + CHAR_DIMS), dtype=np.float32)
-    chars = np.maximum.reduceat(w["chars"][lexicon.grams], lexicon.begins)
-    return np.hstack([w["words"][rows], chars])
+    result = np.empty((len(rows), WORD_DIMS + CHAR_DIMS), dtype=w["words"].dtype)
+    result[:, :WORD_DIMS] = w["words"][rows]
+    for begin in range(0, len(rows), _WORDS_TOGETHER):
+        part = slice(begin, begin + _WORDS_TOGETHER)
+        begins = lexicon.begins[part]
+        end = begins[-1] + lexicon.counts()[part][-1]
+        runs = w["chars"][lexicon.grams[begins[0] : end]]
+        result[part, WORD_DIMS:] = np.maximum.reduceat(runs, begins - begins[0])
+    return result
 
 
 def _gates(w: Arrays, side: str, entered: np.ndarray, state: np.ndarray) -> tuple:
@@ -278,6 +287,22 @@ def _text_counts(items: np.ndarray, texts: np.ndarray, labels: np.ndarray, size:
     return np.bincount(item, minlength=size), np.bincount(item, labels[text], minlength=size)
 
 
+def _gram_counts(
+    lexicon: Lexicon, which: np.ndarray, first: np.ndarray, labels: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """`_text_counts` of runs of characters, one text at a time."""
+    found, bad = np.zeros(1 << RUN_BITS), np.zeros(1 << RUN_BITS)
+    counts = lexicon.counts()
+    for text, label in enumerate(labels):
+        own = np.unique(which[first[text] : first[text + 1]])
+        repeat = counts[own]
+        index = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+        grams = np.unique(lexicon.grams[np.repeat(lexicon.begins[own], repeat) + index])
+        found[grams] += 1
+        bad[grams] += label
+    return found, bad
+
+
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """A model of texts and their labels, 0 or 1; the same for the same texts in the same order."""
     rng = np.random.default_rng(seed)
@@ -293,17 +318,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     order = np.lexsort((lexicon.hashes, -np.abs(telling)))
     kept = order[found[order] >= LEAST_TEXTS][:VOCABULARY]
     kept = kept[np.argsort(lexicon.hashes[kept])]
-    counts = lexicon.counts()
-    of_gram = np.repeat(np.arange(size), counts)
-    pairs = np.unique(which * (len(target) + 1) + of_word)
-    repeat = counts[pairs // (len(target) + 1)]
-    index = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
-    grams = lexicon.grams[np.repeat(lexicon.begins[pairs // (len(target) + 1)], repeat) + index]
-    gram_found, gram_bad = _text_counts(
-        grams, np.repeat(pairs % (len(target) + 1), repeat), target, 1 << RUN_BITS
-    )
+    gram_found, gram_bad = _gram_counts(lexicon, which, words.first, target)
     gram_telling = _telling(gram_found, gram_bad, len(target), target.sum())
-    del pairs, repeat, index, grams, of_gram
 
     def drawn(*shape: int, spread: float = 0.3) -> np.ndarray:
         return rng.normal(0, spread, shape).astype(np.float32)
@@ -407,14 +423,18 @@ def _step(
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_LABEL) -> DataFrame:
-    """About that many labelled texts of each label, chosen by a hash of the row."""
+    """About that many labelled texts of each label, chosen by a hash of the id.
+
+    The ids are drawn from the labels, so what is broadcast to the documents is a sample of about
+    `2 * rows` ids whatever their number. Labels of documents that may not be learnt from must be
+    left out by the caller.
+    """
     known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    short = docs.where(f"octet_length(text) <= {LONGEST}").select("doc_id", "text")
-    joined = short.join(known, "doc_id")
-    counts = joined.groupBy("toxic").agg(F.count("*").alias("count"))
+    counts = known.groupBy("toxic").agg(F.count("*").alias("count"))  # two rows
     share = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 20)) / float(1 << 20)
-    chosen = joined.join(F.broadcast(counts), "toxic").where(share * F.col("count") < rows)
-    return chosen.select("doc_id", "text", "toxic")
+    chosen = known.join(F.broadcast(counts), "toxic").where(share * F.col("count") < rows)
+    short = docs.where(f"octet_length(text) <= {LONGEST}").select("doc_id", "text")
+    return short.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
 
 
 def fit(rows: DataFrame) -> Model:
