@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscore.operators.envelope import sink_records
@@ -19,8 +20,9 @@ ATTEMPTS = 3
 FIRST_WAIT = 0.1
 #: Parts that a refused batch, and each refused part of it, is cut into.
 PARTS = 16
-#: Writes that may go into finding the events a sink refuses.
-SEARCH_WRITES = 500
+#: Events that are sent alone, none of them taken, before a part of which all cuts are refused counts
+#: as refused event by event.
+ALONE = 64
 
 
 @dataclass(frozen=True)
@@ -49,9 +51,10 @@ def deliver(
     """Write a batch, again after a wait if that fails, and at last only what is refused elsewhere.
 
     After the last attempt the batch is cut into parts by a hash of `part_by`, refused parts again,
-    down to single events; those still refused go to the dead-letter sink. A sink that refuses every
-    part of the first cut is down, and the batch goes there whole. So does what is left when
-    `SEARCH_WRITES` are used up.
+    down to single events; those still refused go to the dead-letter sink. A part of which every cut
+    is refused has events sent alone, spread by the hash: once one of them is taken the search goes
+    on, however many writes that needs; after `ALONE` refusals the sink is down for that part, which
+    goes to the dead letters whole.
 
     Returns "sent", "dead_letter" (some or all of it) or "lost". What neither sink takes raises, so
     that a stream stops and starts over from its checkpoint; `on_lost="log"` only logs it. A retry
@@ -130,37 +133,52 @@ def _refused(events: DataFrame, write: Write, batch: Batch, part_by: str) -> Dat
     if part_by not in events.columns:
         return events
     place = F.xxhash64(F.col(part_by))
-
-    def parts(name: str, rows: DataFrame, level: int) -> Iterator[tuple[str, DataFrame, int]]:
-        digit = F.pmod(F.shiftright(place, 4 * level), F.lit(PARTS))
-        for i in range(PARTS):
-            yield f"{name}{i:x}", rows.where(digit == i), level + 1
-
-    first = [part for part in parts("", events, 0) if not part[1].isEmpty()]
-    todo = [part for part in first if not _takes(write, batch, part)]
-    if len(todo) == len(first) > 1:
-        return events
-    refused: list[DataFrame] = []
-    writes = len(first)
+    alone: list[int] = []
+    whole: list[DataFrame] = []
+    todo = [("", events, 0)]
     while todo:
         name, rows, level = todo.pop(0)
-        if level == 16 or writes >= SEARCH_WRITES or rows.limit(2).count() == 1:
-            refused.append(rows)
-            continue
-        for part in parts(name, rows, level):
-            if not part[1].isEmpty():
-                writes += 1
-                if not _takes(write, batch, part):
-                    todo.append(part)
-    if not refused:
-        return None
-    result = refused[0]
-    for rows in refused[1:]:
-        result = result.union(rows)
-    return result
-
-
-def _takes(write: Write, batch: Batch, part: tuple[str, DataFrame, int]) -> bool:
+        digit = F.pmod(F.shiftright(place, 4 * level), F.lit(PARTS))
+        ends = (f(F.when(digit == i, place)) for i in range(PARTS) for f in (F.min, F.max))
+        found = rows.agg(*(x.alias(str(i)) for i, x in enumerate(ends))).first()
+        parts = [
+            (f"{name}{i:x}", rows.where(digit == i), found[2 * i] == found[2 * i + 1], found[2 * i])
+            for i in range(PARTS)
+            if found[2 * i] is not None
+        ]
+        left = [part for part in parts if not _takes(write, batch, part[:2])]
+        tried: list[int] = []
+        if len(left) == len(parts) > 1 and not all(single for _, _, single, _ in left):
+            tried, taken = _tried_alone(rows, write, batch, name, place)
+            if taken is None:
+                whole.append(rows)
+                continue
+            alone += [at for at in tried if at != taken]
+        for part, those, single, at in left:
+            if not single:
+                todo.append((part, those.where(~place.isin(tried)) if tried else those, level + 1))
+            elif at not in tried:
+                alone.append(at)
+    if alone:
+        at = events.sparkSession.createDataFrame([(x,) for x in alone], "refused_at bigint")
+        whole.append(events.join(at, place == at["refused_at"], "left_semi"))
+    return reduce(DataFrame.union, whole) if whole else None
+
+
+def _tried_alone(
+    rows: DataFrame, write: Write, batch: Batch, name: str, place: Column
+) -> tuple[list[int], int | None]:
+    """Send events one by one until one is taken: the places of those sent, and of the one taken."""
+    order = rows.select(place.alias("place")).distinct().orderBy("place").limit(ALONE)
+    tried: list[int] = []
+    for at in [row.place for row in order.collect()]:
+        tried.append(at)
+        if _takes(write, batch, (f"{name}-{len(tried)}", rows.where(place == at))):
+            return tried, at
+    return tried, None
+
+
+def _takes(write: Write, batch: Batch, part: tuple[str, DataFrame]) -> bool:
     return _try_write(part[1], write, replace(batch, part=part[0]), 1) is None
 
 

@@ -343,6 +343,26 @@ def test_only_what_is_refused_goes_to_the_dead_letters(spark):
     assert sorted(r.n for r in main.kept) == [n for n in range(300) if n not in (17, 230)]
 
 
+def test_refused_events_in_each_first_part_are_found(spark):
+    """Good events are sent although every part of the first cut is refused."""
+    place = F.pmod(F.xxhash64("n"), F.lit(16)).alias("part")
+    events = spark.range(120).toDF("n")
+    first = events.groupBy(place).agg(F.min("n").alias("n")).collect()
+    refused = [r.n for r in first]
+    assert len(refused) == 16
+    main, dead = Picky(*refused), Sink()
+    assert deliver(events, main, dead, first_wait=0.0, part_by="n") == "dead_letter"
+    assert sorted(r.n for r in dead.kept) == sorted(refused)
+    assert sorted(r.n for r in main.kept) == [n for n in range(120) if n not in refused]
+
+
+def test_a_dead_sink_is_found_by_single_events(spark):
+    main, dead = Sink(10_000), Sink()
+    assert deliver(spark.range(400).toDF("n"), main, dead, first_wait=0.0, part_by="n") == "dead_letter"
+    assert sorted(r.n for r in dead.kept) == list(range(400))
+    assert main.calls < 100
+
+
 def test_repeatable_batches_are_written_at_once(spark):
     """Nothing is computed before the first write; after a failure the rows are kept."""
     main = Sink(1)
