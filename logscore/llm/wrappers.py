@@ -3,8 +3,9 @@
 Pages of a host share a template. From a bounded sample of each host's pages a wrapper is induced:
 their DOM trees, with runs of like siblings folded into one node, are aligned by simple tree matching
 and merged. A node whose text is the same on all pages is template, a node whose text varies is a
-slot; the element that holds most of the varying text outside of menus, adverts and the like is the
-content. Every page is then aligned with the wrapper of its host: text in the content is kept, and
+slot; the element (or run of like elements) that holds most of the varying text outside of menus,
+adverts and the like is the content, as are the main elements of a page, all of them. Every page is
+then aligned with the wrapper of its host: text in the content is kept, and
 what matches template, or by its tag, class or role is no part of an article, goes. A page that the
 wrapper does not fit is read by the same rules on its own.
 
@@ -161,7 +162,8 @@ def _clean(text: str) -> str:
 
 @dataclass
 class Shape:
-    """A node of a wrapper. `text` is None where it varies; `pages` is how many show the node."""
+    """A node of a wrapper. `text` is None where it varies; `pages` is how many show the node; a
+    `run` stands for several like siblings of a page."""
 
     sign: str
     text: str | None
@@ -169,15 +171,16 @@ class Shape:
     never: bool
     kids: list[Shape]
     pages: int = 1
+    run: bool = False
 
     def dump(self) -> list:
         kids = [kid.dump() for kid in self.kids]
-        return [self.sign, self.text, self.chars, self.never, kids, self.pages]
+        return [self.sign, self.text, self.chars, self.never, kids, self.pages, self.run]
 
     @classmethod
     def load(cls, values: list) -> Shape:
-        sign, text, chars, never, kids, pages = values
-        return cls(sign, text, chars, never, [cls.load(kid) for kid in kids], pages)
+        sign, text, chars, never, kids, pages, run = values
+        return cls(sign, text, chars, never, [cls.load(kid) for kid in kids], pages, run)
 
 
 def shape_of(node: Node, read: bool = True) -> Shape:
@@ -206,6 +209,7 @@ def shape_of(node: Node, read: bool = True) -> Shape:
         if folded and folded[-1].sign == kid.sign:
             if read or kid.kids:
                 folded[-1] = merge(folded[-1], kid, same_page=True)
+            folded[-1].run = True
         else:
             folded.append(kid)
     return Shape(node.sign, text, len(text), read and node.never(), folded)
@@ -259,7 +263,8 @@ def merge(a: Shape, b: Shape, same_page: bool = False) -> Shape:
         i, j = x + 1, y + 1
     text = a.text if a.text == b.text else None
     pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
-    return Shape(a.sign, text, a.chars + b.chars, a.never and b.never, kids, pages)
+    run = a.run or b.run
+    return Shape(a.sign, text, a.chars + b.chars, a.never and b.never, kids, pages, run)
 
 
 def _varying(shape: Shape) -> int:
@@ -270,31 +275,31 @@ def _varying(shape: Shape) -> int:
     return own + sum(map(_varying, shape.kids))
 
 
-def _content(shape: Shape) -> list[int] | None:
-    """Where the content lies in a wrapper, as numbers of kids from the root."""
-    found: list[tuple[int, list[int]]] = []
+def _content(shape: Shape) -> list[list[int]] | None:
+    """Where the content lies in a wrapper: places in page order, as numbers of kids from the root."""
 
-    def mains(node: Shape, path: list[int]) -> None:
+    def mains(node: Shape, path: list[int]) -> list[list[int]]:
+        """The main elements of a tree; those inside of another one where they hold all its text."""
         if node.never:
-            return
-        if node.sign.split(".")[0] in MAIN:
-            found.append((_varying(node), path))
-        for i, kid in enumerate(node.kids):
-            mains(kid, [*path, i])
-
-    mains(shape, [])
-    if found:
-        most = max(found, key=lambda x: (x[0], len(x[1])))
-        return most[1]
+            return []
+        inner = [x for i, kid in enumerate(node.kids) for x in mains(kid, [*path, i])]
+        if node.sign.split(".")[0] not in MAIN:
+            return inner
+        held = sum(_varying(_at(shape, x)) for x in inner)
+        return inner if inner and held == _varying(node) else [path]
+
+    if found := mains(shape, []):
+        return [path for path in found if _varying(_at(shape, path))] or found
     total, path = _varying(shape), []
     if not total:
         return None
     while True:
         inner = [(_varying(kid), -i) for i, kid in enumerate(shape.kids)]
         most, i = max(inner, default=(0, 0))
-        # A run of like siblings, such as paragraphs, is not the content but lies in it.
-        if most < HOLDS * total or not shape.kids[-i].kids:
-            return path
+        # A run of like siblings, such as paragraphs, is not the content but lies in it. Of a run of
+        # sections each is content, whole.
+        if shape.run or most < HOLDS * total or not shape.kids[-i].kids:
+            return [path]
         shape = shape.kids[-i]
         path.append(-i)
 
@@ -302,7 +307,7 @@ def _content(shape: Shape) -> list[int] | None:
 @dataclass
 class Wrapper:
     shape: Shape
-    content: list[int] | None
+    content: list[list[int]] | None
 
     def dump(self) -> str:
         return json.dumps([self.shape.dump(), self.content])
@@ -324,8 +329,8 @@ def induce(pages: list[str]) -> Wrapper | None:
     return Wrapper(merged, _content(merged))
 
 
-def _main_of(root: Node) -> Node | None:
-    """The article of a page that no wrapper fits: of its main elements the one with most text."""
+def _mains_of(root: Node) -> list[Node]:
+    """The articles of a page that no wrapper fits: its main elements that lie in no other one."""
     found: list[Node] = []
 
     def look(node: Node) -> None:
@@ -333,10 +338,11 @@ def _main_of(root: Node) -> Node | None:
             if not isinstance(item, str) and not item.never():
                 if item.tag in MAIN:
                     found.append(item)
-                look(item)
+                else:
+                    look(item)
 
     look(root)
-    return max(found, key=lambda x: sum(map(len, blocks(x))), default=None)
+    return found
 
 
 def blocks(node: Node, template: dict[int, Shape] | None = None) -> list[str]:
@@ -374,18 +380,20 @@ def blocks(node: Node, template: dict[int, Shape] | None = None) -> list[str]:
 def extract(page: str, wrapper: Wrapper | None) -> str:
     """The main text of a page: blocks in page order with an empty line between."""
     root = parse(page)
-    content, template = None, {}
+    content, template = [], {}
     if wrapper is not None and wrapper.content is not None:
         content, template = _align(root, wrapper)
-    content = content or _main_of(root)
-    return "\n\n".join(blocks(content) if content is not None else blocks(root, template))
+    content = content or _mains_of(root)
+    found = [x for node in content for x in blocks(node)] if content else blocks(root, template)
+    return "\n\n".join(found)
 
 
-def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]:
-    """The node that lies where the wrapper has its content; nodes whose text is template."""
+def _align(root: Node, wrapper: Wrapper) -> tuple[list[Node], dict[int, Shape]]:
+    """The nodes that lie where the wrapper has its content, in page order; nodes whose text is
+    template."""
     template: dict[int, Shape] = {}
     content: list[Node] = []
-    target = _at(wrapper.shape, wrapper.content)
+    targets = {id(_at(wrapper.shape, path)) for path in wrapper.content}
 
     def kids_of(node: Node) -> list[Node]:
         found: list[Node] = []
@@ -406,7 +414,7 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
         return _size(shapes[id(node)], shape)
 
     def down(node: Node, shape: Shape) -> None:
-        if shape is target:
+        if id(shape) in targets:
             content.append(node)
             if node is not root:
                 return
@@ -427,10 +435,7 @@ def _align(root: Node, wrapper: Wrapper) -> tuple[Node | None, dict[int, Shape]]
                     down(kid, other)
 
     down(root, wrapper.shape)
-    chosen = content[0] if content else None
-    if len(content) > 1:
-        chosen = max(content, key=lambda x: sum(map(len, blocks(x))))
-    return (None if chosen is root else chosen), template
+    return [node for node in content if node is not root], template
 
 
 def _own_text(node: Node) -> str:

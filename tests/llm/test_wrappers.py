@@ -46,6 +46,28 @@ def test_a_paragraph_that_pages_share_stays():
     assert wrappers.extract(copies[0], wrappers.induce(copies)) == "Same page"
 
 
+def test_repeated_sections_are_all_content():
+    def sections(i: int) -> str:
+        return "".join(f"<div class=section><h2>Head {i} {k}</h2><p>Text {i} {k}</p></div>" for k in range(5))
+
+    pages = [f"<div class=top>Site</div>{sections(i)}<div class=end>The end</div>" for i in range(8)]
+    wrapper = wrappers.Wrapper.load(wrappers.induce(pages).dump())
+    expected = "\n\n".join(f"Head 3 {k}\n\nText 3 {k}" for k in range(5))
+    assert wrappers.extract(pages[3], wrapper) == expected
+
+
+@pytest.mark.parametrize("between", ["", "<div class=ad>Buy</div>"])
+@pytest.mark.parametrize("outer", ["main", "div"])
+def test_sibling_articles_are_all_content(outer, between):
+    def articles(i: int) -> str:
+        two = between.join(f"<article><p>Story {i} {k}</p></article>" for k in "ab")
+        return f"<p>Site</p><{outer}>{two}</{outer}>"
+
+    pages = [articles(i) for i in range(8)]
+    for wrapper in (wrappers.induce(pages), None):
+        assert wrappers.extract(pages[3], wrapper) == "Story 3 a\n\nStory 3 b"
+
+
 def test_constant_nodes_become_template():
     """Without an element for the content, text that all pages have goes."""
     pages = [f"<div><p class=t>Welcome to the site</p></div><h1>Title {i}</h1><p>Text {i}</p>" for i in range(6)]
