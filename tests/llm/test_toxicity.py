@@ -109,3 +109,10 @@ def test_sample_is_of_labelled_rows(spark):
     docs = documents(spark, ["a", None, "c", "d" * (toxicity.LONGEST + 1), "e"])
     labels = spark.createDataFrame([(0, 1), (0, 1), (1, 1), (3, 0), (4, 0), (2, None)], "doc_id bigint, toxic int")
     assert rows_of(toxicity.learning_rows(docs, labels), "doc_id", "toxic") == [(0, 1), (4, 0)]
+
+
+def test_learning_draws_about_two_thousand_of_each_label(spark):
+    docs = spark.range(8000).selectExpr("id AS doc_id", "'some text' AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+    counts = toxicity.learning_rows(docs, labels).groupBy("toxic").count().collect()
+    assert len(counts) == 2 and all(1800 < row["count"] < 2200 for row in counts)
