@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,17 +33,66 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Templates by the label they give; wording of public license notices.
+_MIT = (
+    "Permission is hereby granted free of charge to any person obtaining a copy of this software "
+    "and associated documentation files <<beginOptional>>the Software<<endOptional>> to deal in the "
+    "Software without restriction"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met "
+)
+_ISC = (
+    "Permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software "
+    "for any purpose with or without fee is hereby granted provided that the above copyright notice "
+    "and this permission notice appear in all copies "
+)
+#: Numbers of clauses and names of holders.
+_NUMBER = "<<beginOptional>><<var;name=number;match=[0-9a-e]|i{1,3}|iv;words=1>><<endOptional>> "
+_HOLDER = "<<var;name=holder;match=.+;words=20>> "
+_BSD_SOURCE_AND_BINARY = (
+    f"{_NUMBER} Redistributions of source code must retain the above copyright notice this list of "
+    f"conditions and the following disclaimer {_NUMBER} Redistributions in binary form must "
+    "reproduce the above copyright notice this list of conditions and the following disclaimer in "
+    "the documentation and or other materials provided with the distribution "
+)
+_BSD_ADVERTISING = (
+    f"{_NUMBER} All advertising materials mentioning features or use of this software must display "
+    "the following acknowledgement This product includes software developed by "
+    f"<<beginOptional>>the<<endOptional>> {_HOLDER}"
+)
+_BSD_NAMES = (
+    f"{_NUMBER} Neither the name of {_HOLDER} nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission "
+)
+_BSD_DISCLAIMER = (
+    f"This software is provided by {_HOLDER} as is and any express or implied warranties including "
+    "but not limited to the implied warranties of merchantability and fitness for a particular "
+    f"purpose are disclaimed In no event shall {_HOLDER} be liable for any direct indirect "
+    "incidental special exemplary or consequential damages including but not limited to procurement "
+    "of substitute goods or services loss of use data or profits or business interruption however "
+    "caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised of "
+    "the possibility of such damage"
+)
+
+#: Labels of wording that only begins a license; given where no whole text stands in that place.
+OPENINGS = frozenset(("bsd-opening", "isc-opening", "mit-opening"))
+
+#: Templates by the label they give; wording of public license notices, and whole license texts.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved",
     "apache-2.0": (
         "Licensed under the Apache License <<beginOptional>>Version<<endOptional>> "
         "<<var;name=version;match=v?2( 0)?;words=2>>"
     ),
-    "bsd": (
-        "Redistribution and use in source and binary forms with or without modification are "
-        "permitted provided that the following conditions are met"
+    "bsd-2-clause": _BSD + _BSD_SOURCE_AND_BINARY + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD + _BSD_SOURCE_AND_BINARY + _BSD_NAMES + _BSD_DISCLAIMER,
+    "bsd-4-clause": (
+        _BSD + _BSD_SOURCE_AND_BINARY + _BSD_ADVERTISING + _BSD_NAMES + _BSD_DISCLAIMER
     ),
+    "bsd-opening": _BSD,
     "cc-by-4.0": (
         "Licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> "
         "CC BY <<var;name=version;match=4 0;words=2>>"
@@ -61,17 +110,30 @@ TEMPLATES = {
     "gpl-2.0": "GNU General Public License <<var;name=version;match=(version|v) 2|v2;words=2>>",
     "gpl-3.0": "GNU General Public License <<var;name=version;match=(version|v) 3|v3;words=2>>",
     "isc": (
-        "Permission to use copy modify and or distribute this software for any purpose with or "
-        "without fee is hereby granted provided that the above copyright notice and this "
-        "permission notice appear in all copies"
+        f"{_ISC} The software is provided as is and {_HOLDER} disclaims all warranties with regard "
+        "to this software including all implied warranties of merchantability and fitness In no "
+        f"event shall {_HOLDER} be liable for any special direct indirect or consequential damages "
+        "or any damages whatsoever resulting from loss of use data or profits whether in an action "
+        "of contract negligence or other tortious action arising out of or in connection with the "
+        "use or performance of this software"
     ),
+    "isc-opening": _ISC,
+    "mit-opening": _MIT,
     "mit-release": (
         "Released under the <<beginOptional>>terms of the<<endOptional>> MIT License"
     ),
     "mit-text": (
-        "Permission is hereby granted free of charge to any person obtaining a copy of this "
-        "software and associated documentation files <<beginOptional>>the Software"
-        "<<endOptional>> to deal in the Software without restriction"
+        f"{_MIT} including without limitation the rights to use copy modify merge publish "
+        "distribute sublicense and or sell copies of the Software and to permit persons to whom the "
+        "Software is furnished to do so subject to the following conditions The above copyright "
+        "notice and this permission notice <<beginOptional>>including the next paragraph"
+        "<<endOptional>> shall be included in all copies or substantial portions of the Software "
+        "The software is provided as is without warranty of any kind express or implied including "
+        "but not limited to the warranties of merchantability fitness for a particular purpose and "
+        "<<var;name=non;match=non ?infringement;words=2>> In no event shall "
+        f"{_HOLDER} be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with the software or the "
+        "use or other dealings in the software"
     ),
 }
 
@@ -220,11 +282,14 @@ class Scanner:
                 if window in self.phrases:
                     places[text].append(place - int(words.first[text]))
                     base[text].add(self.phrases[window])
-                for label in self.heads.get(window, ()):
-                    if label not in more[text] and self._accepts(label, words, place, text):
-                        more[text].add(label)
+                more[text] |= self._accepted(self.heads.get(window, ()), words, place, text)
         return places, base, more
 
+    def _accepted(self, labels: Iterable[str], words: Words, place: int, text: int) -> set[str]:
+        """Those labels whose templates stand at a place; openings only where no other does."""
+        whole = {x for x in labels if x not in OPENINGS and self._accepts(x, words, place, text)}
+        return whole or {x for x in labels if x in OPENINGS and self._accepts(x, words, place, text)}
+
     def _accepts(self, label: str, words: Words, place: int, text: int) -> bool:
         automaton = self.templates[label]
         end = min(int(words.first[text + 1]), place + automaton.most)
@@ -246,7 +311,8 @@ def scan_licenses(
 ) -> DataFrame:
     """Per document: words, places of phrases, labels of phrases and of accepted templates.
 
-    `score` is 1 where a template is accepted, 0.5 where only a phrase stands, else 0. Reads
+    `score` is 1 where a template is accepted, 0.75 where only one of `OPENINGS` is, 0.5 where only a
+    phrase stands, else 0. Reads
     `doc_id` and `text`; other columns are not touched. A null or empty text has no words, no places
     and empty labels; first_word and last_word are null without a place. Repeated rows are all
     returned with the same result. Very long texts are worked on one at a time. An empty table gives
@@ -260,7 +326,10 @@ def scan_licenses(
             _scanners[made] = Scanner(dict(made[0]), dict(made[1]))
         words = words_of(run.column("text"), ALNUM)
         places, base, more = _scanners[made].find(words)
-        scores = [1.0 if m else 0.5 if b else 0.0 for b, m in zip(base, more, strict=True)]
+        scores = [
+            1.0 if m - OPENINGS else 0.75 if m else 0.5 if b else 0.0
+            for b, m in zip(base, more, strict=True)
+        ]
         both = [b | m for b, m in zip(base, more, strict=True)]
         return pa.RecordBatch.from_arrays(
             [

@@ -67,3 +67,55 @@ def test_own_templates(spark):
     docs = documents(spark, ["use it for good, not evil"])
     found = scan_licenses(docs, {}, {"json": "for good not evil"})
     assert rows_of(found, "base_labels", "labels") == [("", "json")]
+
+
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+the Software. {}
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution. {} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_NAMES = """{}. Neither the name of ACME Inc. nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+_ADVERTISING = """3. All advertising materials mentioning features or use of this software must display the following
+acknowledgement: This product includes software developed by the ACME project."""
+
+
+def test_whole_license_texts(spark):
+    good = "The Software shall be used for Good, not Evil."
+    isc = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+    hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
+    disclaimer = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+    INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+    SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+    PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH
+    THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+    expected = {
+        _MIT.format(""): ("mit-text", 1.0),
+        _MIT.format(good): ("mit-opening", 0.75),
+        _MIT.format("") + _MIT.format(good): ("mit-opening,mit-text", 1.0),
+        _BSD.format(""): ("bsd-2-clause", 1.0),
+        _BSD.format(_NAMES.format(3)): ("bsd-3-clause", 1.0),
+        _BSD.format(_ADVERTISING + _NAMES.format(4)): ("bsd-4-clause", 1.0),
+        _BSD.format("3. Send a postcard."): ("bsd-opening", 0.75),
+        isc + disclaimer: ("isc", 1.0),
+        isc: ("isc-opening", 0.75),
+    }
+    found = scan_licenses(documents(spark, list(expected)))
+    rows = {r.doc_id: (r.labels, r.score) for r in found.collect()}
+    assert [rows[i] for i in range(len(expected))] == list(expected.values())
