@@ -201,6 +201,22 @@ def _clean_run(how: str, windows: Windows, run: pa.RecordBatch) -> pa.RecordBatc
     return run.set_column(at, run.schema.field(at), pa.array(texts, run.column("text").type))
 
 
+def _cut_run(run: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows in `whole` with their `spans` cut out of their text."""
+    words = words_of(run.column("text"), ALNUM)
+    data, offsets = buffer_of(run.column("text"))
+    texts = run.column("text").to_pylist()
+    for i, spans in enumerate(run.column("spans").to_pylist()):
+        if spans:
+            whole = data[offsets[i] : offsets[i + 1]].tobytes()
+            pairs = [(span["first"], span["end"]) for span in spans]
+            left = _without_spans(whole, words, int(words.first[i]), pairs, int(offsets[i]))
+            texts[i] = left.decode("utf-8", "replace")
+    rows = pa.RecordBatch.from_struct_array(run.column("whole"))
+    at = rows.schema.get_field_index("text")
+    return rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.column(at).type))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents") -> DataFrame:
     """`docs` without what it shares with the benchmark; all columns pass through.
 
@@ -212,14 +228,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
     parts = _parts(benchmark)
     first, second = next(parts, []), next(parts, None)
-    if remove == "spans" or second is None:
-        for part in chain((first,), () if second is None else (second,), parts):
-            work = partial(_clean_run, remove)
-            docs = _mapped(docs, _windows(part), work, docs.schema)
-        return docs
+    if second is None:
+        return _mapped(docs, _windows(first), partial(_clean_run, remove), docs.schema)
     rows = docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
     rows = stored(rows, "scan-rows")
     merged = _scan_parts(rows.select("row", "whole.text"), [first, second], parts)
+    if remove == "spans":  # cut once, when the hits of all parts are known
+        cut = rows.join(merged.select("row", "spans"), "row", "left")
+        cut = cut.select("whole", F.col("whole.text").alias("text"), "spans")
+        return cut.mapInArrow(by_run(_cut_run), docs.schema)
     found = digest(merged.withColumn("doc_id", F.col("row"))).where("contaminated")
     found = found.select(F.col("doc_id").alias("row"))
     return rows.join(found, "row", "left_anti").select("whole.*")

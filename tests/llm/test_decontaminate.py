@@ -72,6 +72,18 @@ def test_spans_are_cut_out(spark):
     ]
 
 
+def test_spans_of_all_parts_are_cut_at_once(spark, monkeypatch):
+    """Hits of items in different parts overlap; words that a cut brings together are no hit."""
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 1)
+    items = ["alpha beta gamma delta", "gamma delta epsilon zeta", "start stop"]
+    benchmark = spark.createDataFrame([(i, x, 4) for i, x in enumerate(items)], ITEMS)
+    texts = ["Start alpha beta gamma delta epsilon zeta stop", "none", None, "gamma delta epsilon zeta x"]
+    given = documents(spark, texts)
+    left = decontaminate.decontaminate(given, benchmark, remove="spans")
+    assert left.columns == given.columns
+    assert rows_of(left, "doc_id", "text") == [(0, "Start  stop"), (1, "none"), (2, None), (3, " x")]
+
+
 def test_empty_tables(spark):
     benchmark = spark.createDataFrame([], ITEMS)
     docs = documents(spark, ["a b", "a b"])
