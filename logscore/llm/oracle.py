@@ -155,10 +155,45 @@ FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+REPEATS = """
+WITH hexed AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM hexed)
+), gone AS (
+    SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY w) AS first FROM windows)
+    WHERE doc_id > first
+), runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+    FROM (
+        SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (
+            SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50
+                THEN 0 ELSE 1 END AS new
+            FROM gone
+        )
+    ) GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_,
+    FROM runs
+), kept AS (
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+        string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS k
+    FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM hexed LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": WARC,
         "op3_quality": _quality(),
         "op6_near_duplicates": NEAR_DUPLICATES,
         "op7_decontaminate": DECONTAMINATE,
+        "op11_repeats": REPEATS,
     }

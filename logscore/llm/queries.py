@@ -14,6 +14,7 @@ from logscore.llm import (
     language,
     pieces,
     quality,
+    repeats,
     token_store,
     toxicity,
     warc,
@@ -92,6 +93,18 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(_table(spark, folder, "documents"))
 
 
+def op11_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.cut_repeats(_table(spark, folder, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        n_removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_warc,
@@ -104,5 +117,6 @@ def queries() -> dict[str, Query]:
         op8_pieces,
         op9_toxicity,
         op10_licenses,
+        op11_repeats,
     )
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
