@@ -189,6 +189,68 @@ FROM hexed LEFT JOIN kept USING (doc_id)
 """
 
 
+#: CRC-32 of a number in decimal, bit by bit; 3988292384 is its fixed polynomial.
+_CRC32 = """
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+            list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+            lambda y, k: xor(y >> 1, (y & 1) * 3988292384))), 4294967295::BIGINT)
+"""
+
+TRIE = rf"""
+WITH turns AS (
+    SELECT conv_id, digest, n_words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS i
+    FROM (
+        SELECT conv_id, turn, len(regexp_extract_all(text, '{_SPACED}')) AS n_words,
+            sha256(strlen(role) || ':' || role || text) AS digest
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM conversations WHERE conv_id IS NOT NULL)
+    )
+), convs AS (
+    SELECT *, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS base
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)
+), taken AS (
+    SELECT c.conv_id, c.h, c.n, least(c.h, coalesce(b.n, 0)) AS n_taken, c.base
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), rebuilt AS (
+    SELECT conv_id, n_taken + i - h AS depth, digest, n_words
+    FROM turns JOIN taken USING (conv_id) WHERE i > h
+    UNION ALL
+    SELECT c.conv_id, i, digest, n_words
+    FROM taken c JOIN turns t ON t.conv_id = c.base WHERE i <= h
+), prefixes AS (
+    SELECT conv_id AS member, 0 AS depth, [] AS prefix, 0 AS n_words FROM convs
+    UNION ALL
+    SELECT conv_id, depth, list(digest) OVER (PARTITION BY conv_id ORDER BY depth), n_words
+    FROM rebuilt
+), paths AS (
+    SELECT *, min(member) OVER (PARTITION BY depth, prefix) AS conv_id,
+        depth = max(depth) OVER (PARTITION BY member) AS last
+    FROM prefixes
+), nodes AS (
+    SELECT conv_id, depth, count(*) AS n_convs, count(*) FILTER (last) AS n_ends,
+        min(n_words) AS n_words,
+        sha256(coalesce(string_agg(member::VARCHAR, ',' ORDER BY member) FILTER (last), '')) AS ends
+    FROM paths GROUP BY conv_id, depth
+), totals AS (
+    SELECT p.conv_id, p.depth, sum(CASE WHEN x.n_ends = x.n_convs THEN 1 ELSE 0 END) AS n_leaves,
+        sum((x.n_convs - 1) * x.n_words) AS saved
+    FROM nodes x JOIN paths p ON p.member = x.conv_id AND p.depth <= x.depth
+    GROUP BY p.conv_id, p.depth
+), parents AS (
+    SELECT x.conv_id, x.depth, p.conv_id AS parent
+    FROM nodes x JOIN paths p ON p.member = x.conv_id AND p.depth = x.depth - 1
+), children AS (
+    SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n FROM parents GROUP BY ALL
+)
+SELECT conv_id, depth, parent AS parent_conv_id, n_convs, coalesce(n, 0) AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM nodes JOIN totals USING (conv_id, depth) LEFT JOIN parents USING (conv_id, depth)
+    LEFT JOIN children USING (conv_id, depth)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": WARC,
@@ -196,4 +258,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_near_duplicates": NEAR_DUPLICATES,
         "op7_decontaminate": DECONTAMINATE,
         "op11_repeats": REPEATS,
+        "op12_trie": TRIE,
     }

@@ -17,6 +17,7 @@ from logscore.llm import (
     repeats,
     token_store,
     toxicity,
+    tries,
     warc,
     wrappers,
 )
@@ -105,6 +106,10 @@ def op11_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.trie(_table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_warc,
@@ -118,5 +123,6 @@ def queries() -> dict[str, Query]:
         op9_toxicity,
         op10_licenses,
         op11_repeats,
+        op12_trie,
     )
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
