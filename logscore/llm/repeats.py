@@ -4,14 +4,16 @@ A window is a string of `length` bytes within a document. Equal windows meet in
 Every window has an anchor, the least hash of the grams of `GRAM` bytes in it, so equal windows have
 equal anchors; windows in a row with the same anchor are a piece of text.
 
-1. Documents are dealt into parts, written once, bucketed by part so that they are not shuffled again.
+1. Documents are written once as parts, as they lie, bucketed by part: texts are never shuffled.
 2. Parts send the hashes of their anchors, each once, to tasks that tell which are in two documents.
    Only pieces with such anchors go on (a superset: hashes are cut to 30 bits and their bucket).
 3. Each part sends its different pieces, with the smallest doc_id that has each, to groups of anchors.
    Anchors with very many pieces are split: each of their windows is a piece, dealt by its own hash.
-4. A group makes the Burrows-Wheeler transforms of shards of its pieces and merges them by interleave
-   refinement. A run of suffixes with `length` bytes in common is a repeated window: all but those of
-   its smallest doc_id are to be removed. What is to be removed goes back to the parts.
+4. Different pieces with the same anchor may share windows; one that is alone with its anchor has
+   the documents that have it and nothing else to be compared with. Of the others a group makes the
+   Burrows-Wheeler transforms of shards and merges them by interleave refinement. A run of suffixes
+   with `length` bytes in common is a repeated window: all but those of its smallest doc_id are to be
+   removed. What is to be removed goes back to the parts.
 5. Parts cut their documents.
 
 What a task holds is bounded by the size of a part and of a group, not by how often a text is
@@ -31,7 +33,6 @@ from pyspark.sql import functions as F
 
 from logscore.llm import bwt
 from logscore.llm.groups import by_group
-from logscore.llm.stored import stored
 from logscore.llm.words import buffer_of, mix, runs
 from logscore.session import scratch_folder
 
@@ -40,9 +41,11 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a part, about, and those that are worked on at a time.
 PART_BYTES = 32 << 20
-RUN_BYTES = 2 << 20
+#: Documents are dealt anew first if a task has this many times as much.
+LARGE_PARTS = 8
+RUN_BYTES = 1 << 20
 #: Bytes of text for each group of anchors; a group gets the pieces of it that are shared.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 #: Bytes of pieces in a shard.
 SHARD_BYTES = 256 << 10
 #: Anchors that are in more parts, or stand more often in a part, are split by window.
@@ -276,7 +279,8 @@ def _shared(bucket: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 _PIECES = (
-    "grp bigint, part bigint, alone boolean, hash bigint, doc_id bigint, several boolean, piece binary"
+    "anchor bigint, part bigint, alone boolean, hash bigint, doc_id bigint, several boolean, "
+    "piece binary"
 )
 
 
@@ -295,7 +299,7 @@ def _different(table: pa.Table) -> pa.Table:
     return table.set_column(table.column_names.index("most"), "most", pa.array(most))
 
 
-def _shared_pieces(length: int, buckets: int, groups: int):
+def _shared_pieces(length: int, buckets: int):
     def work(docs: pa.Table, keys: pa.Table) -> pa.Table:
         told = np.frombuffer(b"".join(keys.column("keys").to_pylist()), dtype=np.uint64)
         told = np.unique(told)
@@ -313,9 +317,8 @@ def _shared_pieces(length: int, buckets: int, groups: int):
             parts.append((starts, np.ones(len(starts), np.int64), texts, True))
             for starts, counts, texts, alone in parts:
                 hashes = pieces.hashes(starts, counts)
-                dealt = hashes if alone else anchors[whole]
                 rows = {
-                    "grp": pa.array((dealt % np.uint64(groups)).astype(np.int64)),
+                    "anchor": pa.array((hashes if alone else anchors[whole]).view(np.int64)),
                     "alone": pa.array(np.full(len(starts), alone)),
                     "hash": pa.array(hashes.view(np.int64)),
                     "doc_id": pa.array(ids[texts]),
@@ -333,7 +336,7 @@ def _shared_pieces(length: int, buckets: int, groups: int):
         several = pa.array(table.column("most").to_numpy() > table.column("doc_id").to_numpy())
         return pa.table(
             {
-                "grp": table.column("grp"),
+                "anchor": table.column("anchor"),
                 "part": part,
                 "alone": table.column("alone"),
                 "hash": table.column("hash"),
@@ -392,8 +395,15 @@ def _cuts_of_group(length: int):
         docs = group.column("doc_id").to_numpy()
         first = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(first, number, docs)
-        bits = first_of_windows(coded.dictionary.to_pylist(), first, length)[number]
-        first = first[number]
+        anchor = np.empty(len(first), dtype=np.int64)
+        anchor[number] = group.column("anchor").to_numpy()
+        _, of_anchor, times = np.unique(anchor, return_inverse=True, return_counts=True)
+        met = np.flatnonzero(times[of_anchor] > 1)
+        bits = np.zeros(len(first), dtype=np.uint64)
+        if len(met):
+            strings = coded.dictionary.take(pa.array(met)).to_pylist()
+            bits[met] = first_of_windows(strings, first[met], length)
+        bits, first = bits[number], first[number]
         told = (first < docs) | group.column("several").to_numpy() | (bits > 0)
         chosen = group.select(["part", "alone", "hash"]).filter(pa.array(told))
         yield from (
@@ -505,27 +515,43 @@ def cut_repeats(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-total // part_bytes))
+    table, parts, total = _parts(texts, part_bytes)
     groups = max(parts, -(-total // group_bytes))
-    dealt = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(parts))
+    anchors = table.mapInArrow(_anchors(length, parts), "bucket bigint, part bigint, cut binary")
+    shared = by_group(anchors, ["bucket"], _shared, "part bigint, keys binary")
+    pieces = (
+        table.groupBy("part")
+        .cogroup(shared.groupBy("part"))
+        .applyInArrow(_shared_pieces(length, parts), _PIECES)
+    )
+    grouped = pieces.withColumn("grp", F.pmod("anchor", F.lit(groups)))
+    cuts = by_group(grouped, ["grp"], _cuts_of_group(length), _CUTS)
+    return table.groupBy("part").cogroup(cuts.groupBy("part")).applyInArrow(_cut(length), _KEPT)
+
+
+def _parts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame, int, int]:
+    """Texts written as a table bucketed by `part`, one part and one bucket for each task that reads
+    them; the number of parts and of bytes."""
+    spark = texts.sparkSession
+    task = F.spark_partition_id()
+    sizes = texts.groupBy(task.alias("task")).agg(F.sum(F.octet_length("text")).alias("bytes"))
+    sizes = {row.task: row.bytes or 0 for row in sizes.collect()}  # a row for each task
+    total, parts = sum(sizes.values()), max(sizes, default=0) + 1
+    if max(sizes.values(), default=0) > LARGE_PARTS * part_bytes:
+        parts = -(-total // part_bytes)
+        texts = texts.repartition(parts)
+    # The part of a task is a number that Spark puts into the bucket of the task's number.
+    numbers = spark.range(32 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("task"))
+    numbers = numbers.groupBy("task").agg(F.min("id").alias("part"))
+    dealt = texts.withColumn("task", F.pmod(task, F.lit(parts)))
+    dealt = dealt.join(F.broadcast(numbers), "task", "left")  # as many rows as tasks
     name = f"repeats_{uuid.uuid4().hex}"
     (
-        texts.withColumn("part", dealt)
-        .repartition(parts, "part")
+        dealt.select("doc_id", "text", F.coalesce("part", F.lit(0)).alias("part"))
         .write.option("path", scratch_folder(spark, "repeats"))
         .option("compression", "zstd")
         .bucketBy(parts, "part")
         .format("parquet")
         .saveAsTable(name)
     )
-    table = spark.table(name)
-    anchors = table.mapInArrow(_anchors(length, parts), "bucket bigint, part bigint, cut binary")
-    shared = by_group(anchors, ["bucket"], _shared, "part bigint, keys binary")
-    pieces = (
-        table.groupBy("part")
-        .cogroup(shared.groupBy("part"))
-        .applyInArrow(_shared_pieces(length, parts, groups), _PIECES)
-    )
-    cuts = stored(by_group(pieces, ["grp"], _cuts_of_group(length), _CUTS), "cuts")
-    return table.groupBy("part").cogroup(cuts.groupBy("part")).applyInArrow(_cut(length), _KEPT)
+    return spark.table(name), parts, total
