@@ -251,6 +251,32 @@ FROM nodes JOIN totals USING (conv_id, depth) LEFT JOIN parents USING (conv_id,
 """
 
 
+NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score
+    FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, other AS negative_id, positive_score,
+    score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": WARC,
@@ -259,4 +285,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontaminate": DECONTAMINATE,
         "op11_repeats": REPEATS,
         "op12_trie": TRIE,
+        "op13_negatives": NEGATIVES,
     }

@@ -12,6 +12,7 @@ import corpus_pipeline
 from logscore.llm import (
     decontaminate,
     language,
+    negatives,
     pieces,
     quality,
     repeats,
@@ -110,6 +111,12 @@ def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
     return tries.trie(_table(spark, folder, "conversations"))
 
 
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = negatives.integer_vectors(_table(spark, folder, "embeddings"), label)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_warc,
@@ -124,5 +131,6 @@ def queries() -> dict[str, Query]:
         op10_licenses,
         op11_repeats,
         op12_trie,
+        op13_negatives,
     )
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
