@@ -55,10 +55,11 @@ def envelope(
     )
 
 
-def sink_records(events: DataFrame, *, key: bool = False) -> DataFrame:
+def sink_records(events: DataFrame, *, key: bool = False, beside: bool = False) -> DataFrame:
     """Events as broker records: `value` is the JSON text, `key` on request the event id.
 
-    Members that are null stay in the text; an event without data gets an empty object.
+    Members that are null stay in the text; an event without data gets an empty object. `beside`
+    keeps the columns of the events and calls the new ones `_value` and `_key`.
     """
 
     def text(data: Column) -> Column:
@@ -67,7 +68,8 @@ def sink_records(events: DataFrame, *, key: bool = False) -> DataFrame:
 
     empty = F.create_map().cast("map<string,string>")
     value = F.when(F.col("data").isNull(), text(empty)).otherwise(text(F.col("data")))
-    columns = [value.alias("value")]
-    if key:
-        columns.insert(0, F.col("event_id").alias("key"))
-    return events.select(*columns)
+    columns = {"key": F.col("event_id")} if key else {}
+    columns["value"] = value
+    if beside:
+        return events.select("*", *(c.alias(f"_{name}") for name, c in columns.items()))
+    return events.select(*(c.alias(name) for name, c in columns.items()))

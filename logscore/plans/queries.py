@@ -35,7 +35,8 @@ from logscore.session import configure, scratch_folder
 from logscore.sources.features import read_features
 from logscore.sources.raw import stream_messages
 from logscore.sources.tables import raw_exfil, raw_login, raw_typed, user_features
-from logscore.streaming.sinks import Batch, file_writer
+from logscore.streaming.each import EachEvent
+from logscore.streaming.sinks import file_writer
 from logscore.streaming.stream import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -343,16 +344,19 @@ def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+class _Picky:
+    """A sink that refuses events whose id begins with three zeros."""
+
+    def send(self, records: list[tuple[str | None, str]]) -> dict[int, str]:
+        return {i: "refused" for i, (key, _) in enumerate(records) if key.startswith("000")}
+
+    def close(self) -> None:
+        pass
+
+
 def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """A sink that refuses some events gets all others; those go to the dead letters."""
     sent, dead, checkpoint = (scratch_folder(spark, x) for x in ("events", "dead", "checkpoint"))
-    accept = file_writer(sent)
-
-    def write(events: DataFrame, batch: Batch) -> None:
-        if not events.where("event_id LIKE '000%'").isEmpty():
-            raise OSError("refused")
-        accept(events, batch)
-
     stream = _message_files(spark, raw_login(spark, folder))
     features = user_features(spark, folder)
     start_scoring(
@@ -361,11 +365,11 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
         features,
         LoginAnomaly(),
         checkpoint=checkpoint,
-        write=write,
+        write=EachEvent(lambda place: _Picky()),
         write_dead_letter=file_writer(dead),
         trigger={"availableNow": True},
         options={"as_of": AS_OF},
-        delivery={"first_wait": 0.0},
+        delivery={"first_wait": 0.0, "write_sent": file_writer(sent)},
     ).awaitTermination()
     schema = score_messages(raw_login(spark, folder), LOGIN, features, LoginAnomaly()).schema
     parts = [

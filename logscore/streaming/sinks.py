@@ -12,12 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscore.operators.envelope import sink_records
+from logscore.streaming.each import ATTEMPTS, FIRST_WAIT, REFUSED, EachEvent
 
 log = logging.getLogger(__name__)
 
-# Attempts per send and the first wait in seconds, doubled after each failure.
-ATTEMPTS = 3
-FIRST_WAIT = 0.1
 #: Parts that a refused batch, and each refused part of it, is cut into.
 PARTS = 16
 #: Events that are sent alone, none of them taken, before a part of which all cuts are refused counts
@@ -36,10 +34,14 @@ class Batch:
 Write = Callable[[DataFrame, Batch], None]
 
 
+class Refused(Exception):
+    """Events that neither the sink nor the dead-letter sink took."""
+
+
 def deliver(
     events: DataFrame,
-    write: Write,
-    write_dead_letter: Write | None = None,
+    write: Write | EachEvent,
+    write_dead_letter: Write | EachEvent | None = None,
     *,
     batch_id: int | None = None,
     attempts: int = ATTEMPTS,
@@ -47,10 +49,15 @@ def deliver(
     on_lost: str = "raise",
     part_by: str = "event_id",
     repeatable: bool = False,
+    write_sent: Write | None = None,
 ) -> str:
     """Write a batch, again after a wait if that fails, and at last only what is refused elsewhere.
 
-    After the last attempt the batch is cut into parts by a hash of `part_by`, refused parts again,
+    An `EachEvent` sink answers for each event: it is sent the batch once, from the tasks, and what it
+    refuses three times goes to the dead-letter sink with the reason in `refused_because`.
+    `write_sent` then gets the events it took, for a table of receipts.
+
+    Other writers answer for the batch. After the last attempt the batch is cut into parts by a hash of `part_by`, refused parts again,
     down to single events; those still refused go to the dead-letter sink. A part of which every cut
     is refused has events sent alone, spread by the hash: once one of them is taken the search goes
     on, however many writes that needs; after `ALONE` refusals the sink is down for that part, which
@@ -67,6 +74,11 @@ def deliver(
     if on_lost not in ("raise", "log"):
         raise ValueError(f"on_lost must be raise or log, not {on_lost!r}")
     batch = Batch(batch_id)
+    if isinstance(write, EachEvent):
+        waits = {"batch_id": batch_id, "attempts": attempts, "first_wait": first_wait}
+        return _deliver_each(events, write, write_dead_letter, batch, on_lost, write_sent, waits)
+    if isinstance(write_dead_letter, EachEvent):
+        write_dead_letter = _all_or_error(write_dead_letter)
     kept_by_caller = events.is_cached
     tried = 0
     if repeatable and not kept_by_caller:
@@ -99,6 +111,54 @@ def deliver(
             events.unpersist()
 
 
+def _deliver_each(
+    events: DataFrame,
+    write: EachEvent,
+    write_dead_letter: Write | EachEvent | None,
+    batch: Batch,
+    on_lost: str,
+    write_sent: Write | None,
+    waits: Mapping[str, object],
+) -> str:
+    """Send from the tasks; only the answers that are needed are kept."""
+    answered = write.acknowledged(events, **waits)
+    refused = f"{REFUSED} IS NOT NULL"
+    answered = computed(answered if write_sent is not None else answered.where(refused))
+    try:
+        if write_sent is not None:
+            write_sent(answered.where(f"{REFUSED} IS NULL").drop(REFUSED), batch)
+        left = answered.where(refused)
+        if left.isEmpty():
+            return "sent"
+        error: Exception = Refused("the sink refused events and there is no dead-letter sink")
+        if write_dead_letter is not None:
+            if isinstance(write_dead_letter, EachEvent):
+                write_dead_letter = _all_or_error(write_dead_letter)
+            try:
+                write_dead_letter(left, replace(batch, part="refused"))
+                return "dead_letter"
+            except Exception as dead_letter_error:
+                error = dead_letter_error
+                log.exception("the dead-letter sink failed too")
+        if on_lost == "raise":
+            raise error
+        return "lost"
+    finally:
+        answered.unpersist()
+
+
+def _all_or_error(sink: EachEvent) -> Write:
+    """As a writer that raises if an event is refused."""
+
+    def write(events: DataFrame, batch: Batch) -> None:
+        left = sink.acknowledged(events, batch.id).where(f"{REFUSED} IS NOT NULL")
+        first = left.agg(F.count("*"), F.min(REFUSED)).first()
+        if first[0]:
+            raise Refused(f"{first[0]} events refused, one because: {first[1]}")
+
+    return write
+
+
 def computed(events: DataFrame) -> DataFrame:
     """The same rows, computed now and kept, so that later failures are the sink's own."""
     if events.is_cached:

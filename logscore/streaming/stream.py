@@ -23,6 +23,7 @@ from logscore.operators.scoring import LoginAnomaly, Model
 from logscore.operators.validate import check
 from logscore.plans.score import score_messages, score_valid
 from logscore.schema import Schema
+from logscore.streaming.each import EachEvent
 from logscore.streaming.sinks import Batch, Write, computed, deliver
 
 log = logging.getLogger(__name__)
@@ -59,8 +60,8 @@ def start_scoring(
     model: Model,
     *,
     checkpoint: str,
-    write: Write,
-    write_dead_letter: Write | None = None,
+    write: Write | EachEvent,
+    write_dead_letter: Write | EachEvent | None = None,
     write_rejected: Write | None = None,
     write_failed: Write | None = None,
     contain_failures: bool = False,
