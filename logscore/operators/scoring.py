@@ -27,6 +27,9 @@ REASON_RISK = "high_risk_ip"
 REASON_COUNTRY = "unusual_country"
 
 
+#: Column with the error of a row that a model failed on.
+MODEL_ERROR = "model_error"
+
 _NULLABLE = {
     pa.int8(): pd.Int8Dtype(),
     pa.int16(): pd.Int16Dtype(),
@@ -135,6 +138,11 @@ class PandasModel:
     events, with the columns of `adds` (a DDL list that names `score`). `data` lists the columns
     that make up the event's `data`. Integer columns are pandas' nullable integers, so that a null
     beside it does not round a large number; timestamps are in UTC.
+
+    With `isolate` an error of the function costs only the rows it comes from: the task cuts the batch
+    in halves, and these again, until the rows are found that fail alone. They come out with the
+    error's text in the column `model_error`, NULL for the others, and without `data`. A function of
+    which a row's result depends on the other rows of its batch is better not cut.
     """
 
     function: Callable[[pd.DataFrame], pd.DataFrame]
@@ -144,6 +152,7 @@ class PandasModel:
     inputs: Sequence[str] | None = None
     features: Callable[[], Mapping[str, Column] | None] | None = None
     prepare: Callable[[DataFrame], DataFrame] | None = None
+    isolate: bool = False
 
     def feature_columns(self) -> Mapping[str, Column] | None:
         return self.features() if self.features else None
@@ -155,19 +164,47 @@ class PandasModel:
     def process(self, rows: DataFrame) -> DataFrame:
         function = self.function
         added = T.StructType.fromDDL(self.adds)
+        apply = _isolated(function, added.names) if self.isolate else lambda frame: [function(frame)]
+        if self.isolate:
+            added = T.StructType([*added.fields, T.StructField(MODEL_ERROR, T.StringType())])
         kept = [f for f in rows.schema.fields if f.name not in added.names]
         schema = T.StructType([*kept, *added.fields])
         result = to_arrow_schema(schema)
 
         def batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                frame = function(batch.to_pandas(types_mapper=_NULLABLE.get))
-                yield from pa.Table.from_pandas(
-                    frame[result.names], schema=result, preserve_index=False
-                ).to_batches()
+                for frame in apply(batch.to_pandas(types_mapper=_NULLABLE.get)):
+                    yield from pa.Table.from_pandas(
+                        frame[result.names], schema=result, preserve_index=False
+                    ).to_batches()
 
         scored = rows.mapInArrow(batches, schema)
-        return scored.withColumn("data", F.struct(*self.data))
+        data = F.struct(*self.data)
+        if self.isolate:
+            data = F.when(F.col(MODEL_ERROR).isNull(), data)
+        return scored.withColumn("data", data)
+
+
+def _isolated(
+    function: Callable[[pd.DataFrame], pd.DataFrame], adds: Sequence[str]
+) -> Callable[[pd.DataFrame], Iterator[pd.DataFrame]]:
+    """`function` on the largest parts of a frame that it does not fail on, in their order."""
+
+    def apply(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        todo = [frame]
+        while todo:
+            part = todo.pop()
+            try:
+                yield function(part.copy(deep=False)).assign(**{MODEL_ERROR: None})
+            except Exception as error:
+                if len(part) > 1:
+                    half = len(part) // 2
+                    todo += [part.iloc[half:], part.iloc[:half]]
+                    continue
+                failed = dict.fromkeys(adds) | {MODEL_ERROR: f"{type(error).__name__}: {error}"}
+                yield part.assign(**failed)
+
+    return apply
 
 
 def login_anomaly_pandas(threshold: float = THRESHOLD) -> PandasModel:

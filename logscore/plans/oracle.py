@@ -178,6 +178,10 @@ FROM events WHERE event_id % 100 IN ({faults})"""
 def oracle_sql() -> dict[str, str]:
     events = _events("pydantic", "score")
     offsets = 'SELECT event_id AS "offset" FROM events WHERE event_id % 100 NOT IN ({})'
+    picky = f"""{events}
+SELECT * EXCLUDE (batch_id),
+       CASE WHEN event_id LIKE '000%' THEN 'dead_letters' ELSE 'events' END AS sink
+FROM produced"""
     flat_features = f"WITH {_FEATURES} SELECT * EXCLUDE (empty) FROM features"
     looked_up = "event_id, user_id, has_features, risk_score, travel_freq"
     scored = f"event_id AS source_event_id, user_id, {_SCORE.format('event_id')} AS score"
@@ -243,13 +247,16 @@ SELECT event_id AS "key", * EXCLUDE (batch_id, source_event_id),
 FROM produced""",
         "pandas_model": _flat(events),
         "stream_events": _flat(events),
-        "stream_dead_letters": f"""{events}
-SELECT * EXCLUDE (batch_id),
-       CASE WHEN event_id LIKE '000%' THEN 'dead_letters' ELSE 'events' END AS sink
-FROM produced""",
+        "stream_dead_letters": picky,
+        "stream_restart": picky,
         "stream_rejects": f"""SELECT reject_reason, count(*) AS messages FROM ({_rejects()})
 WHERE policy = 'pydantic' GROUP BY reject_reason""",
         "stream_contained": f"""{events}
+SELECT 'events' AS sink, source_event_id, NULL AS model_error
+FROM produced WHERE source_event_id NOT LIKE '000%'
+UNION ALL SELECT 'failed', source_event_id, 'ValueError: no score for this message'
+FROM event WHERE source_event_id LIKE '000%'""",
+        "stream_contained_batch": f"""{events}
 SELECT 'events' AS sink, count(*) AS rows FROM produced WHERE batch_id <> 0
 UNION ALL SELECT 'failed', count(*) FROM events WHERE event_id // 100 = 0""",
         "pandas_exfil": f"""SELECT "offset",

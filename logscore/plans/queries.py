@@ -10,7 +10,8 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
+import pandas as pd
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,9 @@ from logscore.session import configure, scratch_folder
 from logscore.sources.features import read_features
 from logscore.sources.raw import stream_messages
 from logscore.sources.tables import raw_exfil, raw_login, raw_typed, user_features
+from logscore.streaming.batch import Batch
 from logscore.streaming.each import EachEvent
+from logscore.streaming.ledger import LedgerWriter, read_committed
 from logscore.streaming.sinks import file_writer
 from logscore.streaming.stream import start_scoring
 
@@ -328,10 +331,11 @@ def stored_features(layout: str) -> Query:
 
 
 def _message_files(spark: SparkSession, messages: DataFrame) -> DataFrame:
-    """Messages written as four text files, to be read as a stream in four micro-batches."""
+    """Messages written as text files, to be read as a stream in four micro-batches."""
     path = scratch_folder(spark, "messages")
-    messages.select("value").repartition(4).write.text(path)
-    return stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
+    files = 4 * -(-max(4, messages.rdd.getNumPartitions()) // 4)
+    messages.select("value").repartition(files).write.text(path)
+    return stream_messages(spark, "text", {"maxFilesPerTrigger": str(files // 4)}, path)
 
 
 def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -379,6 +383,46 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].union(parts[1])
 
 
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that stops in the middle of writing a micro-batch and starts again: by the ledgers,
+    each event is there once."""
+    sent, dead, checkpoint = (scratch_folder(spark, x) for x in ("events", "dead", "checkpoint"))
+    dies = [True]
+
+    class Dying(LedgerWriter):
+        def __call__(self, events: DataFrame, batch: Batch) -> None:
+            if batch.id == 1 and dies:
+                dies.clear()
+                raise OSError("no room left")
+            super().__call__(events, batch)
+
+    stream = _message_files(spark, raw_login(spark, folder))
+    features = user_features(spark, folder)
+    for _ in range(2):
+        try:
+            start_scoring(
+                stream,
+                LOGIN,
+                features,
+                LoginAnomaly(),
+                checkpoint=checkpoint,
+                write=EachEvent(lambda place: _Picky()),
+                write_dead_letter=Dying(dead),
+                trigger={"availableNow": True},
+                options={"as_of": AS_OF},
+                delivery={"first_wait": 0.0, "write_sent": LedgerWriter(sent)},
+            ).awaitTermination()
+        except StreamingQueryException as stopped:
+            if "no room left" not in str(stopped):
+                raise
+    schema = score_messages(raw_login(spark, folder), LOGIN, features, LoginAnomaly()).schema
+    parts = [
+        flat_events(read_committed(spark, path, schema)).withColumn("sink", F.lit(name))
+        for name, path in (("events", sent), ("dead_letters", dead))
+    ]
+    return parts[0].union(parts[1])
+
+
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages a stream rejects for each reason, from its rejects sink."""
     sent, rejects, checkpoint = (
@@ -398,40 +442,79 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("reject_reason").agg(F.count("*").alias("messages"))
 
 
+def _contained(
+    spark: SparkSession,
+    folder: str,
+    stream: DataFrame,
+    model: PandasModel,
+    contain: str,
+    arrivals: list[Callable[[], None]],
+) -> list[DataFrame]:
+    """What a stream with that model sends, and what it sets aside, with the model's error. It is
+    started once more after each of the arrivals."""
+    sent, aside, checkpoint = (scratch_folder(spark, x) for x in ("events", "aside", "checkpoint"))
+    for arrive in [lambda: None, *arrivals]:
+        arrive()
+        start_scoring(
+            stream,
+            LOGIN,
+            user_features(spark, folder),
+            model,
+            checkpoint=checkpoint,
+            write=file_writer(sent),
+            write_failed=file_writer(aside),
+            contain_failures=contain,
+            trigger={"availableNow": True},
+            options={"as_of": AS_OF},
+        ).awaitTermination()
+    schemas = "source_event_id string", "value string, model_error string"
+    return [
+        _written(spark, path, T.StructType.fromDDL(schema))
+        for path, schema in zip((sent, aside), schemas, strict=True)
+    ]
+
+
+def _failing(fails: Callable[[pd.DataFrame], pd.Series]) -> PandasModel:
+    """The login rule, but for an error on some messages."""
+    login = login_anomaly_pandas()
+
+    def function(frame: pd.DataFrame) -> pd.DataFrame:
+        if fails(frame).any():
+            raise ValueError("no score for this message")
+        return login.function(frame)
+
+    return replace(login, function=function)
+
+
 def stream_contained(spark: SparkSession, folder: str) -> DataFrame:
-    """A model that fails on one micro-batch: its messages are set aside, the others scored."""
-    path, sent, aside, checkpoint = (
-        scratch_folder(spark, x) for x in ("messages", "events", "aside", "checkpoint")
+    """A model that fails on some messages: these are set aside, all others scored."""
+    model = _failing(lambda frame: frame["source_event_id"].str.startswith("000"))
+    stream = _message_files(spark, raw_login(spark, folder))
+    events, failed = _contained(spark, folder, stream, model, "message", [])
+    events = events.select(
+        F.lit("events").alias("sink"), "source_event_id", F.lit(None).alias("model_error")
     )
-    raw = raw_login(spark, folder)
-    for chosen in ("batch_id = 0", "batch_id <> 0"):
-        part = raw.where(chosen).select("value").coalesce(1)
-        part.write.mode("append").text(path)
-    login, failing = login_anomaly_pandas(), raw.where("offset = 11").first()["value"]
+    event_id = F.get_json_object("value", "$.event_id")
+    return events.union(failed.select(F.lit("failed"), event_id, "model_error"))
+
+
+def stream_contained_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """A model that fails on a message of one micro-batch: that is set aside whole, the others are
+    scored."""
+    path, raw = scratch_folder(spark, "messages"), raw_login(spark, folder)
+    raw.where("batch_id = 0").select("value").repartition(1).write.text(path)
+    failing = raw.where("offset = 11").first()["value"]
     failing = json.loads(failing)["event_id"]
+    model = _failing(lambda frame: frame["source_event_id"] == failing)
 
-    def function(frame):
-        if (frame["source_event_id"] == failing).any():
-            raise ValueError("no score for this message")
-        return login.function(frame)
+    def others_arrive() -> None:
+        raw.where("batch_id <> 0").select("value").write.mode("append").text(path)
 
-    start_scoring(
-        stream_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path),
-        LOGIN,
-        user_features(spark, folder),
-        replace(login, function=function),
-        checkpoint=checkpoint,
-        write=file_writer(sent),
-        write_failed=file_writer(aside),
-        contain_failures=True,
-        trigger={"availableNow": True},
-        options={"as_of": AS_OF},
-    ).awaitTermination()
+    stream = stream_messages(spark, "text", {}, path)
+    written = _contained(spark, folder, stream, model, "batch", [others_arrive])
     counts = [
-        _written(spark, folder_, T.StructType.fromDDL("value string, event_id string"))
-        .agg(F.count("*").alias("rows"))
-        .select(F.lit(name).alias("sink"), "rows")
-        for name, folder_ in (("events", sent), ("failed", aside))
+        rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("sink"), "rows")
+        for name, rows in zip(("events", "failed"), written, strict=True)
     ]
     return counts[0].union(counts[1])
 
@@ -492,8 +575,10 @@ _QUERIES: dict[str, Query] = {
     "pandas_model": pandas_model,
     "stream_events": stream_events,
     "stream_dead_letters": stream_dead_letters,
+    "stream_restart": stream_restart,
     "stream_rejects": stream_rejects,
     "stream_contained": stream_contained,
+    "stream_contained_batch": stream_contained_batch,
     "pandas_exfil": pandas_exfil,
     "unnamed_events": unnamed_events,
     "features_parquet": stored_features("parquet"),

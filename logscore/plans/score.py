@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logscore.operators.envelope import envelope
 from logscore.operators.features import lookup
-from logscore.operators.scoring import Model
+from logscore.operators.scoring import MODEL_ERROR, Model
 from logscore.operators.validate import valid_rows
 from logscore.schema import Schema
 
@@ -68,9 +68,15 @@ def score_valid(
     as_of: str | None = None,
     salt: int = 1,
 ) -> DataFrame:
-    """The part of `score_messages` behind validation, for rows of `valid_rows` or `check`."""
+    """The part of `score_messages` behind validation, for rows of `valid_rows` or `check`.
+
+    The events of a `PandasModel` with `isolate` have `model_error` beside: rows with an error are the
+    messages the model failed on.
+    """
     rows = messages_for(valid, model, key=key, carry=carry)
     scored = score_rows(rows, features, model, unknown_users=unknown_users, salt=salt)
+    if getattr(model, "isolate", False):
+        carry = [*carry, MODEL_ERROR]
     return envelope(scored, model.model_id, ids=ids, zone=zone, as_of=as_of, carry=carry)
 
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logscore.operators.envelope import sink_records
+from logscore.streaming.batch import Batch
 from logscore.streaming.each import ATTEMPTS, FIRST_WAIT, REFUSED, EachEvent
+from logscore.streaming.ledger import committing
 
 log = logging.getLogger(__name__)
 
@@ -23,14 +25,6 @@ PARTS = 16
 ALONE = 64
 
 
-@dataclass(frozen=True)
-class Batch:
-    """Which rows a writer gets: the micro-batch's id (None outside of streams) and the part of it."""
-
-    id: int | None = None
-    part: str = "all"
-
-
 Write = Callable[[DataFrame, Batch], None]
 
 
@@ -65,7 +59,8 @@ def deliver(
 
     Returns "sent", "dead_letter" (some or all of it) or "lost". What neither sink takes raises, so
     that a stream stops and starts over from its checkpoint; `on_lost="log"` only logs it. A retry
-    may repeat rows that a failed attempt had written.
+    may repeat rows that a failed attempt had written; a `LedgerWriter` commits what was written of
+    the batch at the end, and once.
 
     The batch is computed first and kept for all attempts. With `repeatable=True`, for rows that
     come out the same when computed again, it is written at once and computed and kept only after a
@@ -74,11 +69,29 @@ def deliver(
     if on_lost not in ("raise", "log"):
         raise ValueError(f"on_lost must be raise or log, not {on_lost!r}")
     batch = Batch(batch_id)
-    if isinstance(write, EachEvent):
-        waits = {"batch_id": batch_id, "attempts": attempts, "first_wait": first_wait}
-        return _deliver_each(events, write, write_dead_letter, batch, on_lost, write_sent, waits)
-    if isinstance(write_dead_letter, EachEvent):
-        write_dead_letter = _all_or_error(write_dead_letter)
+    waits = {"attempts": attempts, "first_wait": first_wait}
+    with committing(batch, write, write_dead_letter, write_sent):
+        if isinstance(write, EachEvent):
+            return _deliver_each(events, write, write_dead_letter, batch, on_lost, write_sent, waits)
+        if isinstance(write_dead_letter, EachEvent):
+            write_dead_letter = _all_or_error(write_dead_letter)
+        return _deliver_batch(
+            events, write, write_dead_letter, batch, on_lost, part_by, repeatable, **waits
+        )
+
+
+def _deliver_batch(
+    events: DataFrame,
+    write: Write,
+    write_dead_letter: Write | None,
+    batch: Batch,
+    on_lost: str,
+    part_by: str,
+    repeatable: bool,
+    attempts: int,
+    first_wait: float,
+) -> str:
+    """Send to a writer that answers for the batch."""
     kept_by_caller = events.is_cached
     tried = 0
     if repeatable and not kept_by_caller:
@@ -121,7 +134,7 @@ def _deliver_each(
     waits: Mapping[str, object],
 ) -> str:
     """Send from the tasks; only the answers that are needed are kept."""
-    answered = write.acknowledged(events, **waits)
+    answered = write.acknowledged(events, batch.id, **waits)
     refused = f"{REFUSED} IS NOT NULL"
     answered = computed(answered if write_sent is not None else answered.where(refused))
     try:

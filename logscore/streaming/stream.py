@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.errors import (
@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logscore.operators.scoring import LoginAnomaly, Model
+from logscore.operators.scoring import MODEL_ERROR, LoginAnomaly, Model, PandasModel
 from logscore.operators.validate import check
 from logscore.plans.score import score_messages, score_valid
 from logscore.schema import Schema
+from logscore.streaming.batch import Batch
 from logscore.streaming.each import EachEvent
-from logscore.streaming.sinks import Batch, Write, computed, deliver
+from logscore.streaming.ledger import committing
+from logscore.streaming.sinks import Write, computed, deliver
 
 log = logging.getLogger(__name__)
 
@@ -50,6 +52,7 @@ class Report:
     outcome: str
 
 
+_AS_CAME = "_as_came"
 _CHECK_OPTIONS = ("policy", "uuid_check")
 
 
@@ -64,7 +67,7 @@ def start_scoring(
     write_dead_letter: Write | EachEvent | None = None,
     write_rejected: Write | None = None,
     write_failed: Write | None = None,
-    contain_failures: bool = False,
+    contain_failures: bool | str = False,
     on_batch: Callable[[Report], None] | None = None,
     trigger: Mapping[str, Any] | None = None,
     options: Mapping[str, Any] | None = None,
@@ -79,9 +82,14 @@ def start_scoring(
     a Parquet folder, needs none of this: give `score_messages` the stream and write the result.
 
     `write_rejected` gets the messages that are not valid, as they came, with `reject_reason`; it
-    must not fail. A batch the model fails on stops the stream; `contain_failures` instead hands its
-    messages (without those that went to `write_rejected`) to `write_failed` and goes on. Only errors
-    of the model are contained.
+    must not fail.
+
+    A batch the model fails on stops the stream. With `contain_failures="message"` a Python model's
+    error costs only the messages it comes from: tasks find them by halving, `write_failed` gets them
+    as they came, with the text of the error in `model_error`, and the others are scored. Where the
+    error cannot be put down to messages, as that of a column expression, and with
+    `contain_failures="batch"` (or True), all messages of the batch go to `write_failed` (without
+    those that went to `write_rejected`). Only errors of the model are contained.
 
     Progress reports count messages `fetched` and `dropped`, and events `produced` where the batch
     is scored as part of the stream. With `write_rejected`, `contain_failures` or `on_batch` each
@@ -90,6 +98,11 @@ def start_scoring(
     """
     options, delivery = dict(options or {}), dict(delivery or {})
     delivery.setdefault("repeatable", _repeatable(model, options))
+    if contain_failures not in (False, True, "batch", "message"):
+        raise ValueError(f"contain_failures must be message or batch, not {contain_failures!r}")
+    by_message = contain_failures == "message" and isinstance(model, PandasModel)
+    if by_message:
+        model = replace(model, isolate=True)
     if contain_failures and write_failed is None:
         raise ValueError("contain_failures needs write_failed, the sink for failed batches")
 
@@ -101,6 +114,10 @@ def start_scoring(
     as_came = [c for c in raw.columns if c not in schema.fields]
 
     def work_on(flagged: DataFrame, batch_id: int) -> None:
+        with committing(Batch(batch_id), write_rejected, write_failed):
+            work_in_order(flagged, batch_id)
+
+    def work_in_order(flagged: DataFrame, batch_id: int) -> None:
         flagged = computed(flagged)
         try:
             counts = flagged.agg(F.count("*"), F.count("reject_reason")).first()
@@ -116,10 +133,15 @@ def start_scoring(
             flagged.unpersist()
 
     def score_and_send(flagged: DataFrame, batch_id: int) -> tuple[int | None, str]:
-        made, valid = Observation(), flagged.where("reject_reason IS NULL")
+        made, valid = Observation(), flagged.where("reject_reason IS NULL").drop("reject_reason")
         scoring = {k: v for k, v in options.items() if k not in (*_CHECK_OPTIONS, "counters")}
-        events = score_valid(valid.drop("reject_reason"), features, model, **scoring)
-        events = events.observe(made, F.count(F.lit(1)).alias("produced"))
+        if by_message:
+            valid = valid.withColumn(_AS_CAME, F.struct(*as_came))
+            scoring["carry"] = [*scoring.get("carry", ()), _AS_CAME]
+        events = score_valid(valid, features, model, **scoring)
+        good = F.col(MODEL_ERROR).isNull() if by_message else F.lit(True)
+        counts = F.count_if(good).alias("produced"), F.count_if(~good).alias("failed")
+        events = events.observe(made, *counts)
         try:
             events = computed(events)
         except MODEL_ERRORS:
@@ -130,7 +152,12 @@ def start_scoring(
             write_failed(aside.select(*as_came), Batch(batch_id))
             return None, "failed"
         try:
-            return made.get["produced"], send(events, batch_id)
+            if by_message and made.get["failed"]:
+                log.error("scoring failed on %d messages of batch %d", made.get["failed"], batch_id)
+                failed = events.where(~good).select(f"{_AS_CAME}.*", MODEL_ERROR)
+                write_failed(failed, Batch(batch_id))
+            sent = events.where(good).drop(_AS_CAME, MODEL_ERROR) if by_message else events
+            return made.get["produced"], send(sent, batch_id)
         finally:
             events.unpersist()
 

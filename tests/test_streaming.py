@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from logscore import LOGIN, LoginAnomaly, PandasModel, deliver, score_messages, start_scoring
+from logscore.operators.scoring import MODEL_ERROR, _isolated, login_anomaly_pandas
+from logscore.operators.validate import valid_rows
 from logscore.plans.queries import flat_events
 from logscore.sources.raw import broker_options, read_messages, stream_messages
 from logscore.sources.tables import raw_login, user_features
@@ -271,6 +275,51 @@ def test_failing_model_contained(spark, features, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() > 0
 
 
+def test_failing_messages_contained(spark, messages, features, batch_events, tmp_path):
+    """Only the messages that the model fails on are set aside, as they came, with the error."""
+    login, aside, reports = login_anomaly_pandas(), [], []
+
+    def rule(frame):
+        bad = frame["user_id"].isin(["1", "2"])
+        if bad.any():
+            raise ValueError(f"cannot score {sorted(set(frame['user_id'][bad]))[0]}")
+        return login.function(frame)
+
+    start(
+        spark, stream_of(spark, messages), features, replace(login, function=rule), tmp_path,
+        contain_failures="message", on_batch=reports.append,
+        write_failed=lambda batch, which: aside.extend(batch.collect()),
+    )
+    sent = flat_events(spark.read.parquet(str(tmp_path / "out")))
+    expected = [e for e in batch_events if "user_id='1'" not in e and "user_id='2'" not in e]
+    assert rows(sent) == expected and len(expected) < len(batch_events)
+    valid = valid_rows(raw_login(spark, FOLDER), LOGIN).where("user_id IN ('1', '2')")
+    valid = sorted((r.event_id, f"ValueError: cannot score {r.user_id}") for r in valid.collect())
+    assert sorted((json.loads(r.value)["event_id"], r.model_error) for r in aside) == valid
+    assert sum(r.produced for r in reports) == len(expected)
+
+
+@pytest.mark.parametrize("bad", [(), (0,), (9,), (3, 4), tuple(range(10))])
+def test_isolating_model_keeps_order_and_calls_little(bad):
+    import pandas as pd
+
+    calls = []
+
+    def function(frame):
+        calls.append(len(frame))
+        if frame["n"].isin(bad).any():
+            raise KeyError("bad")
+        return frame[frame["n"] != 5].assign(score=frame["n"] / 10)
+
+    done = list(_isolated(function, ["score"])(pd.DataFrame({"n": range(10)})))
+    assert [n for part in done for n in part["n"]] == [n for n in range(10) if n != 5 or n in bad]
+    failed = [n for p in done for n, e in zip(p["n"], p[MODEL_ERROR], strict=True) if e]
+    assert failed == list(bad)
+    assert len(calls) <= 1 + 8 * len(bad)
+    (empty,) = _isolated(function, ["score"])(pd.DataFrame({"n": []}))
+    assert len(empty) == 0
+
+
 def test_containment_needs_a_sink_for_what_failed(spark, messages, features, tmp_path):
     with pytest.raises(ValueError, match="write_failed"):
         start(
