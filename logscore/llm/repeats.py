@@ -41,8 +41,8 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a part, about, and those that are worked on at a time.
 PART_BYTES = 32 << 20
-#: Documents are dealt anew first if a task has this many times as much.
-LARGE_PARTS = 8
+#: Parts that a reading task's text is cut into at most; if it has more, texts are dealt anew first.
+MOST_CUTS = 64
 RUN_BYTES = 1 << 20
 #: Bytes of text for each group of anchors; a group gets the pieces of it that are shared.
 GROUP_BYTES = 1 << 20
@@ -530,21 +530,24 @@ def cut_repeats(
 
 
 def _parts(texts: DataFrame, part_bytes: int) -> tuple[DataFrame, int, int]:
-    """Texts written as a table bucketed by `part`, one part and one bucket for each task that reads
-    them; the number of parts and of bytes."""
+    """Texts written as a table bucketed by `part`, a few parts for each task that reads them, a
+    bucket for each part; the number of parts and of bytes."""
     spark = texts.sparkSession
     task = F.spark_partition_id()
     sizes = texts.groupBy(task.alias("task")).agg(F.sum(F.octet_length("text")).alias("bytes"))
     sizes = {row.task: row.bytes or 0 for row in sizes.collect()}  # a row for each task
-    total, parts = sum(sizes.values()), max(sizes, default=0) + 1
-    if max(sizes.values(), default=0) > LARGE_PARTS * part_bytes:
-        parts = -(-total // part_bytes)
-        texts = texts.repartition(parts)
-    # The part of a task is a number that Spark puts into the bucket of the task's number.
-    numbers = spark.range(32 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("task"))
-    numbers = numbers.groupBy("task").agg(F.min("id").alias("part"))
-    dealt = texts.withColumn("task", F.pmod(task, F.lit(parts)))
-    dealt = dealt.join(F.broadcast(numbers), "task", "left")  # as many rows as tasks
+    total, tasks = sum(sizes.values()), max(sizes, default=0) + 1
+    cut = max(1, -(-max(sizes.values(), default=0) // part_bytes))
+    if cut > MOST_CUTS:  # few tasks have most of the text
+        tasks, cut = -(-total // part_bytes), 1
+        texts = texts.repartition(tasks)
+    parts = tasks * cut
+    # A part has a number that Spark puts into a bucket of its own.
+    numbers = spark.range(32 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("at"))
+    numbers = numbers.groupBy("at").agg(F.min("id").alias("part"))
+    at = F.pmod(task, F.lit(tasks)) * cut + F.pmod(F.monotonically_increasing_id(), F.lit(cut))
+    dealt = texts.withColumn("at", at)
+    dealt = dealt.join(F.broadcast(numbers), "at", "left")  # as many rows as parts
     name = f"repeats_{uuid.uuid4().hex}"
     (
         dealt.select("doc_id", "text", F.coalesce("part", F.lit(0)).alias("part"))

@@ -89,6 +89,14 @@ def test_against_all_windows(spark, monkeypatch, hot):
     assert found(result) == brute(rows, 50)
 
 
+@pytest.mark.parametrize("part_bytes", [1000, 10])
+def test_many_parts(spark, part_bytes):
+    """Each task's texts in several parts, and texts dealt anew because it would be too many."""
+    rows = list(enumerate(texts(5)))
+    result = repeats.cut_repeats(documents(spark, rows), part_bytes=part_bytes, group_bytes=500)
+    assert found(result) == brute(rows, 50)
+
+
 def test_many_pieces_of_one_anchor(spark, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_PIECES", 3)
     rng = random.Random(9)
