@@ -270,4 +270,5 @@ FROM ({_exfil("pydantic")})""",
         ),
         "features_parquet": flat_features,
         "features_json_lines": flat_features,
+        "features_json_object": flat_features,
     }

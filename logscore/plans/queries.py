@@ -330,6 +330,29 @@ def stored_features(layout: str) -> Query:
     return query
 
 
+def features_json_object(spark: SparkSession, folder: str) -> DataFrame:
+    """The features written as a file that is one JSON object, and read back by byte ranges.
+
+    Each user is in it twice, first with a vector that does not count. One task writes the file.
+    """
+    path = scratch_folder(spark, "features")
+    features = user_features(spark, folder)
+    vector = F.struct(*(c for c in features.columns if c != "user_id"))
+    member = F.concat(F.lit(',"'), "user_id", F.lit('":'))
+    lines = features.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(1).alias("place"), F.concat(member, F.lit('{"version":"{old}"}'))),
+                F.struct(F.lit(2).alias("place"), F.concat(member, F.to_json(vector))),
+            )
+        ).alias("place", "line")
+    )
+    edges = spark.createDataFrame([(0, '{"nobody":null'), (3, "}")], "place int, line string")
+    whole = lines.union(edges).repartition(1).sortWithinPartitions("place")
+    whole.select("line").write.text(path)
+    return _flat_features(read_features(spark, path, "json_object"))
+
+
 def _message_files(spark: SparkSession, messages: DataFrame) -> DataFrame:
     """Messages written as text files, to be read as a stream in four micro-batches."""
     path = scratch_folder(spark, "messages")
@@ -583,6 +606,7 @@ _QUERIES: dict[str, Query] = {
     "unnamed_events": unnamed_events,
     "features_parquet": stored_features("parquet"),
     "features_json_lines": stored_features("json_lines"),
+    "features_json_object": features_json_object,
 }
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logscore.sources.json_object import json_members
+
 log = logging.getLogger(__name__)
 
 
@@ -39,9 +41,9 @@ def read_features(
 ) -> DataFrame:
     """The features table, one row per user; a missing path gives an empty table.
 
-    `layout`: "parquet" or "json_lines" for tables of any size; "json_object" for one JSON object
-    keyed by user, which a single task reads. Values of the wrong type become NULL; a file that
-    is not JSON gives no rows.
+    `layout`: "parquet", "json_lines" or "json_object", a file that is one JSON object keyed by user;
+    of a user given twice the last one counts. Values of the wrong type become NULL; a file that is
+    not JSON gives no rows. All are split over tasks, and of any size.
 
     Rows that repeat a user double that user's events. `latest_by` names a column of the schema, such
     as "version", by which only the largest row of each user is kept (null is the smallest).
@@ -62,7 +64,7 @@ def _read(spark: SparkSession, path: str, layout: str, schema: T.StructType) ->
             rows = spark.read.schema(schema).json(path)
             return rows.where(F.col("user_id").isNotNull())
         if layout == "json_object":
-            return _by_user(spark.read.text(path, wholetext=True), schema)
+            return _by_user(json_members(spark, path), schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -71,15 +73,20 @@ def _read(spark: SparkSession, path: str, layout: str, schema: T.StructType) ->
     raise ValueError(f"layout must be parquet, json_lines or json_object, not {layout!r}")
 
 
-def _by_user(files: DataFrame, schema: T.StructType) -> DataFrame:
+def _by_user(members: DataFrame, schema: T.StructType) -> DataFrame:
     vector = T.StructType([f for f in schema.fields if f.name != "user_id"])
-    users = F.from_json("value", T.MapType(T.StringType(), vector))
-    entries = files.select(F.posexplode(F.map_entries(users)).alias("position", "entry"))
+    text = F.concat(F.lit("{"), "text", F.lit("}"))
+    keys = F.size(F.from_json(text, "map<string, string>"))  # 1, or 0 for an empty object
+    users = F.map_entries(F.from_json(text, T.MapType(T.StringType(), vector)))
+    rows = members.select("file", "member", keys.alias("keys"), F.get(users, F.lit(0)).alias("entry"))
+    sound = F.every(F.coalesce(F.col("keys") == 1, F.lit(False)))
+    files = rows.groupBy("file").agg(sound.alias("sound")).where("sound")
+    entries = rows.join(files, "file", "left_semi").where("entry.value IS NOT NULL")
     # Of a user given twice the last one counts.
+    latest = F.max_by("entry.value", F.struct("file", "member"))
     return (
-        entries.where(F.col("entry.value").isNotNull())
-        .groupBy(F.col("entry.key").alias("user_id"))
-        .agg(F.max_by("entry.value", "position").alias("vector"))
+        entries.groupBy(F.col("entry.key").alias("user_id"))
+        .agg(latest.alias("vector"))
         .select("user_id", *(F.col(f"vector.{f.name}") for f in vector.fields))
         .select(*schema.names)
     )
