@@ -23,15 +23,15 @@ def uuid_of(text: Column) -> Column:
     )
 
 
-def event_time(zone: str = "utc", as_of: str | None = None) -> Column:
+def event_time(zone: str = "utc", as_of: str | Column | None = None) -> Column:
     """The time of emission as text, microseconds included.
 
     `zone`: "utc" ends in `Z`, "local" has no zone, "offset" ends in the session zone's offset.
-    `as_of` is used as it stands, for repeatable runs.
+    `as_of`, for repeatable runs, is a text that is used as it stands or a timestamp column.
     """
-    if as_of is not None:
+    if isinstance(as_of, str):
         return F.lit(as_of)
-    now = F.current_timestamp()
+    now = F.current_timestamp() if as_of is None else as_of
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     if zone == "utc":
         return F.date_format(F.to_utc_timestamp(now, F.current_timezone()), pattern + "'Z'")

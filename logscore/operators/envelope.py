@@ -25,7 +25,7 @@ def envelope(
     *,
     ids: str = "stable",
     zone: str = "utc",
-    as_of: str | None = None,
+    as_of: str | Column | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Wrap scored rows as output events, with `source_event_id` and the carried columns beside.

@@ -98,7 +98,7 @@ def by_user(features: DataFrame) -> DataFrame:
     """The features dealt by user once and kept, for a stream whose batches all look up in them.
 
     Joins above Spark's broadcast threshold then shuffle the messages of a batch only. `unpersist`
-    the result when the stream has ended. A table bucketed by `user_id` needs no such copy.
+    the result when the stream has ended. A table of `sources.features.save_by_user` needs no such copy.
     """
     parts = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return features.repartition(parts, KEY).persist()

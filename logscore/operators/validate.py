@@ -143,17 +143,19 @@ def rejected_rows(
     return rejected.select(*raw.columns, _first_failing(policy, rules).alias("reject_reason"))
 
 
-def batch_counts(flagged: DataFrame, produced: Column | None = None) -> DataFrame:
+def batch_counts(flagged: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Per `batch_id`: messages fetched, dropped as invalid, valid, and events produced.
 
-    `flagged` is the output of `check`; `produced` says which rows become events.
+    `flagged` is the output of `check`; `events` are those that were made of it, with `batch_id`
+    carried along.
     """
     dropped = F.col("reject_reason").isNotNull()
-    counts = [
+    counts = flagged.groupBy("batch_id").agg(
         F.count("*").alias("fetched"),
         F.count_if(dropped).alias("dropped"),
         F.count_if(~dropped).alias("valid"),
-    ]
-    if produced is not None:
-        counts.append(F.count_if(~dropped & produced).alias("produced"))
-    return flagged.groupBy("batch_id").agg(*counts)
+    )
+    if events is None:
+        return counts
+    produced = events.groupBy("batch_id").agg(F.count("*").alias("produced"))
+    return counts.join(produced, "batch_id", "left").fillna(0, ["produced"])

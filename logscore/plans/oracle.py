@@ -271,4 +271,11 @@ FROM ({_exfil("pydantic")})""",
         "features_parquet": flat_features,
         "features_json_lines": flat_features,
         "features_json_object": flat_features,
+        "features_bucketed": _flat(events),
+        "events_without_features": _flat(events).replace("WHERE m <> 0", "WHERE false"),
+        "event_times": """
+SELECT event_id AS event, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS utc,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "local",
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "offset"
+FROM events""",
     }

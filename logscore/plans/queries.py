@@ -7,6 +7,7 @@ whole. `oracle.py` states the same results as SQL that never parses JSON.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logscore.functions.identity import event_time
 from logscore.operators import features as lookups
 from logscore.operators.decode import decode, is_json
 from logscore.operators.envelope import envelope, sink_records
@@ -33,9 +35,9 @@ from logscore.operators.validate import batch_counts, check, rejected_rows, vali
 from logscore.plans.score import messages_for, score_messages, score_valid
 from logscore.schema import EXFIL, LOGIN, Schema, find_schema
 from logscore.session import configure, scratch_folder
-from logscore.sources.features import read_features
+from logscore.sources.features import read_features, save_by_user
 from logscore.sources.raw import stream_messages
-from logscore.sources.tables import raw_exfil, raw_login, raw_typed, user_features
+from logscore.sources.tables import raw_exfil, raw_login, raw_typed, table, user_features
 from logscore.streaming.batch import Batch
 from logscore.streaming.each import EachEvent
 from logscore.streaming.ledger import LedgerWriter, read_committed
@@ -126,16 +128,8 @@ def schema_not_found(spark: SparkSession, folder: str) -> DataFrame:
     return rejected_rows(raw_login(spark, folder), missing).select("offset", "reject_reason")
 
 
-def counts_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = check(raw_login(spark, folder), LOGIN)
-    model = LoginAnomaly()
-    score = random_score("hash").alias("score")
-    scored = flagged.withColumn("source_event_id", F.col("event_id")).select("*", score)
-    return batch_counts(scored, lookups.has_user() & (F.col("score") >= model.threshold))
-
-
-def events_per_batch(spark: SparkSession, folder: str) -> DataFrame:
-    events = score_messages(
+def _batch_events(spark: SparkSession, folder: str) -> DataFrame:
+    return score_messages(
         raw_login(spark, folder),
         LOGIN,
         user_features(spark, folder),
@@ -143,7 +137,14 @@ def events_per_batch(spark: SparkSession, folder: str) -> DataFrame:
         carry=("batch_id",),
         as_of=AS_OF,
     )
-    return events.groupBy("batch_id").agg(
+
+
+def counts_per_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return batch_counts(check(raw_login(spark, folder), LOGIN), _batch_events(spark, folder))
+
+
+def events_per_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return _batch_events(spark, folder).groupBy("batch_id").agg(
         F.count("*").alias("events"),
         F.min("event_id").alias("first_event_id"),
         F.max("score").alias("top_score"),
@@ -330,6 +331,31 @@ def stored_features(layout: str) -> Query:
     return query
 
 
+def features_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The login events, with the features from a table bucketed by user."""
+    name = f"features_{uuid.uuid4().hex}"
+    path, features = scratch_folder(spark, name), user_features(spark, folder)
+    features = save_by_user(features, name, 8, path)
+    return flat_events(
+        score_messages(raw_login(spark, folder), LOGIN, features, LoginAnomaly(), as_of=AS_OF)
+    )
+
+
+def events_without_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The login events where there is no features file: every user scores as unknown."""
+    features = read_features(spark, scratch_folder(spark, "nothing"))
+    return flat_events(
+        score_messages(raw_login(spark, folder), LOGIN, features, LoginAnomaly(), as_of=AS_OF)
+    )
+
+
+def event_times(spark: SparkSession, folder: str) -> DataFrame:
+    """The time text of an event that is made at the time of each row, in the three forms."""
+    rows = table(spark, folder, "events")
+    zones = [event_time(zone, F.col("ts")).alias(zone) for zone in ("utc", "local", "offset")]
+    return rows.select(F.col("event_id").alias("event"), *zones)
+
+
 def features_json_object(spark: SparkSession, folder: str) -> DataFrame:
     """The features written as a file that is one JSON object, and read back by byte ranges.
 
@@ -607,6 +633,9 @@ _QUERIES: dict[str, Query] = {
     "features_parquet": stored_features("parquet"),
     "features_json_lines": stored_features("json_lines"),
     "features_json_object": features_json_object,
+    "features_bucketed": features_bucketed,
+    "events_without_features": events_without_features,
+    "event_times": event_times,
 }
 
 

@@ -65,7 +65,7 @@ def score_valid(
     carry: Sequence[str] = (),
     ids: str = "stable",
     zone: str = "utc",
-    as_of: str | None = None,
+    as_of: str | Column | None = None,
     salt: int = 1,
 ) -> DataFrame:
     """The part of `score_messages` behind validation, for rows of `valid_rows` or `check`.
@@ -93,7 +93,7 @@ def score_messages(
     carry: Sequence[str] = (),
     ids: str = "stable",
     zone: str = "utc",
-    as_of: str | None = None,
+    as_of: str | Column | None = None,
     salt: int = 1,
     counters: bool = False,
 ) -> DataFrame:

@@ -56,6 +56,35 @@ def read_features(
     return latest.toDF("user_id", "row").select("row.*")
 
 
+def save_by_user(features: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Write the features as a table bucketed and sorted by user, one file a bucket, and return it.
+
+    A join by user that Spark does not broadcast then shuffles the messages only, and takes the
+    features from the files, which an executor that is lost does not take along. `path` puts the
+    files outside of the warehouse; `open_by_user` registers them in a session of another catalog.
+    """
+    writer = features.repartition(buckets, "user_id").write.bucketBy(buckets, "user_id")
+    writer = writer.sortBy("user_id").format("parquet").mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return features.sparkSession.table(table)
+
+
+def open_by_user(
+    spark: SparkSession,
+    table: str,
+    buckets: int,
+    path: str,
+    schema: T.StructType = FEATURES_SCHEMA,
+) -> DataFrame:
+    """The files that `save_by_user` wrote to `path`, as a table of this session's catalog."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CLUSTERED BY (user_id) SORTED BY (user_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def _read(spark: SparkSession, path: str, layout: str, schema: T.StructType) -> DataFrame:
     try:
         if layout == "parquet":

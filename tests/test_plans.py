@@ -19,7 +19,7 @@ from logscore import (
     valid_rows,
 )
 from logscore.plans.queries import flat_events
-from logscore.sources.features import read_features
+from logscore.sources.features import open_by_user, read_features, save_by_user
 from logscore.sources.tables import raw_login, user_features
 
 FOLDER = "/root/testdata/sf0.01"
@@ -55,6 +55,29 @@ def stored(spark, tmp_path_factory):
     )
 
 
+def test_bucketed_features_are_not_shuffled(spark, stored, tmp_path):
+    """Neither in the session that wrote them nor in one that only knows the files."""
+    raw, features = stored
+    path = str(tmp_path / "by_user")
+    written = save_by_user(features, "features_by_user", 6, path)
+    opened = open_by_user(spark, "features_opened", 6, path)
+    expected = sorted(map(str, features.collect()))
+    for table in (written, opened):
+        assert sorted(map(str, table.collect())) == expected
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+            events = score_messages(raw, LOGIN, table, LoginAnomaly(), as_of=AS_OF)
+            plan = query(events).executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+            # One shuffle, of the messages, by the buckets of the table.
+            assert plan.count("Exchange ") == 1 and "hashpartitioning(user_id" in plan
+            assert "6)" in re.search(r"Exchange hashpartitioning\((.*)", plan)[1]
+            joined = sorted(map(str, events.collect()))
+        plain = score_messages(raw, LOGIN, features, LoginAnomaly(), as_of=AS_OF)
+        assert joined == sorted(map(str, plain.collect()))
+    spark.sql("DROP TABLE features_by_user")
+    spark.sql("DROP TABLE features_opened")
+
+
 def query(df):
     return df._jdf.queryExecution()
 
