@@ -59,7 +59,7 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _table(spark, folder, "pages")
+    pages = wrappers.outlined(_table(spark, folder, "pages"))
     return wrappers.extract_main_text(pages, stored(wrappers.induce_wrappers(pages), "wrappers"))
 
 

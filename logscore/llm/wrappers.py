@@ -1,36 +1,44 @@
 """HTML extraction by wrapper induction.
 
-Pages of a host share a template. From a bounded sample of each host's pages a wrapper is induced:
-their DOM trees, with runs of like siblings folded into one node, are aligned by simple tree matching
-and merged. A node whose text is the same on all pages is template, a node whose text varies is a
-slot; the element (or run of like elements) that holds most of the varying text outside of menus,
-adverts and the like is the content, as are the main elements of a page, all of them. Every page is
-then aligned with the wrapper of its host: text in the content is kept, and
-what matches template, or by its tag, class or role is no part of an article, goes. A page that the
-wrapper does not fit is read by the same rules on its own.
-
-Inside the content only the role of an element counts, so a paragraph that many pages share stays.
+Pages of a host that have their text in the same kind of place share a layout. From some pages of each
+layout a wrapper is induced: their DOM trees, with like siblings folded into one node, are aligned by
+simple tree matching and merged. The element that holds most of the text that varies from page to page
+is the content; among the elements on the way to it, an article or main element is preferred. Every
+page is then aligned with the wrapper of its layout, and the text of what lies at the content's place
+is kept, but for elements whose tag, class or role says that they are no part of an article.
+
+Which text is constant is counted over all pages of a layout, each different page once: a text that
+stands at the same place on nearly all of them is template and goes where the content is no element
+of its own but the whole page, or is not found. Within the content, and within an article or main
+element, it stays, so that a paragraph that pages share is not lost. A page that its wrapper does not
+fit is read by the same rules on its own.
+
+Nothing here recurses: trees are walked with stacks of their own, so pages may be nested at any depth.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logscore.llm.groups import by_group
+from logscore.llm.stored import stored
 from logscore.llm.words import by_run
 
-#: Pages of a host that are aligned, about; the hash of a page decides.
-PAGES_PER_HOST = 12
-#: Pages that must show a node before its text counts as template.
+#: Different pages of a layout whose trees are aligned.
+PAGES_PER_LAYOUT = 12
+#: A text is template if it stands on so many different pages of a layout, and on this share of them.
 LEAST_PAGES = 3
+LEAST_SHARE = 0.9
 #: Share of the varying text that the content holds.
 HOLDS = 0.8
 
@@ -53,7 +61,8 @@ _CLOSED_BY = {
 }
 _SCOPES = frozenset("html body table td th ul ol dl article main section div aside nav".split())
 
-#: Elements that are never article text, and words of class, id or role that say so.
+#: Elements that are never article text, and classes, ids and roles that say so. A class or id counts
+#: only as a whole: "no-comments" and "search-result" are something else.
 NEVER = frozenset(
     "head script style noscript template iframe svg canvas object select button textarea input nav "
     "aside form footer menu dialog title xmp noembed noframes".split()
@@ -62,58 +71,77 @@ NEVER_NAMED = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments "
     "complementary consent contentinfo cookie cookies disqus footer login menu modal nav navbar "
     "navigation newsletter notice pagination pager popup promo related search share sharing "
-    "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "sidebar signup social sponsor sponsored subscribe toolbar widget "
+    "ad-banner ad-container ad-slot advert-box comment-form comment-list comments-area "
+    "cookie-banner cookie-consent cookie-notice main-nav newsletter-signup page-footer "
+    "related-posts search-form share-buttons site-footer site-nav social-share".split()
 )
 #: These only outside of the content: an article has a header of its own.
 OUTSIDE = frozenset("header".split())
-OUTSIDE_NAMED = frozenset("header masthead".split())
+OUTSIDE_NAMED = frozenset("header masthead page-header site-header".split())
 MAIN = ("article", "main")
+#: No class or role makes these anything else than what they are.
+KEPT = frozenset(("html", "body", *MAIN))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*>",
     re.DOTALL,
 )
-_NAMES = re.compile(r"\b(class|id|role|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?|\"[^\"]*\"|'[^']*'"
+)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+_DIGITS = re.compile(r"[0-9]+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
-    names: str = ""
+    names: frozenset = frozenset()
+    sign: str = ""
     hidden: bool = False
     items: list = field(default_factory=list)  # texts and nodes in order
-
-    @property
-    def sign(self) -> str:
-        return f"{self.tag}.{self.names}"
+    holds_block: bool = False
 
     def never(self) -> bool:
-        if self.hidden or self.tag in NEVER:
-            return True
-        return bool(self.names) and not NEVER_NAMED.isdisjoint(self.names.split())
+        if self.tag in KEPT:
+            return self.hidden and self.tag in MAIN
+        return self.hidden or self.tag in NEVER or not NEVER_NAMED.isdisjoint(self.names)
 
     def outside(self) -> bool:
-        return self.tag in OUTSIDE or bool(set(self.names.split()) & OUTSIDE_NAMED)
+        return self.tag in OUTSIDE or not OUTSIDE_NAMED.isdisjoint(self.names)
+
+    def in_line(self) -> bool:
+        """Whether the node is part of its parent's text."""
+        return self.tag in _INLINE and not self.holds_block and not self.never()
 
 
 def _node(tag: str, attributes: str) -> Node:
-    names, hidden = [], False
-    for name, value in _NAMES.findall(attributes) if attributes else ():
-        value = value.strip("\"'").lower()
-        if name.lower() == "style":
-            hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
-        elif name.lower() == "hidden":
+    """A node with its whole classes, id and role; digits do not tell signs apart."""
+    names, classes, hidden = set(), set(), False
+    for match in _ATTRIBUTE.finditer(attributes) if attributes else ():
+        name = (match[1] or "").lower()
+        value = next((v for v in match.groups()[1:] if v is not None), "").lower()
+        if name == "style":
+            hidden |= bool(_UNSEEN.search(value))
+        elif name == "hidden":
             hidden = True
-        else:
-            names += _WORD.findall(value)
-    return Node(tag, " ".join(sorted(set(names))), hidden)
+        elif name in ("class", "id", "role"):
+            names.update(value.split())
+            if name != "id":
+                classes.update(_DIGITS.sub("", value).split())
+    return Node(tag, frozenset(names), f"{tag}.{' '.join(sorted(classes))}", hidden)
 
 
 def parse(page: str) -> Node:
     """The tree of a page, end tags supplied where they are left out. Texts are not yet decoded."""
-    root = Node("html")
-    stack, at = [root], 0
+    root = Node("html", sign="html.")
+    stack, open_, at = [root], Counter(["html"]), 0
+
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            open_[node.tag] -= 1
+        del stack[depth:]
 
     def add(text: str) -> None:
         if text:
@@ -126,100 +154,115 @@ def parse(page: str) -> Node:
             continue
         tag = match[2].lower()
         if match[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if open_[tag]:
+                depth = len(stack) - 1
+                while depth and stack[depth].tag != tag:
+                    depth -= 1
+                if depth:
+                    cut(depth)
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag in ("html", "body") and open_[tag]:
             continue
         closes = {"p"} if tag in _CLOSES_P else set()
-        _close(stack, closes | _CLOSED_BY.get(tag, set()))
+        closes |= _CLOSED_BY.get(tag, set())
+        if any(open_[x] for x in closes):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in closes:
+                    cut(depth)
+                    break
+                if stack[depth].tag in _SCOPES:
+                    break
         made = _node(tag, match[3])
         stack[-1].items.append(made)
+        if tag not in _INLINE:
+            for above in reversed(stack):
+                if above.tag not in _INLINE or above.holds_block:
+                    break
+                above.holds_block = True
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
             close = page.find(">", end.start()) if end else -1
             at = len(page) if close < 0 else close + 1
         elif tag not in _VOID and not match[3].endswith("/"):
             stack.append(made)
+            open_[tag] += 1
     add(page[at:])
     return root
 
 
-def _close(stack: list[Node], tags: set[str]) -> None:
-    for depth in range(len(stack) - 1, 0, -1) if tags else ():
-        if stack[depth].tag in tags:
-            del stack[depth:]
-            return
-        if stack[depth].tag in _SCOPES:
-            return
-
-
 def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-@dataclass
+def own_parts(node: Node) -> tuple[str, list[Node]]:
+    """The text of a node itself, inline elements included, and the blocks in it."""
+    texts: list[str] = []
+    kids: list[Node] = []
+    stack = [iter(node.items)]
+    while stack:
+        item = next(stack[-1], None)
+        if item is None:
+            stack.pop()
+            texts.append(" ")
+        elif isinstance(item, str):
+            texts.append(item)
+        elif item.in_line():
+            texts.append(" ")
+            stack.append(iter(item.items))
+        else:
+            texts.append(" ")
+            kids.append(item)
+    return _clean("".join(texts)), kids
+
+
+@dataclass(eq=False)
 class Shape:
-    """A node of a wrapper. `text` is None where it varies; `pages` is how many show the node; a
-    `run` stands for several like siblings of a page."""
+    """A node of a folded tree: all siblings of one sign. `text` is None where it varies from page to
+    page, `pages` is how many show the node."""
 
     sign: str
-    text: str | None
-    chars: int
-    never: bool
-    kids: list[Shape]
+    text: str | None = ""
+    chars: int = 0
+    never: bool = False
+    kids: list[Shape] = field(default_factory=list)
     pages: int = 1
-    run: bool = False
-
-    def dump(self) -> list:
-        kids = [kid.dump() for kid in self.kids]
-        return [self.sign, self.text, self.chars, self.never, kids, self.pages, self.run]
-
-    @classmethod
-    def load(cls, values: list) -> Shape:
-        sign, text, chars, never, kids, pages, run = values
-        return cls(sign, text, chars, never, [cls.load(kid) for kid in kids], pages, run)
-
-
-def shape_of(node: Node, read: bool = True) -> Shape:
-    """The tree with runs of like siblings folded and inline elements read as text.
 
-    `read=False` gives the bare tree, without texts.
-    """
-    texts: list[str] = []
-    kids: list[Shape] = []
-
-    def gather(items: list) -> None:
-        for item in items:
-            if isinstance(item, str):
-                texts.append(item)
-            elif item.tag in _INLINE and not item.never() and not _blocks(item):
-                texts.append(" ")
-                gather(item.items)
-                texts.append(" ")
-            else:
-                kids.append(shape_of(item, read))
-
-    gather(node.items)
-    text = _clean("".join(texts)) if read else ""
-    folded: list[Shape] = []
-    for kid in kids:
-        if folded and folded[-1].sign == kid.sign:
-            if read or kid.kids:
-                folded[-1] = merge(folded[-1], kid, same_page=True)
-            folded[-1].run = True
-        else:
-            folded.append(kid)
-    return Shape(node.sign, text, len(text), read and node.never(), folded)
+    def order(self) -> list[Shape]:
+        """All nodes, each after its parent."""
+        found = [self]
+        for shape in found:
+            found += shape.kids
+        return found
 
 
-def _blocks(node: Node) -> bool:
-    """Whether an inline element holds a block, as it does when its end tag is missing."""
-    return any(
-        not isinstance(x, str) and (x.tag not in _INLINE or _blocks(x)) for x in node.items
-    )
+def shape_of(root: Node) -> tuple[Shape, dict[int, list[Node]], dict[int, int]]:
+    """The folded tree of a page, the nodes folded into each shape, and for each block the key of its
+    place and text (by `id`)."""
+    top = Shape(root.sign)
+    nodes: dict[int, list[Node]] = {id(top): [root]}
+    keys: dict[int, int] = {}
+    todo = [(root, top, b"")]
+    while todo:
+        node, shape, above = todo.pop()
+        text, kids = own_parts(node)
+        place = hashlib.blake2b(above + node.sign.encode(), digest_size=16).digest()
+        if text:
+            shape.text = f"{shape.text}\n{text}" if shape.text else text
+            shape.chars += len(text)
+            key = hashlib.blake2b(place + text.encode(errors="replace"), digest_size=8).digest()
+            keys[id(node)] = int.from_bytes(key, "big", signed=True)
+        by_sign = {kid.sign: kid for kid in shape.kids}
+        found = []
+        for kid in kids:
+            like = by_sign.get(kid.sign)
+            if like is None:
+                like = by_sign[kid.sign] = Shape(kid.sign, never=kid.never())
+                shape.kids.append(like)
+            like.never &= kid.never()
+            nodes.setdefault(id(like), []).append(kid)
+            found.append((kid, like, place))
+        todo += reversed(found)
+    return top, nodes, keys
 
 
 def match_trees(a: list, b: list, size) -> list[tuple[int, int]]:
@@ -227,7 +270,7 @@ def match_trees(a: list, b: list, size) -> list[tuple[int, int]]:
 
     `size(x, y)` is the weight of a pair, 0 if it does not match.
     """
-    best = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
         above, row = best[i], best[i + 1]
         for j, y in enumerate(b):
@@ -244,111 +287,157 @@ def match_trees(a: list, b: list, size) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
-def _size(x: Shape, y: Shape) -> float:
-    """Matching nodes of two trees; a node matches one of the same tag and names."""
-    if x.sign != y.sign:
-        return 0
-    pairs = match_trees(x.kids, y.kids, _size) if x.kids and y.kids else ()
-    return 1 + sum(_size(x.kids[i], y.kids[j]) for i, j in pairs)
-
+def matched(a: Shape, b: Shape) -> tuple[int, dict[tuple[int, int], list[tuple[int, int]]]]:
+    """How many nodes of two trees match, and for each pair of nodes the numbers of the kids that do.
 
-def merge(a: Shape, b: Shape, same_page: bool = False) -> Shape:
+    Pairs are found from the roots down and worked out from the leaves up, each once: the cost is at
+    most the product of the sizes. A node matches one of the same sign.
+    """
+    if a.sign != b.sign:
+        return 0, {}
+    order = [(a, b)]
+    for x, y in order:
+        signs = {kid.sign: kid for kid in y.kids}
+        order += ((kid, signs[kid.sign]) for kid in x.kids if kid.sign in signs)
+    sizes: dict[tuple[int, int], int] = {}
+    pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x, y in reversed(order):
+        found = match_trees(x.kids, y.kids, lambda p, q: sizes.get((id(p), id(q)), 0))
+        pairs[id(x), id(y)] = found
+        sizes[id(x), id(y)] = 1 + sum(sizes[id(x.kids[i]), id(y.kids[j])] for i, j in found)
+    return sizes[id(a), id(b)], pairs
+
+
+def merge(a: Shape, b: Shape) -> Shape:
     """Both trees in one: pairs merged, the other nodes kept in order."""
-    kids: list[Shape] = []
-    i = j = 0
-    for x, y in [*match_trees(a.kids, b.kids, _size), (len(a.kids), len(b.kids))]:
-        kids += a.kids[i:x] + b.kids[j:y]
-        if x < len(a.kids):
-            kids.append(merge(a.kids[x], b.kids[y], same_page))
-        i, j = x + 1, y + 1
-    text = a.text if a.text == b.text else None
-    pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
-    run = a.run or b.run
-    return Shape(a.sign, text, a.chars + b.chars, a.never and b.never, kids, pages, run)
-
-
-def _varying(shape: Shape) -> int:
-    """Characters of varying text outside of what is never article text."""
-    if shape.never:
-        return 0
-    own = shape.chars if shape.text is None else 0
-    return own + sum(map(_varying, shape.kids))
-
-
-def _content(shape: Shape) -> list[list[int]] | None:
-    """Where the content lies in a wrapper: places in page order, as numbers of kids from the root."""
-
-    def mains(node: Shape, path: list[int]) -> list[list[int]]:
-        """The main elements of a tree; those inside of another one where they hold all its text."""
-        if node.never:
-            return []
-        inner = [x for i, kid in enumerate(node.kids) for x in mains(kid, [*path, i])]
-        if node.sign.split(".")[0] not in MAIN:
-            return inner
-        held = sum(_varying(_at(shape, x)) for x in inner)
-        return inner if inner and held == _varying(node) else [path]
-
-    if found := mains(shape, []):
-        return [path for path in found if _varying(_at(shape, path))] or found
-    total, path = _varying(shape), []
+    _, pairs = matched(a, b)
+
+    def both(x: Shape, y: Shape) -> Shape:
+        text = x.text if x.text == y.text else None
+        return Shape(x.sign, text, x.chars + y.chars, x.never and y.never, [], x.pages + y.pages)
+
+    top = both(a, b)
+    todo = [(a, b, top)]
+    while todo:
+        x, y, made = todo.pop()
+        i = j = 0
+        for p, q in [*pairs[id(x), id(y)], (len(x.kids), len(y.kids))]:
+            signs = {kid.sign for kid in x.kids[i:p]}
+            made.kids += x.kids[i:p] + [k for k in y.kids[j:q] if k.sign not in signs]
+            if p < len(x.kids):
+                made.kids.append(both(x.kids[p], y.kids[q]))
+                todo.append((x.kids[p], y.kids[q], made.kids[-1]))
+            i, j = p + 1, q + 1
+    return top
+
+
+def _weights(top: Shape, varying: bool) -> dict[int, int]:
+    """Characters in and below each node outside of what is never article text."""
+    weights: dict[int, int] = {}
+    for shape in reversed(top.order()):
+        own = 0 if varying and shape.text is not None else shape.chars
+        below = sum(weights[id(kid)] for kid in shape.kids)
+        weights[id(shape)] = 0 if shape.never else own + below
+    return weights
+
+
+def _content(top: Shape) -> list[int] | None:
+    """Where the content lies in a wrapper, as numbers of kids from the root; None without any
+    varying text.
+
+    From the root on the kid is entered that holds most of all varying text, as long as it has blocks
+    in it. Of the nodes entered the innermost article or main element is taken, else the last one.
+    """
+    weights = _weights(top, varying=True)
+    total, shape, path, main = weights[id(top)], top, [], None
     if not total:
         return None
     while True:
-        inner = [(_varying(kid), -i) for i, kid in enumerate(shape.kids)]
-        most, i = max(inner, default=(0, 0))
-        # A run of like siblings, such as paragraphs, is not the content but lies in it. Of a run of
-        # sections each is content, whole.
-        if shape.run or most < HOLDS * total or not shape.kids[-i].kids:
-            return [path]
+        heaviest = [(weights[id(kid)], -i) for i, kid in enumerate(shape.kids) if kid.kids]
+        most, i = max(heaviest, default=(0, 0))
+        if most < HOLDS * total:
+            return path if main is None else main
         shape = shape.kids[-i]
-        path.append(-i)
+        path = [*path, -i]
+        if shape.sign.split(".")[0] in MAIN:
+            main = path
+
+
+def layout_of(top: Shape) -> str:
+    """The signs on the way to where most of a page's text is, as far as an article or main."""
+    weights = _weights(top, varying=False)
+    signs, shape = [], top
+    while shape.sign.split(".")[0] not in MAIN:
+        heaviest = [(weights[id(kid)], -i) for i, kid in enumerate(shape.kids) if kid.kids]
+        most, i = max(heaviest, default=(0, 0))
+        if most * 2 <= weights[id(top)]:
+            break
+        shape = shape.kids[-i]
+        signs.append(shape.sign)
+    return "/".join(signs)
 
 
 @dataclass
 class Wrapper:
+    """A merged tree, the place of the content in it, and the keys of template texts."""
+
     shape: Shape
-    content: list[list[int]] | None
+    content: list[int] | None
+    template: frozenset = frozenset()
 
     def dump(self) -> str:
-        return json.dumps([self.shape.dump(), self.content])
+        order = self.shape.order()
+        number = {id(shape): i for i, shape in enumerate(order)}
+        above = {id(kid): number[id(shape)] for shape in order for kid in shape.kids}
+        nodes = [[shape.sign, above.get(id(shape), -1)] for shape in order]
+        return json.dumps([nodes, self.content, sorted(self.template)])
 
     @classmethod
     def load(cls, text: str) -> Wrapper:
-        shape, content = json.loads(text)
-        return cls(Shape.load(shape), content)
+        nodes, content, template = json.loads(text)
+        shapes = [Shape(sign) for sign, _ in nodes]
+        for shape, (_, above) in zip(shapes, nodes, strict=True):
+            if above >= 0:
+                shapes[above].kids.append(shape)
+        return cls(shapes[0], content, frozenset(template))
+
+
+def is_template(times: int, pages: int) -> bool:
+    return times >= LEAST_PAGES and times >= LEAST_SHARE * pages
 
 
 def induce(pages: list[str]) -> Wrapper | None:
-    """The wrapper of some pages of a host. Pages with equal trees and texts count once."""
-    shapes = list({json.dumps(s.dump()): s for s in map(shape_of, map(parse, pages))}.values())
-    if not shapes:
+    """The wrapper of some pages of a layout. Equal pages count once."""
+    different = list(dict.fromkeys(pages))
+    if not different:
         return None
-    merged = shapes[0]
-    for shape in shapes[1:]:
-        merged = merge(merged, shape)
-    return Wrapper(merged, _content(merged))
+    merged, times = None, Counter()
+    for page in different:
+        shape, _, keys = shape_of(parse(page))
+        times.update(set(keys.values()))
+        merged = shape if merged is None else merge(merged, shape)
+    template = (key for key, n in times.items() if is_template(n, len(different)))
+    return Wrapper(merged, _content(merged), frozenset(template))
 
 
 def _mains_of(root: Node) -> list[Node]:
     """The articles of a page that no wrapper fits: its main elements that lie in no other one."""
-    found: list[Node] = []
-
-    def look(node: Node) -> None:
-        for item in node.items:
-            if not isinstance(item, str) and not item.never():
-                if item.tag in MAIN:
-                    found.append(item)
-                else:
-                    look(item)
-
-    look(root)
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag in MAIN:
+            found.append(node)
+            continue
+        stack += [x for x in reversed(node.items) if not isinstance(x, str) and not x.never()]
     return found
 
 
-def blocks(node: Node, template: dict[int, Shape] | None = None) -> list[str]:
-    """The blocks of text of a tree; `template` names the nodes whose own text is template."""
+def blocks(node: Node, dropped: set[int] | None = None, whole: bool = False) -> list[str]:
+    """The blocks of text of a tree. `dropped` has the nodes (by `id`) whose own text is template;
+    a `whole` page also loses what has its place outside of an article."""
     result: list[str] = []
     texts: list[str] = []
+    dropped = dropped or set()
 
     def flush() -> None:
         text = _clean("".join(texts))
@@ -356,127 +445,138 @@ def blocks(node: Node, template: dict[int, Shape] | None = None) -> list[str]:
             result.append(text)
         texts.clear()
 
-    def walk(items: list, dropped: bool) -> None:
-        for item in items:
-            if isinstance(item, str):
-                if not dropped:
-                    texts.append(item)
-            elif item.tag == "br":
-                texts.append(" ")
-            elif item.never() or template is not None and item.outside():
-                flush()
-            elif item.tag in _INLINE:
-                walk(item.items, dropped)
-            else:
+    # Within an article or main element texts stay; inline elements do not end a block.
+    main = node.tag in MAIN
+    stack = [(iter(node.items), not main and id(node) in dropped, main, False)]
+    while stack:
+        items, lost, main, inline = stack[-1]
+        item = next(items, None)
+        if item is None:
+            stack.pop()
+            if not inline:
                 flush()
-                walk(item.items, template is not None and id(item) in template)
-                flush()
-
-    walk(node.items, False)
-    flush()
+        elif isinstance(item, str):
+            if not lost:
+                texts.append(item)
+        elif item.tag == "br":
+            texts.append(" ")
+        elif item.never() or whole and not main and item.outside():
+            flush()
+        elif item.tag in _INLINE:
+            stack.append((iter(item.items), lost, main, True))
+        else:
+            flush()
+            main = main or item.tag in MAIN
+            stack.append((iter(item.items), not main and id(item) in dropped, main, False))
     return result
 
 
 def extract(page: str, wrapper: Wrapper | None) -> str:
     """The main text of a page: blocks in page order with an empty line between."""
     root = parse(page)
-    content, template = [], {}
+    found: list[str] = []
     if wrapper is not None and wrapper.content is not None:
-        content, template = _align(root, wrapper)
-    content = content or _mains_of(root)
-    found = [x for node in content for x in blocks(node)] if content else blocks(root, template)
-    return "\n\n".join(found)
-
-
-def _align(root: Node, wrapper: Wrapper) -> tuple[list[Node], dict[int, Shape]]:
-    """The nodes that lie where the wrapper has its content, in page order; nodes whose text is
-    template."""
-    template: dict[int, Shape] = {}
-    content: list[Node] = []
-    targets = {id(_at(wrapper.shape, path)) for path in wrapper.content}
-
-    def kids_of(node: Node) -> list[Node]:
-        found: list[Node] = []
-        for item in node.items:
-            if not isinstance(item, str):
-                if item.tag in _INLINE and not item.never() and not _blocks(item):
-                    continue
-                found.append(item)
-        return found
+        shape, nodes, keys = shape_of(root)
+        place = _place(shape, wrapper)
+        dropped = {node for node, key in keys.items() if key in wrapper.template}
+        if place is not None:
+            whole = place.sign.split(".")[0] in ("html", "body")
+            dropped = dropped if whole else set()
+            found = [x for node in nodes[id(place)] for x in blocks(node, dropped, whole)]
+        else:
+            found = _by_rules(root, dropped)
+    return "\n\n".join(found or _by_rules(root, set()))
 
-    shapes: dict[int, Shape] = {}
-
-    def _weight(node: Node, shape: Shape) -> float:
-        if node.sign != shape.sign:
-            return 0
-        if id(node) not in shapes:
-            shapes[id(node)] = shape_of(node, read=False)
-        return _size(shapes[id(node)], shape)
-
-    def down(node: Node, shape: Shape) -> None:
-        if id(shape) in targets:
-            content.append(node)
-            if node is not root:
-                return
-        kids = kids_of(node)
-        runs: list[list[Node]] = []
-        for kid in kids:
-            if runs and runs[-1][0].sign == kid.sign:
-                runs[-1].append(kid)
-            else:
-                runs.append([kid])
-        pairs = match_trees(runs, shape.kids, lambda run, s: _weight(run[0], s))
-        for i, j in pairs:
-            other = shape.kids[j]
-            for kid in runs[i]:
-                if other.text and other.pages >= LEAST_PAGES and other.text == _own_text(kid):
-                    template[id(kid)] = other
-                if not other.never:
-                    down(kid, other)
-
-    down(root, wrapper.shape)
-    return [node for node in content if node is not root], template
-
-
-def _own_text(node: Node) -> str:
-    return shape_of(Node(node.tag, node.names, node.hidden, node.items)).text or ""
-
-
-def _at(shape: Shape, path: list[int]) -> Shape:
-    for i in path:
-        shape = shape.kids[i]
+
+def _by_rules(root: Node, dropped: set[int]) -> list[str]:
+    mains = _mains_of(root)
+    if mains:
+        return [x for node in mains for x in blocks(node)]
+    return blocks(root, dropped, whole=True)
+
+
+def _place(shape: Shape, wrapper: Wrapper) -> Shape | None:
+    """The node of a page's folded tree that is aligned with the wrapper's content."""
+    _, pairs = matched(shape, wrapper.shape)
+    other = wrapper.shape
+    if not pairs:
+        return None
+    for number in wrapper.content:
+        kids = {j: i for i, j in pairs[id(shape), id(other)]}
+        if number not in kids:
+            return None
+        shape, other = shape.kids[kids[number]], other.kids[number]
     return shape
 
 
-def _with_host(pages: DataFrame) -> DataFrame:
+_OUTLINED = (
+    "page_id bigint, url string, html string, layout bigint, page_hash bigint, keys array<bigint>"
+)
+
+
+def _hash(*texts: str) -> int:
+    joined = "\0".join(texts).encode(errors="replace")
+    return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
+
+
+def outlined(pages: DataFrame) -> DataFrame:
+    """`page_id`, `url` and `html` of each page with its `layout` (a hash of host and layout), a hash
+    of the page, and the `keys` of its texts and their places; written and read again."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[^:/?#]+://([^/?#]*)", 1))
-    return pages.select(
+    rows = pages.select(
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host")
     )
 
-
-def induce_wrappers(pages: DataFrame, pages_per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """`host` and `wrapper` (JSON) of each host, from about `pages_per_host` of its pages.
-
-    The sample is drawn before pages meet, so a hot host is never in one task.
+    def work(run: pa.RecordBatch) -> pa.RecordBatch:
+        layouts, hashes, keys = [], [], []
+        for page, host in zip(run.column("html").to_pylist(), run.column("host").to_pylist(), strict=True):
+            shape, _, found = shape_of(parse(page))
+            layouts.append(_hash(host, layout_of(shape)))
+            hashes.append(_hash(page))
+            keys.append(sorted(set(found.values())))
+        arrays = [run.column(c) for c in ("page_id", "url", "html")]
+        arrays += [pa.array(layouts, pa.int64()), pa.array(hashes, pa.int64())]
+        arrays.append(pa.array(keys, pa.list_(pa.int64())))
+        names = ["page_id", "url", "html", "layout", "page_hash", "keys"]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return stored(rows.mapInArrow(by_run(work, "html"), _OUTLINED), "outlines")
+
+
+def induce_wrappers(pages: DataFrame) -> DataFrame:
+    """`layout` and `wrapper` (JSON) of each layout, from the result of `outlined`.
+
+    Trees come from `PAGES_PER_LAYOUT` different pages of a layout, those with the smallest hashes;
+    template texts are counted over all of its different pages. Copies are counted once, and counts
+    are added up before rows are shuffled, so a hot layout is in no one task.
     """
-    rows = _with_host(pages)
-    counts = rows.groupBy("host").agg(F.count("*").alias("count"))
-    order = F.xxhash64("page_id", "url")
-    share = F.pmod(order, F.lit(1 << 20)) / float(1 << 20)
-    drawn = rows.select("host", "html", order.alias("order"), share.alias("share"))
-    drawn = drawn.join(counts, "host").where(F.col("share") * F.col("count") < pages_per_host)
+    different = pages.select("layout", "page_hash").distinct()
+    totals = different.groupBy("layout").agg(F.count("*").alias("pages"))
+    texts = pages.select("layout", "page_hash", F.explode("keys").alias("key")).distinct()
+    times = texts.groupBy("layout", "key").agg(F.count("*").alias("times"))
+    times = times.where(F.col("times") >= LEAST_PAGES).join(totals, "layout")
+    times = times.where(F.col("times") >= LEAST_SHARE * F.col("pages"))
+    # Nearly all pages have these texts, so they are hardly more than a page has.
+    template = times.groupBy("layout").agg(F.collect_list("key").alias("template"))
+    order = Window.partitionBy("layout").orderBy("page_hash")
+    drawn = different.withColumn("n", F.row_number().over(order)).where(f"n <= {PAGES_PER_LAYOUT}")
+    copies = Window.partitionBy("layout", "page_hash").orderBy("page_id")
+    drawn = pages.join(drawn.drop("n"), ["layout", "page_hash"], "left_semi")
+    drawn = drawn.withColumn("n", F.row_number().over(copies)).where("n = 1")
 
     def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        found = induce(group.sort_by("order").column("html").to_pylist())
-        if found is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([group.column("host")[0].as_py()]), pa.array([found.dump()])],
-                names=["host", "wrapper"],
-            )
+        found = induce(group.sort_by("page_hash").column("html").to_pylist())
+        template = group.column("template")[0].as_py() or []
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([group.column("layout")[0].as_py()]),
+                pa.array([Wrapper(found.shape, found.content, frozenset(template)).dump()]),
+            ],
+            names=["layout", "wrapper"],
+        )
 
-    chosen = drawn.select("host", "html", "order")
-    return by_group(chosen, ["host"], work, "host string, wrapper string")
+    chosen = drawn.select("layout", "page_hash", "html").join(template, "layout", "left")
+    return by_group(chosen, ["layout"], work, "layout bigint, wrapper string")
 
 
 _loaded: dict[str, Wrapper] = {}
@@ -493,13 +593,14 @@ def _wrapper(text: str | None) -> Wrapper | None:
 
 
 def extract_main_text(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """Per page: `page_id`, `url`, `text`, `n_chars`.
-
-    Reads `page_id`, `url` and `html`; other columns are not touched. A null or empty html gives an
-    empty text; pages with a null url, or one without a host, are a host of their own. Repeated rows
-    are all returned with the same text. Pages are worked on one at a time, however long. An empty
-    table gives an empty result. Wrappers are one row per host; Spark broadcasts them while they are
-    small and else splits hot hosts.
+    """Per page of `outlined`: `page_id`, `url`, `text`, `n_chars`.
+
+    Of the pages `page_id`, `url` and `html` are read; other columns are not touched. A null or empty
+    html gives an empty text; pages with a null url, or one without a host, are a host of their own.
+    Repeated rows are all returned with the same text. Pages are worked on one at a time, however long
+    and however deeply nested; malformed ones are read as far as a browser would. An empty table gives
+    an empty result. Wrappers are one row for each layout; Spark broadcasts them while they are small
+    and else splits hot layouts.
     """
 
     def work(run: pa.RecordBatch) -> pa.RecordBatch:
@@ -509,7 +610,7 @@ def extract_main_text(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
         arrays.append(pa.array(map(len, texts), pa.int64()))
         return pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars"])
 
-    joined = _with_host(pages).join(wrappers, "host", "left")
+    joined = pages.select("page_id", "url", "html", "layout").join(wrappers, "layout", "left")
     joined = joined.select("page_id", "url", "html", "wrapper")
     schema = "page_id bigint, url string, text string, n_chars bigint"
     return joined.mapInArrow(by_run(work, "html"), schema)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -87,26 +88,119 @@ def test_pages_that_do_not_fit(spark):
     assert wrappers.induce([]) is None
 
 
+def folded(text: str) -> wrappers.Shape:
+    return wrappers.shape_of(wrappers.parse(text))[0]
+
+
 def test_simple_tree_matching():
-    shape = wrappers.shape_of
-    a = shape(wrappers.parse("<div><h1>x</h1><p>a</p><p>b</p><hr></div>"))
-    b = shape(wrappers.parse("<div><p>c</p><hr><h2>z</h2></div>"))
+    a = folded("<div><h1>x</h1><p>a</p><p>b</p><hr></div>")
+    b = folded("<div><p>c</p><hr><h2>z</h2></div>")
     assert [k.sign for k in a.kids[0].kids] == ["h1.", "p.", "hr."]
-    assert wrappers._size(a, b) == 4  # html, div, p, hr
+    assert wrappers.matched(a, b)[0] == 4  # html, div, p, hr
     merged = wrappers.merge(a, b).kids[0]
     assert [(k.sign, k.text, k.pages) for k in merged.kids] == [
         ("h1.", "x", 1), ("p.", None, 2), ("hr.", "", 2), ("h2.", "z", 1),
     ]
 
 
+def brute_size(a: wrappers.Shape, b: wrappers.Shape) -> int:
+    """Simple tree matching as it is defined, by recursion over all choices of kids in order."""
+    if a.sign != b.sign:
+        return 0
+
+    def best(x: tuple, y: tuple) -> int:
+        if not x or not y:
+            return 0
+        return max(best(x[1:], y), best(x, y[1:]), brute_size(x[0], y[0]) + best(x[1:], y[1:]))
+
+    return 1 + best(tuple(a.kids), tuple(b.kids))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tree_matching_against_brute_force(seed):
+    rng = random.Random(seed)
+
+    def tree(depth: int) -> str:
+        tags = rng.sample(["div", "ul", "section", "p", "table"], rng.randint(0, 4)) if depth else []
+        return "".join(f"<{t}>{tree(depth - 1)}</{t}>" for t in tags)
+
+    for _ in range(20):
+        a, b = folded(tree(3)), folded(tree(3))
+        assert wrappers.matched(a, b)[0] == brute_size(a, b)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<p title='hidden costs'>text</p>", "<p aria-hidden='false'>text</p>",
+        "<div data-class='nav'><p>text</p></div>", "<body class='has-sidebar'><p>text</p></body>",
+        "<body class='no-comments'><p>text</p></body>", "<div id='ad-astra'><p>text</p></div>",
+        "<article class='post search-result'><p>text</p></article>", "<body class=nav><p>text</p>",
+        "<article class=comment><p>text</p></article>", "<main id=search role=search>text</main>",
+        "<p data-x=\"class='ad'\">text</p>", "<p alt='style=display:none'>text</p>",
+    ],
+)
+def test_attributes_that_say_nothing(html):
+    assert wrappers.extract(html, None) == "text"
+    pages = [html.replace("text", f"text {i}") for i in range(5)]
+    assert wrappers.extract(pages[2], wrappers.induce(pages)) == "text 2"
+
+
+@pytest.mark.parametrize("text", ["<div class='x ad y'>no</div>", "<p role=Navigation>no</p>", "<p id=cookie-banner>no",
+                                  "<div style='display : none'>no</div>", "<p hidden=''>no</p>"])
+def test_attributes_that_count(text):
+    assert wrappers.extract(f"{text}<p>yes</p>", None) == "yes"
+
+
+@pytest.mark.parametrize("tag,times", [("font", 1500), ("div", 1200), ("div", 10_000), ("b", 10_000), ("ul", 3000)])
+def test_deep_pages(tag, times):
+    deep = f"<{tag}>" * times + "text"
+    assert wrappers.extract(deep, None) == "text"
+    pages = [f"{deep} {i}" for i in range(3)]
+    wrapper = wrappers.Wrapper.load(wrappers.induce(pages).dump())
+    assert wrappers.extract(pages[1], wrapper) == "text 1"
+
+
+def test_matching_takes_time_in_proportion():
+    pages = ["<div><p>a</p>" * 60 + f"text {i}" for i in range(3)]
+    start = time.perf_counter()
+    wrappers.induce(pages)
+    assert time.perf_counter() - start < 0.1
+
+
+def test_wrapper_finds_what_rules_do_not():
+    """The content is a plain element, in a page full of other plain ones."""
+    def plain(i: int) -> str:
+        fixed = "".join(f"<div><p>Line {k} of the site, always the same</p></div>" for k in range(4))
+        return f"{fixed}<section><div>By us</div><p>Story {i}</p><p>More of {i}</p></section>{fixed}"
+
+    pages = [plain(i) for i in range(6)]
+    wrapper = wrappers.Wrapper.load(wrappers.induce(pages).dump())
+    assert wrappers.extract(pages[3], wrapper) == "By us\n\nStory 3\n\nMore of 3"
+    assert wrappers.extract(pages[3], None) != wrappers.extract(pages[3], wrapper)
+
+
+def test_second_layout_of_a_host(spark):
+    """Few pages of a large host have another layout; their fixed lines are found too."""
+    first = [f"<div class=a><p>Top</p></div><div class=b><div><p>Text {i}</p><p>x</p></div></div>" for i in range(300)]
+    second = [f"<section><p>Other top</p><div class=c><p>Rare {i}</p><p>y {i}</p></div></section>" for i in range(6)]
+    rows = [(i, "http://h.example/", x, "", "") for i, x in enumerate(first + second)]
+    rows += [(1000 + i, "http://h.example/", first[0], "", "") for i in range(200)]
+    pages = wrappers.outlined(spark.createDataFrame(rows, PAGES).repartition(4))
+    found = {r.page_id: r.text for r in wrappers.extract_main_text(pages, wrappers.induce_wrappers(pages)).collect()}
+    assert found[7] == "Text 7\n\nx" and found[1100] == "Text 0\n\nx"
+    assert [found[300 + i] for i in range(6)] == [f"Rare {i}\n\ny {i}" for i in range(6)]
+
+
 def test_table(spark):
     rows = [(i, f"http://h{i % 2}.example/{i}", page(i, body(i)[0]), "h", "t") for i in range(30)]
     rows += [(100, None, None, None, None), (101, "no url", "", "", ""), (0, *rows[0][1:]), (None, "http://h0.example", page(3, "<p>x</p>" * 2000), "", "")]
-    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    table = spark.createDataFrame(rows, PAGES).repartition(3)
+    pages = wrappers.outlined(table)
     found = rows_of(wrappers.extract_main_text(pages, wrappers.induce_wrappers(pages)), "page_id", "url", "text", "n_chars")
     expected = [(i, f"http://h{i % 2}.example/{i}", body(i)[1], len(body(i)[1])) for i in [*range(30), 0]]
     many = "\n\n".join("x" * 2000)
     expected += [(100, None, "", 0), (101, "no url", "", 0), (None, "http://h0.example", many, len(many))]
     assert found == sorted(expected, key=repr)
-    empty = pages.where("false")
+    empty = wrappers.outlined(table.where("false"))
     assert wrappers.extract_main_text(empty, wrappers.induce_wrappers(empty)).collect() == []
