@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logscore.llm.stored import stored
 from logscore.session import scratch_folder
 
 VERSION = "WARC/1.1"
@@ -38,7 +39,10 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 def base32_sha1(payload: str) -> Column:
     """Upper-case base32 of the SHA-1 of a binary column: 40 hex digits, five to four at a time."""
-    digest = F.sha1(payload)
+    return _base32(F.sha1(payload))
+
+
+def _base32(digest: Column) -> Column:
     parts = [
         F.lpad(F.conv(F.substring(digest, 1 + 5 * i, 5), 16, 32), 4, "0") for i in range(8)
     ]
@@ -59,8 +63,9 @@ def _record(kind: str | Column, headers: list[tuple[str, Column | str]], block:
 
 def _urn(*parts: Column | str) -> Column:
     digest = F.md5(F.concat_ws("|", *parts))
-    dashed = F.regexp_replace(digest, "^(.{8})(.{4}).(.{3}).(.{3})(.{12})$", "$1-$2-5$3-8$4-$5")
-    return F.concat(F.lit("<urn:uuid:"), dashed, F.lit(">"))
+    cuts = [("<urn:uuid:", 1, 8), ("-", 9, 4), ("-5", 14, 3), ("-8", 18, 3), ("-", 21, 12)]
+    texts = (x for lead, at, size in cuts for x in (F.lit(lead), F.substring(digest, at, size)))
+    return F.concat(*texts, F.lit(">"))
 
 
 def write_pages(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> str:
@@ -69,19 +74,24 @@ def write_pages(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> str:
     Of rows with equal payloads of at least `least_bytes` bytes, those with the smallest page_id are
     responses, the others revisit it; rows that repeat that page_id as well are responses too. A null
     html is an empty payload, a null url an empty one. A null page_id is never the smallest unless
-    all of a group are null; then all are responses. Only digests and ids are shuffled to find the
-    groups, summed up map-side first; then each row meets the one row of its digest.
+    all of a group are null; then all are responses. Other columns are not touched, an empty table
+    gives an empty archive, and a long page is written by the one task that reads it.
+
+    Only digests and ids are shuffled to find the groups, summed up map-side first. The digests of two
+    rows or more are written as a table of their own, which the pages meet: where Spark broadcasts it,
+    pages go from their scan to the archive.
     """
     text = F.coalesce("html", F.lit("")).alias("html")
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), text)
     rows = rows.select(
-        "*",
-        F.octet_length("html").cast("bigint").alias("bytes"),
-        base32_sha1("html").alias("digest"),
+        "*", F.octet_length("html").cast("bigint").alias("bytes"), F.sha1("html").alias("sha1")
     )
-    least = rows.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes")
-    least = least.agg(F.min_by(F.struct("page_id", "url"), "page_id").alias("least"))
-    joined = rows.join(least.select("digest", "bytes", "least"), ["digest", "bytes"], "left")
+    least = rows.where(F.col("bytes") >= least_bytes).groupBy("sha1", "bytes")
+    least = least.agg(
+        F.min_by(F.struct("page_id", "url"), "page_id").alias("least"), F.count("*").alias("rows")
+    )
+    least = stored(least.where("rows > 1").drop("rows"), "repeated")
+    joined = rows.join(least, ["sha1", "bytes"], "left")
     first = F.col("least.page_id")
     revisit = first.isNotNull() & ~first.eqNullSafe(F.col("page_id"))
     shown = F.regexp_replace("url", "[\\r\\n]", "")
@@ -90,17 +100,19 @@ def write_pages(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> str:
         shown.alias("url"),
         "html",
         "bytes",
-        F.concat(F.lit("sha1:"), "digest").alias("digest"),
+        F.concat(F.lit("sha1:"), _base32(F.col("sha1"))).alias("digest"),
         revisit.alias("revisit"),
         first.alias("refers_to"),
         F.regexp_replace("least.url", "[\\r\\n]", "").alias("refers_to_url"),
         # A repeated row has ids of its own.
         F.monotonically_increasing_id().alias("number"),
     )
-    ids = [_urn(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "number", F.lit(x))
-           for x in ("request", "response", "metadata")]
+    kinds = ("request", "response", "metadata")
+    named = (F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "number")
+    # Worked out here, so that each is worked out once.
+    numbered = numbered.withColumns({f"{x}_id": _urn(*named, F.lit(x)) for x in kinds})
     folder = scratch_folder(pages.sparkSession, "warc")
-    records = numbered.select(F.explode(_records(*ids)).alias("value"))
+    records = numbered.select(F.explode(_records(*(F.col(f"{x}_id") for x in kinds))).alias("value"))
     writer = records.write.option("lineSep", _CRLF * 2).option("compression", "gzip")
     writer.option("maxRecordsPerFile", 3 * CAPTURES_PER_FILE).text(folder)
     return folder
@@ -299,14 +311,18 @@ def assemble(
     A side record belongs to the capture that its WARC-Concurrent-To names, else to the one whose
     WARC-Concurrent-To names it, else to that of a side record it names. Records that belong to none
     are not lost: each is a row of its own with a null `type` and itself nested. Nested records are
-    in order of their id; repeated concurrent-to values count once. Only side records are grouped;
-    they are summed up map-side by capture, and the captures with their payloads are joined once.
+    in order of their id; repeated concurrent-to values count once. Extra columns of the records stay
+    with the captures; no records give no rows. Only side records are grouped; they are summed up
+    map-side by capture, and the captures with their payloads are joined once.
     """
-    captures = records.where(F.col("type").isin(*_CAPTURE_TYPES))
-    sides = records.where(
-        ~F.coalesce(F.col("type").isin(*_CAPTURE_TYPES, "warcinfo"), F.lit(False))
-    )
-    sides = sides.select("type", *nested, "concurrent_to")
+    is_capture = F.coalesce(F.col("type").isin(*_CAPTURE_TYPES), F.lit(False))
+    side = F.when(~is_capture, F.struct(*nested))
+    # All but the captures' payloads, written once, so that records are read twice and no more.
+    links = records.where(is_capture | ~F.col("type").eqNullSafe(F.lit("warcinfo")))
+    links = links.select("record_id", "type", "concurrent_to", is_capture.alias("is_capture"), side.alias("side"))
+    links = stored(links, "links")
+    captures = links.where("is_capture")
+    sides = links.where("NOT is_capture")
     ids = captures.select(F.col("record_id").alias("capture"))
     named = sides.select("record_id", F.explode("concurrent_to").alias("other"))
     forward = named.join(ids, F.col("other") == F.col("capture")).select("record_id", "capture")
@@ -320,14 +336,14 @@ def assemble(
     capture = F.coalesce("capture", "far", "record_id")
 
     def listed(condition: Column) -> Column:
-        return F.array_sort(F.collect_list(F.when(condition, F.struct(*nested))))
+        return F.array_sort(F.collect_list(F.when(condition, F.col("side"))))
 
     grouped = placed.groupBy(capture.alias("record_id")).agg(
         listed(F.col("type") == "request").alias("requests"),
         listed(F.col("type") == "metadata").alias("metadata"),
         listed(~F.coalesce(F.col("type").isin("request", "metadata"), F.lit(False))).alias("others"),
     )
-    joined = captures.join(grouped, "record_id", "full")
+    joined = records.where(is_capture).join(grouped, "record_id", "full")
     empty = F.array().cast(grouped.schema["requests"].dataType)
     filled = {x: F.coalesce(x, empty) for x in ("requests", "metadata", "others")}
     return joined.withColumns(filled)
