@@ -23,10 +23,10 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,18 +48,20 @@ _HEADER = "<qBI"
 _HEADER_BYTES = struct.calcsize(_HEADER)
 #: White space before a space that white space or the end follows: there a cut could part a token.
 _UNSAFE = re.compile(r"\s (?=\s|\Z)")
-_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
-_MARKS = frozenset(".,;:!?")
+#: Marks that are cut from the word before them, and parts of words that are not cut.
+_MARKS = ".,;:!?"
+_MARKED = r"\p{L}[.,;:!?]$"
+_ODD = r"^$|[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]"
 _WORDS_AT_ONCE = 4096
 
 
 class Encoder:
     """Encodes texts as the tokenizer does, but each word only once.
 
-    Texts are cut before single spaces into chunks, chunks at line ends and before a last mark. The
-    tokenizer's own pattern always begins a new token there, unless white space stands on both sides
-    of a space; such texts are encoded whole. New words go to the tokenizer many at once, as one
-    text, and its ids are dealt to the words by their lengths in bytes.
+    Texts are cut before single spaces into chunks. The tokenizer's own pattern always begins a new
+    token there, unless white space stands on both sides of a space; such texts are encoded whole.
+    New chunks go to the tokenizer many at once, as one text, and its ids are dealt to the chunks by
+    their lengths in bytes.
     """
 
     def __init__(self, path: str):
@@ -75,13 +77,15 @@ class Encoder:
         for i, token in added.items():
             self.sizes[i] = len(token.content.encode())
         self.chunks = Kept(KEPT_CHUNKS)
+        self._marks = self._encoded(list(_MARKS))
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _encoded_words(self, words: list[str]) -> None:
-        """Add words that begin with a space and end in none to the known chunks."""
+    def _encoded_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words that begin with a space, by themselves; many are encoded as one text."""
+        found: list[bytes] = []
         for begin in range(0, len(words), _WORDS_AT_ONCE):
             part = words[begin : begin + _WORDS_AT_ONCE]
             ids = np.frombuffer(self._encoded(["".join(part)])[0], dtype="<u4")
@@ -89,74 +93,137 @@ class Encoder:
             reached = np.cumsum(self.sizes[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if len(ids) != cuts[-1] or (reached[cuts - 1] != ends).any():
-                self.chunks.update(zip(part, self._encoded(part), strict=True))
+                found += self._encoded(part)
                 continue
             whole, at = ids.tobytes(), 0
-            for word, cut in zip(part, (4 * cuts).tolist(), strict=True):
-                self.chunks[word] = whole[at:cut]
+            for cut in (4 * cuts).tolist():
+                found.append(whole[at:cut])
                 at = cut
-
-    def _learn(self, new: set[str]) -> None:
-        """Add chunks to the known ones."""
-        known, atoms, marked, lined = self.chunks, set(), [], {}
-        for chunk in new:
-            if "\n" in chunk:
-                lined[chunk] = _atoms(chunk)
-                atoms.update(lined[chunk])
-            elif chunk[-1] in _MARKS and len(chunk) > 1 and chunk[-2].isalpha():
-                marked.append(chunk)
-                atoms.add(chunk[:-1])
-                atoms.add(chunk[-1])
+        return found
+
+    def _ids_of(self, keys: list[str]) -> list[bytes]:
+        """The ids of units, from those known or else from the tokenizer.
+
+        A key that begins with a line end is a unit as it stands, others follow a space. A key that
+        begins with a space is a chunk with white space of its own, which is encoded alone.
+        """
+        chunks = self.chunks
+        found = list(map(chunks.get, keys))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        if chunks.old:
+            old = chunks.old.get
+            for i in unknown:
+                if (ids := old(keys[i])) is not None:
+                    found[i] = chunks[keys[i]] = ids
+            unknown = [i for i in unknown if found[i] is None]
+        for alone in (False, True):
+            some = [i for i in unknown if (keys[i][0] == " ") is alone]
+            new = [keys[i] for i in some]
+            if alone:
+                learned = self._encoded(new) if new else []
             else:
-                atoms.add(chunk)
-        atoms = known.missing(atoms)
-        self._encoded_words([x for x in atoms if x[0] == " " and not x[-1].isspace()])
-        others = [x for x in atoms if x not in known]
-        known.update(zip(others, self._encoded(others), strict=True))
-        for chunk in marked:
-            known[chunk] = known[chunk[:-1]] + known[chunk[-1]]
-        for chunk, parts in lined.items():
-            known[chunk] = b"".join(map(known.__getitem__, parts))
+                learned = self._encoded_words([k if k[0] == "\n" else " " + k for k in new])
+            chunks.update(zip(new, learned, strict=True))
+            for i, ids in zip(some, learned, strict=True):
+                found[i] = ids
+        return found
+
+    def _units(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Different words in units: how many each has, their numbers, and the ids of the units.
+
+        A word is cut at the line ends in it and before a mark that ends a word. Words with other
+        white space, or at whose line ends more than one stands, are units whole.
+        """
+        listed = pc.split_pattern(words, "\n")
+        parts = listed.flatten()
+        begins = listed.offsets.to_numpy().astype(np.int64)
+        owner = np.repeat(np.arange(len(words)), np.diff(begins))
+        odd_part = pc.match_substring_regex(parts, _ODD).to_numpy(zero_copy_only=False)
+        odd = np.zeros(len(words), dtype=bool)
+        odd[owner[odd_part]] = True
+        keep = np.flatnonzero(~odd[owner])
+        parts, owner = parts.take(pa.array(keep)), owner[keep]
+        later = keep > begins[owner]
+        marked = pc.match_substring_regex(parts, _MARKED).to_numpy(zero_copy_only=False)
+        bare = pc.replace_substring_regex(parts, r"[.,;:!?]$", "", max_replacements=1)
+        bare = pc.if_else(pa.array(marked), bare, parts)
+        keys = pc.if_else(pa.array(later), pc.binary_join_element_wise("\n", bare, ""), bare)
+        coded = keys.dictionary_encode()
+        whole = np.flatnonzero(odd)
+        names = coded.dictionary.to_pylist()
+        names += [" " + word for word in words.take(pa.array(whole)).to_pylist()]
+        ids = self._ids_of(names)
+        # Marks are units behind the others.
+        last = [part[-1] for part in parts.filter(pa.array(marked)).to_pylist()]
+        mark_ids = {mark: len(ids) + i for i, mark in enumerate(_MARKS)}
+        ids += self._marks
+        sizes = np.zeros(len(words), dtype=np.int64)
+        np.add.at(sizes, owner, 1 + marked)
+        sizes[whole] = 1
+        first = np.cumsum(sizes) - sizes
+        units = np.empty(int(sizes.sum()), dtype=np.int64)
+        units[first[whole]] = len(coded.dictionary) + np.arange(len(whole))
+        # Parts stand in order, so their units follow one another within a word.
+        step = np.cumsum(1 + marked) - (1 + marked)
+        start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+        base = np.repeat(step[start], np.diff(np.append(start, len(owner))))
+        at = first[owner] + step - base
+        units[at] = coded.indices.to_numpy()
+        units[at[marked] + 1] = [mark_ids[mark] for mark in last]
+        return sizes, units, ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; of a null none."""
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has; a null has none.
+
+        Words are told apart by Arrow, and the ids of a word are copied to where it stands by numpy:
+        Python touches each different word of the texts once.
+        """
         self.chunks.turn()
-        cut: list[list[str] | None] = []
-        whole: list[str] = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif _UNSAFE.search(text):
-                cut.append(None)
-                whole.append(text)
-            else:
-                chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else _cut(text)
-                cut.append(chunks if chunks[0] else chunks[1:])
-        known = self.chunks
-        new = known.missing(set(chain.from_iterable(filter(None, cut))))
-        if new:
-            self._learn(new)
-        wholes = iter(self._encoded(whole) if whole else ())
-        joined = (next(wholes) if x is None else b"".join(map(known.__getitem__, x)) for x in cut)
-        return [np.frombuffer(ids, dtype="<u4") for ids in joined]
-
-
-def _cut(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return [first, *[" " + x for x in rest]]
-
-
-def _atoms(chunk: str) -> list[str]:
-    """A chunk cut at single line ends within it and before a mark that ends a word."""
-    result: list[str] = []
-    for i, part in enumerate(_LINE_END.split(chunk)):
-        if i:
-            result.append("\n")
-        if len(part) > 1 and part[-1] in _MARKS and part[-2].isalpha():
-            result += [part[:-1], part[-1]]
-        else:
-            result.append(part)
-    return result
+        texts = pc.fill_null(texts, "")
+        strings = texts.to_pylist()
+        whole = np.array([bool(_UNSAFE.search(text)) for text in strings], dtype=bool)
+        words = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        first = words.offsets.to_numpy().astype(np.int64)
+        first -= first[0] if len(first) else 0
+        flat = words.flatten()
+        # The first word of a text has no space before it. It is no chunk like the others.
+        heads = flat.take(pa.array(first[:-1])).to_pylist()
+        rest = np.ones(len(flat), dtype=bool)
+        rest[first[:-1]] = False
+        coded = flat.filter(pa.array(rest)).dictionary_encode()
+        counts, units, known = self._units(coded.dictionary)
+        # The heads are words of one unit each, behind the others.
+        counts = np.append(counts, np.ones(len(heads), dtype=np.int64))
+        units = np.append(units, len(known) + np.arange(len(heads)))
+        known += self._encoded(heads)
+        place = np.empty(len(flat), dtype=np.int64)
+        place[rest] = coded.indices.to_numpy()
+        place[first[:-1]] = len(coded.dictionary) + np.arange(len(heads))
+        table = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        of_word = units[_ranges((np.cumsum(counts) - counts)[place], counts[place])]
+        ids = table[_ranges((np.cumsum(sizes) - sizes)[of_word], sizes[of_word])]
+        ends = np.cumsum(np.append(0, sizes[of_word]))[np.cumsum(counts[place])]
+        bounds = np.append(0, ends)[first]
+        if not whole.any():
+            return ids, np.diff(bounds)
+        wholes = iter(self._encoded([strings[i] for i in np.flatnonzero(whole)]))
+        parts = [
+            np.frombuffer(next(wholes), dtype="<u4") if whole[i] else ids[bounds[i] : bounds[i + 1]]
+            for i in range(len(strings))
+        ]
+        return np.concatenate(parts), np.array([len(part) for part in parts], dtype=np.int64)
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, ... counts[i] numbers, for all i."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
 
 
 @lru_cache(maxsize=2)
@@ -193,10 +260,12 @@ def write_shards(docs: DataFrame, tokenizer: str) -> str:
 
     def work(run: pa.RecordBatch) -> pa.RecordBatch:
         records = []
-        found = encoder_at(tokenizer).encode(run.column("text").to_pylist())
-        for doc_id, ids in zip(run.column("doc_id").to_pylist(), found, strict=True):
-            header = struct.pack(_HEADER, doc_id or 0, doc_id is not None, len(ids) + 1)
-            records.append(header + ids.astype(kind).tobytes() + end)
+        ids, counts = encoder_at(tokenizer).encode_column(run.column("text"))
+        data, at = memoryview(ids.astype(kind).tobytes()), 0
+        for doc_id, n in zip(run.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+            header = struct.pack(_HEADER, doc_id or 0, doc_id is not None, n + 1)
+            records.append(b"".join((header, data[at : at + n * kind.itemsize], end)))
+            at += n * kind.itemsize
         return pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     folder = scratch_folder(docs.sparkSession, "token-shards")
@@ -206,46 +275,44 @@ def write_shards(docs: DataFrame, tokenizer: str) -> str:
     return folder
 
 
-def _scan_shard(content: bytes, width: int) -> Iterator[tuple]:
-    """Records of a shard: id, number among equal ids, offset, ids before, ids, crc32."""
+def _scan_shard(content: memoryview, width: int) -> Iterator[tuple]:
+    """Records of a shard: id, number among equal ids, offset, ids before, ids."""
     at = before = repeat = 0
     last: tuple | None = None
     while at < len(content):
         doc_id, known, count = struct.unpack_from(_HEADER, content, at)
-        begin = at + _HEADER_BYTES
-        ids = np.frombuffer(content, f"<u{width}", count, begin)
         doc_id = doc_id if known else None
         repeat = repeat + 1 if last == (doc_id,) else 0
         last = (doc_id,)
-        yield doc_id, repeat, at, before, count, zlib.crc32(ids.astype("<u4").tobytes())
+        yield doc_id, repeat, at, before, count
         before += count
-        at = begin + count * width + 1
+        at += _HEADER_BYTES + count * width + 1
 
 
-_RECORDS = (
-    "doc_id bigint, repeat bigint, shard int, at bigint, before bigint, n_tokens bigint, "
-    "ids_crc32 bigint"
-)
+_RECORDS = "doc_id bigint, repeat bigint, shard int, at bigint, before bigint, n_tokens bigint"
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """The shards: their number and `content`."""
+    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard")
+    return spark.read.format("binaryFile").load(folder).select(number, "content")
 
 
 def read_shards(spark: SparkSession, folder: str, width: int) -> DataFrame:
-    """One row per record of the files, with the checksum of its ids as 32-bit integers."""
+    """One row per record of the files."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _RECORDS.split(", ")]
         for batch in batches:
-            for i in range(batch.num_rows):
-                path = batch.column("path")[i].as_py()
-                shard = int(re.search(r"part-(\d+)[^/]*$", path).group(1))
-                rows = list(_scan_shard(batch.column("content")[i].as_py(), width))
-                columns = [list(x) for x in zip(*rows, strict=True)] or [[] for _ in range(6)]
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+                rows = list(_scan_shard(memoryview(content.as_buffer()), width))
+                columns = [list(x) for x in zip(*rows, strict=True)] or [[] for _ in range(5)]
                 columns.insert(2, [shard] * len(rows))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 3]
                 arrays = [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    return files.mapInArrow(work, _RECORDS)
+    return _files(spark, folder).mapInArrow(work, _RECORDS)
 
 
 def _key_hash(ids: np.ndarray, repeats: np.ndarray, seed: int) -> np.ndarray:
@@ -303,7 +370,9 @@ def _keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 _ENTRY = np.dtype(
     [("finger", "<u4"), ("shard", "<i4"), ("at", "<i8"), ("before", "<i8"), ("n_tokens", "<u4")]
 )
-_FOUND = "doc_id bigint, repeat bigint, shard int, at bigint, before bigint, n_tokens bigint"
+_FOUND = _RECORDS
+_READ = "doc_id bigint, shard int, before bigint, n_tokens bigint, ids binary"
+_DIGESTS = "doc_id bigint, shard int, before bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def _part(parts: int):
@@ -381,35 +450,78 @@ def write_store(docs: DataFrame, tokenizer: str) -> TokenStore:
     )
 
 
+def _payloads(content: memoryview, places: dict, width: int) -> Iterator[tuple]:
+    """`doc_id`, ids before, and the ids of the records at the given places of a shard."""
+    fields = ("doc_id", "at", "before", "n_tokens")
+    for doc_id, at, before, count in zip(*(places[x] for x in fields), strict=True):
+        written, known, n = struct.unpack_from(_HEADER, content, at)
+        if n != count or known != (doc_id is not None) or (known and written != doc_id):
+            raise ValueError(f"the index and the file disagree about document {doc_id}")
+        begin = at + _HEADER_BYTES
+        yield doc_id, before, np.frombuffer(content, f"<u{width}", count, begin)
+
+
+def _located(store: TokenStore, keys: DataFrame) -> DataFrame:
+    """One row per shard with the places of the records that keys have in it."""
+    located = look_up(keys, store.index, store.parts)
+    place = F.struct("at", "doc_id", "before", "n_tokens")
+    grouped = located.groupBy("shard").agg(F.sort_array(F.collect_list(place)).alias("places"))
+    fields = {x: F.col(f"places.{x}") for x in ("doc_id", "at", "before", "n_tokens")}
+    return stored(grouped.select("shard", *(c.alias(x) for x, c in fields.items())), "token-places")
+
+
+def read_payloads(store: TokenStore, keys: DataFrame, digests: bool = False) -> DataFrame:
+    """The records of keys (`doc_id`, `repeat`), read from the files at the places the index gives:
+    `doc_id`, `shard`, ids `before` it in the shard, `n_tokens` and the `ids` as 32-bit integers, or
+    instead of them their `ids_crc32`.
+
+    Places are one row for each shard, which Spark broadcasts while they are few: then files go from
+    their scan to the task that reads the records, and a shard is read once for all keys in it.
+    """
+    spark, width = keys.sparkSession, store.width
+    schema = _DIGESTS if digests else _READ
+    names = [x.split()[0] for x in schema.split(", ")]
+    last = pa.int64() if digests else pa.binary()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                content = memoryview(batch.column("content")[i].as_buffer())
+                places = {x: batch.column(x)[i].as_py() for x in ("doc_id", "at", "before", "n_tokens")}
+                shard = batch.column("shard")[i].as_py()
+                rows = []
+                for doc_id, before, ids in _payloads(content, places, width):
+                    ids = ids.astype("<u4").tobytes()
+                    rows.append((doc_id, shard, before, len(ids) // 4, zlib.crc32(ids) if digests else ids))
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), last]
+                columns = zip(*rows, strict=True)
+                arrays = [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)]
+                if arrays:
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    joined = _files(spark, store.folder).join(_located(store, keys), "shard")
+    return joined.mapInArrow(work, schema)
+
+
 def read_store(store: TokenStore, ids: DataFrame) -> DataFrame:
     """`doc_id`, `start`, `n_tokens` and `ids_crc32` of all records of the given doc_ids.
 
-    Each doc_id goes through the index to the place of its records; what lies there was read back
-    from the files. Shard bases are summed over one row per shard.
+    Each doc_id goes through the index to the places of its records, and each record is read from its
+    file there. Shard bases are summed over one row per shard.
     """
     counted = ids.groupBy("doc_id").agg(F.count("*").alias("times"))
     numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("repeat")
-    located = look_up(counted.select("doc_id", numbers), store.index, store.parts)
+    read = read_payloads(store, counted.select("doc_id", numbers), digests=True)
     totals = store.records.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
-    read = store.records.select("shard", "at", "ids_crc32")
-    joined = located.join(read, ["shard", "at"]).join(bases, "shard")
+    joined = read.join(bases, "shard")
     start = (F.col("base") + F.col("before")).alias("start")
     return joined.select("doc_id", start, "n_tokens", "ids_crc32")
 
 
 def fetch(spark: SparkSession, store: TokenStore, ids: list[int]) -> dict[int, np.ndarray]:
-    """The ids of a few documents (of repeated ones the first), read from their shards alone."""
+    """The ids of a few documents, of repeated ones the first."""
     keys = spark.createDataFrame([(i, 0) for i in ids], "doc_id bigint, repeat bigint")
-    result = {}
-    files = spark.read.format("binaryFile").load(store.folder)
-    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard")
-    paths = {r.shard: r.path for r in files.select(number, "path").collect()}
-    for row in look_up(keys, store.index, store.parts).collect():
-        file = spark.read.format("binaryFile").load(paths[row.shard])
-        begin = row.at + _HEADER_BYTES + 1
-        part = F.substring("content", begin, row.n_tokens * store.width)
-        payload = file.select(part.alias("x")).first().x
-        result[row.doc_id] = np.frombuffer(bytes(payload), f"<u{store.width}").astype(np.uint32)
-    return result
+    rows = read_payloads(store, keys).collect()
+    return {row.doc_id: np.frombuffer(bytes(row.ids), "<u4") for row in rows}
