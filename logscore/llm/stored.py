@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from logscore.session import scratch_folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write `df` below `spark.checkpoint.dir` and read it back.
 
     The lineage ends there, and no executor that is lost takes part of it along.
     """
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -540,7 +540,7 @@ def outlined(pages: DataFrame) -> DataFrame:
         names = ["page_id", "url", "html", "layout", "page_hash", "keys"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return stored(rows.mapInArrow(by_run(work, "html"), _OUTLINED), "outlines")
+    return stored(rows.mapInArrow(by_run(work, "html"), _OUTLINED), "outlines", "zstd")
 
 
 def induce_wrappers(pages: DataFrame) -> DataFrame:
@@ -561,7 +561,9 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     order = Window.partitionBy("layout").orderBy("page_hash")
     drawn = different.withColumn("n", F.row_number().over(order)).where(f"n <= {PAGES_PER_LAYOUT}")
     copies = Window.partitionBy("layout", "page_hash").orderBy("page_id")
-    drawn = pages.join(drawn.drop("n"), ["layout", "page_hash"], "left_semi")
+    # Written, so that Spark knows how few they are and does not shuffle pages to meet them.
+    drawn = stored(drawn.drop("n"), "drawn")
+    drawn = pages.join(drawn, ["layout", "page_hash"], "left_semi")
     drawn = drawn.withColumn("n", F.row_number().over(copies)).where("n = 1")
 
     def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
