@@ -5,11 +5,15 @@ next and how often. The code length of a byte is worked out as PPM does with esc
 exclusion: a context that has seen the byte codes it with n / (total + distinct); else it escapes
 with distinct / (total + distinct) to the context that is one byte shorter, where the bytes already
 ruled out do not count; below the empty context all bytes left are equally likely. Statistics are
-frozen, so the code length depends on the last bytes alone and is tabled once for each context and
-byte. A text belongs to the language with the shortest code.
-
-Contexts are counted by Spark over a bounded sample of labelled rows, whole texts. Texts are
-lower-cased. Prediction is one pass over the bytes with the tables broadcast.
+frozen, so the code length depends on the last bytes alone. A text belongs to the language with the
+shortest code.
+
+Trees are sparse: sorted arrays of all contexts and of all (context, byte) pairs of the sample, none
+left out. As every byte that a context has seen its shorter contexts have seen too, exclusion takes
+one sum off a context for each context it is escaped to from, which is worked out when learning.
+Contexts are counted by Spark over a bounded sample of labelled rows, whole texts, so the trees are no
+larger than the sample. Texts are lower-cased. Prediction finds the different four bytes of a run of
+texts, works out the code lengths of those not met before, and adds them up.
 """
 
 from __future__ import annotations
@@ -28,10 +32,8 @@ from logscore.llm.words import buffer_of, by_run
 ORDER = 3
 #: Labelled rows of each language to learn from, about.
 ROWS_PER_LANGUAGE = 2000
-#: Contexts of the table; the ones seen most often.
-CONTEXTS = 20_000
-#: Numbers in the table of code lengths; with many languages it has fewer contexts.
-TABLE_VALUES = 32_000_000
+#: Code lengths that a process keeps, by four bytes.
+KEPT_CODES = 1_000_000
 #: Bytes of a text, however long, that are worked on at once.
 CHUNK_BYTES = 1 << 20
 #: Languages whose row counts are broadcast.
@@ -43,14 +45,114 @@ UNKNOWN = "und"
 
 
 @dataclass
-class Model:
-    """`symbol` maps bytes to 0..A-1, A-1 for all bytes never seen; A stands before a text."""
+class Level:
+    """Contexts of one order in a language. A context is its bytes as a number; its pairs are the
+    context, shifted, with the byte after it. `coded` is log2(total + distinct) and `escaped` the bits
+    of the escape; `lower_coded` and `lower_escaped` the same of the context that is one byte shorter
+    without the bytes this one has seen, `lower_any` whether it has others."""
+
+    contexts: np.ndarray
+    coded: np.ndarray
+    escaped: np.ndarray
+    lower_coded: np.ndarray
+    lower_escaped: np.ndarray
+    lower_any: np.ndarray
+    pairs: np.ndarray
+    log_counts: np.ndarray
+
+
+def tree(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """The levels of a language, shortest contexts first, from its four bytes and their counts."""
+    levels: list[Level] = []
+    below: tuple | None = None
+    for order in range(ORDER + 1):
+        pairs, at = np.unique(codes & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        number = np.bincount(at, counts, len(pairs))
+        contexts, of_pair = np.unique(pairs >> 8, return_inverse=True)
+        total = np.bincount(of_pair, number, len(contexts))
+        distinct = np.bincount(of_pair, minlength=len(contexts)).astype(float)
+        left, left_distinct = np.zeros(len(contexts)), np.zeros(len(contexts))
+        if below is not None:
+            lower_pairs, lower_number, lower_contexts, lower_total, lower_distinct = below
+            again = np.searchsorted(lower_pairs, pairs & ((1 << 8 * order) - 1))
+            shorter = np.searchsorted(lower_contexts, contexts & ((1 << 8 * (order - 1)) - 1))
+            left = lower_total[shorter] - np.bincount(of_pair, lower_number[again], len(contexts))
+            left_distinct = lower_distinct[shorter] - distinct
+        some = left_distinct > 0
+        lower = np.where(some, left + left_distinct, 1)
+        levels.append(
+            Level(
+                contexts, np.log2(total + distinct), np.log2((total + distinct) / distinct),
+                np.log2(lower), np.log2(lower / np.where(some, left_distinct, 1)), some,
+                pairs, np.log2(number),
+            )
+        )
+        below = pairs, number, contexts, total, distinct
+    return levels
+
 
-    languages: list[str]
-    symbol: np.ndarray
-    symbols: int
-    context: np.ndarray  # last three symbols, in base A + 1, to the number of their context
-    bits: np.ndarray  # contexts x symbols x languages: code lengths
+def code_lengths(levels: list[Level], codes: np.ndarray) -> np.ndarray:
+    """Bits of the last of each four bytes after the three before it."""
+    bits = np.zeros(len(codes))
+    open_ = np.arange(len(codes))
+    above = np.full(len(codes), -1)  # the place of the next longer context among those of its order
+    for order in range(ORDER, -1, -1):
+        level = levels[order]
+        if not len(level.contexts):
+            continue
+        code = codes[open_]
+        context = (code >> 8) & ((1 << 8 * order) - 1)
+        at = np.minimum(np.searchsorted(level.contexts, context), len(level.contexts) - 1)
+        known = level.contexts[at] == context
+        escaped_to = above[open_] >= 0
+        longer = levels[order + 1] if order < ORDER else level
+        i = np.where(escaped_to, above[open_], 0)
+        coded = np.where(escaped_to, longer.lower_coded[i], level.coded[at])
+        escape = np.where(escaped_to, longer.lower_escaped[i], level.escaped[at])
+        asked = known & (~escaped_to | longer.lower_any[i])
+        pair = code & ((1 << 8 * (order + 1)) - 1)
+        place = np.minimum(np.searchsorted(level.pairs, pair), len(level.pairs) - 1)
+        seen = asked & (level.pairs[place] == pair)
+        bits[open_] += np.where(seen, coded - level.log_counts[place], np.where(asked, escape, 0))
+        above[open_] = np.where(known, at, -1)
+        open_ = open_[~seen]
+    bits[open_] += np.log2(256 - len(levels[0].pairs))
+    return bits
+
+
+class Model:
+    """The languages and their trees; keeps the code lengths that were asked for lately."""
+
+    def __init__(self, languages: list[str], trees: list[list[Level]]):
+        self.languages, self.trees = languages, trees
+        self._codes = np.zeros(0, dtype=np.uint32)
+        self._bits = np.zeros((0, len(trees)), dtype=np.float32)
+
+    def __getstate__(self) -> tuple:
+        return self.languages, self.trees
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def bits(self, codes: np.ndarray) -> np.ndarray:
+        """Code lengths (codes x languages) of sorted different four bytes."""
+        place = np.searchsorted(self._codes, codes)
+        known = np.zeros(len(codes), dtype=bool)
+        inside = place < len(self._codes)
+        known[inside] = self._codes[place[inside]] == codes[inside]
+        found = np.empty((len(codes), len(self.trees)), dtype=np.float32)
+        found[known] = self._bits[place[known]]
+        new = codes[~known]
+        if len(new):
+            wide = new.astype(np.int64)
+            made = np.column_stack([code_lengths(tree, wide) for tree in self.trees])
+            found[~known] = made
+            if len(self._codes) + len(new) > KEPT_CODES:
+                self._codes, self._bits = codes, found
+            else:
+                self._codes = np.insert(self._codes, place[~known], new)
+                self._bits = np.insert(self._bits, place[~known], found[~known], axis=0)
+        return found
 
 
 def learning_rows(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
@@ -104,115 +206,28 @@ def count_contexts(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang", "bytes").agg(F.sum("n").alias("n"))
 
 
-def _levels(codes: np.ndarray, counts: np.ndarray, symbols: int) -> list[tuple]:
-    """For contexts of 0 to ORDER symbols: their keys and the counts (contexts x symbols)."""
-    levels = []
-    base = symbols + 1
-    for order in range(ORDER + 1):
-        keys = (codes // symbols) % base**order
-        found, at = np.unique(keys, return_inverse=True)
-        table = np.zeros((len(found), symbols))
-        np.add.at(table, (at, codes % symbols), counts)
-        levels.append((found, table))
-    return levels
-
-
-def code_lengths(
-    contexts: list[tuple[int, int]], levels: list[tuple], symbols: int, unseen: int
-) -> np.ndarray:
-    """Bits for each context (its order and key) and symbol; the last symbol is `unseen` bytes."""
-    base = symbols + 1
-    orders = np.array([order for order, _ in contexts])
-    keys = np.array([key for _, key in contexts], dtype=np.int64)
-    bits = np.zeros((len(contexts), symbols))
-    open_ = np.ones((len(contexts), symbols), dtype=bool)
-    escaped = np.zeros(len(contexts))
-    for order in range(ORDER, -1, -1):
-        known, table = levels[order]
-        wanted = keys % base**order
-        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-        here = np.flatnonzero((orders >= order) & (known[at] == wanted))
-        seen = np.where(open_[here], table[at[here]], 0)
-        total, distinct = seen.sum(1), (seen > 0).sum(1)
-        some = distinct > 0
-        here, seen, total, distinct = here[some], seen[some], total[some], distinct[some]
-        with np.errstate(divide="ignore"):
-            coded = np.log2(total + distinct)[:, None] - np.log2(seen)
-        bits[here] = np.where(seen > 0, coded + escaped[here][:, None], bits[here])
-        open_[here] &= seen == 0
-        left = open_[here].any(1)
-        escaped[here[left]] += np.log2((total + distinct)[left] / distinct[left])
-    weights = np.ones(symbols)
-    weights[-1] = max(unseen, 1)
-    left = (open_ * weights).sum(1)
-    return np.where(open_, escaped[:, None] + np.log2(np.maximum(left, 1))[:, None], bits)
-
-
-def fit(rows: DataFrame, contexts: int = CONTEXTS) -> Model:
-    """Learn from columns `lang` and `text`. The counts that come to the driver are those of
-    contexts seen twice or more, so at most half the bytes of the bounded sample."""
-    counts = count_contexts(rows)
-    seen = counts.groupBy("lang", F.shiftright("bytes", 8)).agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("bytes", "n")).alias("next")
-    )
-    table = seen.where("total > 1").select("lang", F.inline("next")).toPandas()
+def fit(rows: DataFrame) -> Model:
+    """Learn from columns `lang` and `text`. The counts come to the driver; they are no more than the
+    bytes of the rows, which `learning_rows` bounds."""
+    table = count_contexts(rows).toPandas()
     languages = sorted(table["lang"].unique())
     parts = {lang: part for lang, part in table.groupby("lang")}
-    values = table["bytes"].to_numpy(dtype=np.int64)
-    present = np.unique(values & 255)
-    symbols = len(present) + 1
-    symbol = np.full(256, symbols - 1, dtype=np.int64)
-    symbol[present] = np.arange(len(present))
-    base = symbols + 1
-
-    def coded(values: np.ndarray) -> np.ndarray:
-        """The last symbol in base A, those before it in base A + 1; byte 0 stands before a text."""
-        result = np.zeros(len(values), dtype=np.int64)
-        for back in range(ORDER, 0, -1):
-            byte = (values >> (8 * back)) & 255
-            result = result * base + np.where(byte == 0, symbols, symbol[byte])
-        return result * symbols + symbol[values & 255]
-
-    levels = []
-    weight: dict[tuple[int, int], float] = {}
-    for lang in languages:
-        part = parts[lang]
-        own = _levels(coded(part["bytes"].to_numpy(np.int64)), part["n"].to_numpy(float), symbols)
-        levels.append(own)
-        for order in range(1, ORDER + 1):
-            for key, total in zip(own[order][0].tolist(), own[order][1].sum(1), strict=True):
-                weight[order, key] = weight.get((order, key), 0) + total
-    contexts = min(contexts, TABLE_VALUES // (symbols * max(len(languages), 1)))
-    ranked = sorted(weight, key=lambda x: (-weight[x], x))[:contexts]
-    kept = [(0, 0), *sorted(ranked)]
-    place = {context: i for i, context in enumerate(kept)}
-    context = np.zeros(base**ORDER, dtype=np.int32)
-    everything = np.arange(base**ORDER)
-    for order in range(1, ORDER + 1):
-        number = np.zeros(base**order, dtype=np.int32)
-        for (length, key), i in place.items():
-            if length == order:
-                number[key] = i
-        found = number[everything % base**order]
-        context = np.where(found > 0, found, context)
-    unseen = 256 - len(present)
-    bits = np.zeros((len(kept), symbols, max(len(languages), 1)), dtype=np.float32)
-    for i, own in enumerate(levels):
-        bits[:, :, i] = code_lengths(kept, own, symbols, unseen)
-    return Model(languages, symbol, symbols, context, bits)
-
-
-def _table_rows(
-    model: Model, data: np.ndarray, offsets: np.ndarray, begin: int, end: int
-) -> np.ndarray:
-    """The row of the table of code lengths for bytes begin to end - 1."""
+    trees = [
+        tree(parts[lang]["bytes"].to_numpy(np.int64), parts[lang]["n"].to_numpy(float))
+        for lang in languages
+    ]
+    return Model(languages, trees)
+
+
+def _codes(data: np.ndarray, offsets: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """For bytes begin to end - 1 each with the three before it, as a number."""
     low = max(0, begin - ORDER)
-    symbols = model.symbol[data[low:end]]
+    part = data[low:end].astype(np.uint32)
     offsets = np.clip(offsets - low, 0, end - low)
-    keys = np.zeros(len(symbols), dtype=np.int64)
-    for back in range(ORDER, 0, -1):
-        keys = keys * (model.symbols + 1) + _before(symbols, offsets, back, model.symbols)
-    return (model.context[keys].astype(np.int64) * model.symbols + symbols)[begin - low :]
+    codes = np.zeros(len(part), dtype=np.uint32)
+    for back in range(ORDER, -1, -1):
+        codes = (codes << np.uint32(8)) | _before(part, offsets, back, 0)
+    return codes[begin - low :]
 
 
 def _predict_run(model: Model, run: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
@@ -225,10 +240,12 @@ def _predict_run(model: Model, run: pa.RecordBatch) -> tuple[pa.Array, pa.Array]
     totals = np.zeros((count, len(model.languages)))
     full = np.flatnonzero(np.diff(offsets))
     starts, ends = offsets[full], offsets[full + 1]
-    table = model.bits.reshape(-1, len(model.languages))
     for begin in range(0, len(data), CHUNK_BYTES):
         end = min(begin + CHUNK_BYTES, len(data))
-        rows = _table_rows(model, data, offsets, begin, end)
+        codes = _codes(data, offsets, begin, end)
+        ordered = np.sort(codes)
+        different = ordered[np.append(True, ordered[1:] != ordered[:-1])]
+        rows, table = np.searchsorted(different, codes), model.bits(different)
         i, j = np.searchsorted(ends, begin, side="right"), np.searchsorted(starts, end)
         places = np.maximum(starts[i:j], begin) - begin
         for k in range(len(model.languages)):

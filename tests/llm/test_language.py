@@ -9,16 +9,12 @@ from logscore.llm import language
 from tests.llm.helpers import documents, rows_of
 
 
-def brute_bits(training: list[bytes], text: bytes, twice: bool = True) -> float:
-    """Code length by counting in dictionaries; contexts of three bytes seen once are not learnt."""
+def brute_bits(training: list[bytes], text: bytes) -> float:
+    """Code length by counting in dictionaries."""
     events = []
     for t in training:
         padded = b"\0" * language.ORDER + t
         events += [padded[i : i + 4] for i in range(len(t))]
-    seen3: dict[bytes, int] = {}
-    for e in events:
-        seen3[e[:3]] = seen3.get(e[:3], 0) + 1
-    events = [e for e in events if seen3[e[:3]] > 1]
     counts: dict[bytes, dict[int, int]] = {}
     for e in events:
         for order in range(language.ORDER + 1):
@@ -65,10 +61,41 @@ def test_code_lengths_against_brute_force(spark, model):
 
 
 def test_probabilities_sum_to_one(model):
-    weights = np.ones(model.symbols)
-    weights[-1] = 256 - (model.symbols - 1)
-    mass = (np.exp2(-model.bits.astype(float)) * weights[None, :, None]).sum(1)
-    assert np.allclose(mass, 1, atol=1e-5)
+    for context in (b"\0\0\0", b"abb", b"xyz", b"qqq", b"qab", b"\0dc"):
+        codes = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        for tree in model.trees:
+            assert np.exp2(-language.code_lengths(tree, codes)).sum() == pytest.approx(1)
+
+
+def test_many_contexts_and_languages():
+    """Every context counts, however many there are: 100 languages and 30,000 contexts of three."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(1, 256, 600).astype(np.uint8).tobytes() for _ in range(100)]
+    trees = []
+    for text in texts:
+        padded = b"\0" * 3 + text
+        codes = [int.from_bytes(padded[i : i + 4], "big") for i in range(len(text))]
+        found, counts = np.unique(np.array(codes), return_counts=True)
+        trees.append(language.tree(found, counts.astype(float)))
+    assert sum(len(tree[3].contexts) for tree in trees) > 30_000
+    for i in rng.integers(0, 100, 6):
+        probe = texts[i][:40] + texts[(i + 1) % 100][:20]
+        padded = b"\0" * 3 + probe
+        codes = np.array([int.from_bytes(padded[k : k + 4], "big") for k in range(len(probe))])
+        for tree, text in ((trees[i], texts[i]), (trees[(i + 1) % 100], texts[(i + 1) % 100])):
+            bits = language.code_lengths(tree, codes).sum()
+            assert bits == pytest.approx(brute_bits([text], probe))
+
+
+def test_kept_code_lengths(monkeypatch):
+    monkeypatch.setattr(language, "KEPT_CODES", 50)
+    rng = np.random.default_rng(5)
+    codes = np.unique(rng.integers(0, 1 << 16, 300))
+    model = language.Model(["x"], [language.tree(codes, np.ones(len(codes)))])
+    for _ in range(20):
+        asked = np.unique(rng.integers(0, 1 << 16, rng.integers(1, 40))).astype(np.uint32)
+        wanted = language.code_lengths(model.trees[0], asked.astype(np.int64))
+        assert model.bits(asked)[:, 0] == pytest.approx(wanted, rel=1e-6)
 
 
 def test_texts_without_letters(spark, model):
