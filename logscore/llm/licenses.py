@@ -77,16 +77,38 @@ _BSD_DISCLAIMER = (
     "the possibility of such damage"
 )
 
-#: Labels of wording that only begins a license; given where no whole text stands in that place.
-OPENINGS = frozenset(("bsd-opening", "isc-opening", "mit-opening"))
+_FREE_SOFTWARE = (
+    "This <<beginOptional>>program<<endOptional>><<beginOptional>>library<<endOptional>> is free "
+    "software you can redistribute it and or modify it under the terms of the GNU {} General Public "
+    "License as published by the Free Software Foundation <<beginOptional>>either "
+    "<<var;name=version;match=(version )?[0-9]( [0-9])?;words=3>> of the License or at your option "
+    "any later version<<endOptional>>"
+)
+
+#: Labels of wording that only names or begins a license; given where no whole text or notice stands
+#: in that place.
+OPENINGS = frozenset(
+    "apache-2.0 bsd-opening cc-by-4.0 cc-by-nc-4.0 gpl-2.0 gpl-3.0 isc-opening mit-opening".split()
+)
 
 #: Templates by the label they give; wording of public license notices, and whole license texts.
 TEMPLATES = {
+    "agpl-notice": _FREE_SOFTWARE.format("Affero"),
     "all-rights-reserved": "All rights reserved",
     "apache-2.0": (
         "Licensed under the Apache License <<beginOptional>>Version<<endOptional>> "
         "<<var;name=version;match=v?2( 0)?;words=2>>"
     ),
+    "apache-notice": (
+        "Licensed under the Apache License Version 2 0 <<beginOptional>>the License<<endOptional>> "
+        "you may not use this <<var;name=what;match=.+;words=3>> except in compliance with the "
+        "License You may obtain a copy of the License at "
+        "<<var;name=scheme;match=https?;words=1>> www apache org licenses LICENSE 2 0 "
+        "Unless required by applicable law or agreed to in writing software distributed under the "
+        "License is distributed on an AS IS BASIS WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND "
+        "either express or implied See the License for the specific language governing permissions "
+        "and limitations under the License"
+    ),
     "bsd-2-clause": _BSD + _BSD_SOURCE_AND_BINARY + _BSD_DISCLAIMER,
     "bsd-3-clause": _BSD + _BSD_SOURCE_AND_BINARY + _BSD_NAMES + _BSD_DISCLAIMER,
     "bsd-4-clause": (
@@ -101,12 +123,7 @@ TEMPLATES = {
         "Licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> "
         "CC BY NC <<var;name=version;match=4 0;words=2>>"
     ),
-    "gpl-notice": (
-        "This program is free software you can redistribute it and or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation "
-        "<<beginOptional>>either version <<var;name=version;match=[0-9];words=1>> of the License "
-        "or at your option any later version<<endOptional>>"
-    ),
+    "gpl-notice": _FREE_SOFTWARE.format(""),
     "gpl-2.0": "GNU General Public License <<var;name=version;match=(version|v) 2|v2;words=2>>",
     "gpl-3.0": "GNU General Public License <<var;name=version;match=(version|v) 3|v3;words=2>>",
     "isc": (
@@ -118,10 +135,17 @@ TEMPLATES = {
         "use or performance of this software"
     ),
     "isc-opening": _ISC,
+    "lgpl-notice": _FREE_SOFTWARE.format("<<var;name=kind;match=lesser|library;words=1>>"),
     "mit-opening": _MIT,
     "mit-release": (
         "Released under the <<beginOptional>>terms of the<<endOptional>> MIT License"
     ),
+    "mpl-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License v 2 0 If a copy "
+        "of the MPL was not distributed with this file You can obtain one at "
+        "<<var;name=scheme;match=https?;words=1>> <<beginOptional>>www<<endOptional>> mozilla org "
+        "MPL 2 0"
+    ),
     "mit-text": (
         f"{_MIT} including without limitation the rights to use copy modify merge publish "
         "distribute sublicense and or sell copies of the Software and to permit persons to whom the "
@@ -311,9 +335,8 @@ def scan_licenses(
 ) -> DataFrame:
     """Per document: words, places of phrases, labels of phrases and of accepted templates.
 
-    `score` is 1 where a template is accepted, 0.75 where only one of `OPENINGS` is, 0.5 where only a
-    phrase stands, else 0. Reads
-    `doc_id` and `text`; other columns are not touched. A null or empty text has no words, no places
+    `score` is 1 where a whole text or notice is accepted, 0.75 where only one of `OPENINGS` is, such as
+    the title of a license, 0.5 where only a phrase stands, else 0. Reads `doc_id` and `text`; other columns are not touched. A null or empty text has no words, no places
     and empty labels; first_word and last_word are null without a place. Repeated rows are all
     returned with the same result. Very long texts are worked on one at a time. An empty table gives
     an empty result.

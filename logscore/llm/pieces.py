@@ -75,6 +75,12 @@ class PieceModel:
         self.edges = np.array(
             [i for i in normal if len(self.pieces[i]) == 1 or self.left[i] >= 0], dtype=np.int64
         )
+        # Characters of no piece are all alike; 0 ends a word.
+        used = {ord(c) for i in self.edges.tolist() for c in self.pieces[i]}
+        self.alphabet = np.array(sorted({0} | used), dtype=np.uint32)
+        if len(self.alphabet) > 0xFFFC:
+            raise ValueError("pieces of more than 65,532 different characters are not supported")
+        self.symbol_of = {chr(c): i + 1 for i, c in enumerate(self.alphabet.tolist())}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(size) if p.is_byte(i)}
         self.raw = [
             bytes([int(x[3:5], 16)]) if p.is_byte(i) else b"" if special[i]
@@ -174,12 +180,9 @@ class PieceModel:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         bounds = np.cumsum([len(word) + 1 for word in words])
         starts = np.concatenate([[0], bounds[:-1]])
-        alphabet, symbols = np.unique(points, return_inverse=True)
-        if len(alphabet) > 0xFFFE:
-            half = len(words) // 2
-            if half:
-                return self.encode_words(words[:half]) + self.encode_words(words[half:])
-        place, piece = self._edges(alphabet, symbols)
+        symbols = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
+        symbols[self.alphabet[symbols] != points] = len(self.alphabet)
+        place, piece = self._edges(symbols)
         # Single characters that are no piece
         single = np.zeros(len(points), dtype=bool)
         single[place[self.lengths[piece] == 1]] = True
@@ -202,7 +205,7 @@ class PieceModel:
             last[place[i:j][good] + lengths[i:j][good]] = own[good]
         return self._collect(words, starts, bounds - 1, last)
 
-    def _edges(self, alphabet: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _edges(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and piece ids of all occurrences of pieces."""
         count = len(symbols)
         longest = int(self.lengths[self.edges].max())
@@ -215,11 +218,12 @@ class PieceModel:
         suffixes = _suffixes(packed[:count], 4, longest)
 
         # Pieces whose characters all occur, as symbols
-        codes = {chr(c): i + 1 for i, c in enumerate(alphabet.tolist()) if c < 0xD800 or c > 0xDFFF}
+        occurs = np.zeros(len(self.alphabet) + 2, dtype=bool)
+        occurs[symbols + 1] = True
         ids, keys = [], []
         for i in self.edges.tolist():
-            row = [codes.get(c, 0) for c in self.pieces[i]]
-            if all(row):
+            row = [self.symbol_of[c] for c in self.pieces[i]]
+            if all(occurs[x] for x in row):
                 ids.append(i)
                 keys.append(row + [0] * (4 * levels - len(row)))
         if not ids:

@@ -119,3 +119,31 @@ def test_whole_license_texts(spark):
     found = scan_licenses(documents(spark, list(expected)))
     rows = {r.doc_id: (r.labels, r.score) for r in found.collect()}
     assert [rows[i] for i in range(len(expected))] == list(expected.values())
+
+
+def test_titles_and_notices(spark):
+    gpl = """This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General
+    Public License as published by the Free Software Foundation, either version {} of the License, or (at your option)
+    any later version."""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+    compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+    Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+    on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+    the specific language governing permissions and limitations under the License."""
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+    not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    expected = {
+        "GNU General Public License version 3": ("gpl,gpl-3.0", 0.75),
+        "Licensed under the Apache License, Version 2.0": ("apache,apache-2.0", 0.75),
+        "Licensed under CC BY 4.0": ("cc-by,cc-by-4.0", 0.75),
+        gpl.format("program", "", 3): ("gpl,gpl-notice", 1.0),
+        gpl.format("library", "Lesser ", "2.1"): ("lgpl-notice", 1.0),
+        gpl.format("library", "Library ", "2"): ("lgpl-notice", 1.0),
+        gpl.format("program", "Affero ", 3): ("agpl-notice", 1.0),
+        apache: ("apache,apache-notice", 1.0),
+        apache.replace("WITHOUT WARRANTIES", "WITH WARRANTIES"): ("apache,apache-2.0", 0.75),
+        mpl: ("mpl-notice", 1.0),
+    }
+    found = scan_licenses(documents(spark, list(expected)))
+    rows = {r.doc_id: (r.labels, r.score) for r in found.collect()}
+    assert [rows[i] for i in range(len(expected))] == list(expected.values())

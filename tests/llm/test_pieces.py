@@ -45,6 +45,14 @@ def test_small_batches_and_a_full_table(library, monkeypatch):
         assert model.encode([text])[0].tolist() == library.encode(text)
 
 
+def test_more_characters_than_16_bits(library):
+    """One word of nearly all characters there are; most are in no piece."""
+    chars = [c for c in range(0x21, 0x2FFFF) if not 0xD800 <= c <= 0xDFFF and c != ord(pieces.SPACE)]
+    text = "".join(map(chr, chars[:80_000])) + "hello"
+    assert len(set(text)) > 66_000
+    assert pieces.PieceModel(PATH).encode([text])[0].tolist() == library.encode(text)
+
+
 def test_documents(spark, library):
     texts = ["Hello world", None, "", "日本 x", "Hello world"]
     docs = documents(spark, texts, "1 AS ids")
