@@ -8,7 +8,6 @@ word. Documents are never shuffled.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import partial, reduce
 from itertools import chain
@@ -25,25 +24,47 @@ WINDOW = 13
 #: Text of the benchmark that is broadcast at once.
 PART_BYTES = 32 << 20
 
-#: Items of each window by its words, and the hash index of each window size.
-Windows = tuple[dict[bytes, list[int]], dict[int, HashIndex]]
 
-
-def _windows(items: list[tuple[int | None, str | None]]) -> Windows:
-    """Items without words have no window; an item without an id counts in no list of items."""
-    owners: dict[bytes, set[int]] = defaultdict(set)
-    hashes: dict[int, list[np.ndarray]] = defaultdict(list)
-    for item_id, text in items:
-        words = words_of(pa.array([text], pa.string()), ALNUM)
-        count = len(words.hashes)
-        if not count:
-            continue
-        size = min(count, WINDOW)
-        hashes[size].append(words.window_hashes(size)[0])
-        for i in range(count - size + 1):
-            owners[words.text(i, i + size)].update(() if item_id is None else (item_id,))
-    index = {size: HashIndex(np.concatenate(found)) for size, found in hashes.items()}
-    return {window: sorted(ids) for window, ids in owners.items()}, index
+class Windows:
+    """The windows of some items: their words once, and by window size the sorted hashes with the
+    word at which each window begins. About six times as large as the texts."""
+
+    def __init__(self, items: list[tuple[int | None, str | None]]):
+        """Items without words have no window; an item without an id counts in no list of items."""
+        self.ids = [item_id for item_id, _ in items]
+        words = words_of(pa.array([text for _, text in items], pa.string()), ALNUM)
+        counts = np.diff(words.first)
+        self.first = words.first
+        self.index: dict[int, HashIndex] = {}
+        self._hashes: dict[int, np.ndarray] = {}
+        self._begins: dict[int, np.ndarray] = {}
+        for size in np.unique(np.minimum(counts[counts > 0], WINDOW)).tolist():
+            hashes, fits = words.window_hashes(size)
+            if size < WINDOW:  # whole items of that size
+                begins = words.first[:-1][counts == size]
+            else:
+                begins = np.flatnonzero(fits)
+            order = np.argsort(hashes[begins], kind="stable")
+            self._begins[size] = begins[order].astype(np.int32 if len(hashes) < 1 << 31 else np.int64)
+            self._hashes[size] = hashes[begins][order]
+            self.index[size] = HashIndex(self._hashes[size])
+        small = np.int32 if len(words.data) < 1 << 31 else np.int64
+        starts, ends = words.starts.astype(small), words.ends.astype(small)
+        self.words = Words(words.data, starts, ends, words.first, np.zeros(0, np.uint64))
+
+    def items(self, hashes: np.ndarray, size: int, texts: Callable[[int], bytes]) -> list[set | None]:
+        """For each hash the items that have the window `texts(i)`, None if it is no window."""
+        known, begins = self._hashes[size], self._begins[size]
+        low = np.searchsorted(known, hashes).tolist()
+        high = np.searchsorted(known, hashes, side="right").tolist()
+        found: list[set | None] = []
+        for i, (a, b) in enumerate(zip(low, high, strict=True)):
+            text = texts(i)
+            same = [x for x in begins[a:b].tolist() if self.words.text(x, x + size) == text]
+            owners = np.searchsorted(self.first, same, side="right") - 1
+            named = {self.ids[x] for x in owners.tolist()} - {None}
+            found.append(named if same else None)
+        return found
 
 
 def _parts(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
@@ -57,16 +78,18 @@ def _parts(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]
 
 def _find(words: Words, windows: Windows) -> tuple[np.ndarray, list[set[int]]]:
     """Which words are hit, and the items found in each text."""
-    owners, index = windows
     marks = np.zeros(len(words.hashes) + 1, dtype=np.int32)
     found: list[set[int]] = [set() for _ in words.first[1:]]
-    for size, known in index.items():
+    for size, known in windows.index.items():
         hashes, fits = words.window_hashes(size)
         places = known.places(hashes)
         places = places[fits[places]]
         texts = np.searchsorted(words.first, places, side="right") - 1
-        for place, text in zip(places.tolist(), texts.tolist(), strict=True):
-            items = owners.get(words.text(place, place + size))
+        starts = places.tolist()
+        owners = windows.items(
+            hashes[places], size, lambda i, at=starts, n=size: words.text(at[i], at[i] + n)
+        )
+        for place, text, items in zip(starts, texts.tolist(), owners, strict=True):
             if items is not None:
                 marks[place] += 1
                 marks[place + size] -= 1
@@ -123,7 +146,7 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     parts = _parts(benchmark)
     first, second = next(parts, []), next(parts, None)
     if second is None:
-        return _mapped(rows, _windows(first), _scan_run, _SCANNED)
+        return _mapped(rows, Windows(first), _scan_run, _SCANNED)
     # One pass for each part; the rows of a document are told apart by a number kept in a table.
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "scan-rows")
     merged = _scan_parts(rows.select("row", "text"), [first, second], parts)
@@ -133,8 +156,12 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _scan_parts(rows: DataFrame, begun: list, parts: Iterator) -> DataFrame:
     """What `scan` gives, by `row`, for a benchmark in several parts."""
     rows = rows.select(F.col("row").alias("doc_id"), "text")
-    passes = (_mapped(rows, _windows(part), _scan_run, _SCANNED) for part in chain(begun, parts))
-    found = stored(reduce(DataFrame.union, passes), "scan-parts")
+    # Each pass is written before the next part is broadcast.
+    passes = [
+        stored(_mapped(rows, Windows(part), _scan_run, _SCANNED), "scan-part")
+        for part in chain(begun, parts)
+    ]
+    found = reduce(DataFrame.union, passes)
     merged = found.groupBy(F.col("doc_id").alias("row")).agg(
         F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
@@ -229,7 +256,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     parts = _parts(benchmark)
     first, second = next(parts, []), next(parts, None)
     if second is None:
-        return _mapped(docs, _windows(first), partial(_clean_run, remove), docs.schema)
+        return _mapped(docs, Windows(first), partial(_clean_run, remove), docs.schema)
     rows = docs.select(F.struct("*").alias("whole"), F.monotonically_increasing_id().alias("row"))
     rows = stored(rows, "scan-rows")
     merged = _scan_parts(rows.select("row", "whole.text"), [first, second], parts)

@@ -204,12 +204,18 @@ class HashIndex:
         self.hashes = np.unique(hashes)
         size = max(16, int(len(self.hashes) * 64).bit_length())
         self._mask = np.uint64((1 << size) - 1)
-        self._bits = np.zeros(1 << size, dtype=bool)
-        self._bits[self.hashes & self._mask] = True
+        low = self.hashes & self._mask
+        self._bits = np.zeros(1 << (size - 3), dtype=np.uint8)  # eight to a byte
+        np.bitwise_or.at(self._bits, low >> np.uint64(3), self._bit(low))
+
+    @staticmethod
+    def _bit(low: np.ndarray) -> np.ndarray:
+        return np.uint8(1) << (low & np.uint64(7)).astype(np.uint8)
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Where in `hashes` a member stands."""
-        maybe = np.flatnonzero(self._bits[hashes & self._mask])
+        low = hashes & self._mask
+        maybe = np.flatnonzero(self._bits[low >> np.uint64(3)] & self._bit(low))
         if not len(maybe):
             return maybe
         found = np.searchsorted(self.hashes, hashes[maybe])
