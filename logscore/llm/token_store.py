@@ -38,6 +38,8 @@ from logscore.session import scratch_folder
 #: Text of one shard, about.
 SHARD_BYTES = 16 << 20
 KEYS_PER_PART = 100_000
+#: Places of records that are broadcast, 32 bytes each.
+BROADCAST_PLACES = 1_000_000
 #: Bits of a level for each key that is left.
 SPREAD = 2
 #: Chunks of a generation of those that a process keeps.
@@ -475,8 +477,9 @@ def read_payloads(store: TokenStore, keys: DataFrame, digests: bool = False) ->
     `doc_id`, `shard`, ids `before` it in the shard, `n_tokens` and the `ids` as 32-bit integers, or
     instead of them their `ids_crc32`.
 
-    Places are one row for each shard, which Spark broadcasts while they are few: then files go from
-    their scan to the task that reads the records, and a shard is read once for all keys in it.
+    Places are one row for each shard. Up to `BROADCAST_PLACES` they are broadcast: then files go from
+    their scan to the task that reads the records. Beyond, files and places are shuffled by shard. In
+    both cases a shard is read once for all keys in it.
     """
     spark, width = keys.sparkSession, store.width
     schema = _DIGESTS if digests else _READ
@@ -499,7 +502,10 @@ def read_payloads(store: TokenStore, keys: DataFrame, digests: bool = False) ->
                 if arrays:
                     yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    joined = _files(spark, store.folder).join(_located(store, keys), "shard")
+    places = _located(store, keys)
+    if (places.agg(F.sum(F.size("at"))).first()[0] or 0) <= BROADCAST_PLACES:
+        places = F.broadcast(places)
+    joined = _files(spark, store.folder).join(places, "shard")
     return joined.mapInArrow(work, schema)
 
 

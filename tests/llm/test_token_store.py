@@ -45,7 +45,9 @@ def test_perfect_hash_is_minimal():
         token_store.PerfectHash.build(np.array([5, 5]), np.array([0, 0]))
 
 
-def test_store(spark, library, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_store(spark, library, monkeypatch, broadcast):
+    monkeypatch.setattr(token_store, "BROADCAST_PLACES", broadcast)
     monkeypatch.setattr(token_store, "KEYS_PER_PART", 7)
     monkeypatch.setattr(token_store, "SHARD_BYTES", 60)
     texts = [(i * 3, f"text {i} " * (i % 5)) for i in range(40)]
