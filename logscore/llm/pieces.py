@@ -191,11 +191,23 @@ class PieceModel:
         place = np.concatenate([place, unknown])
         piece = np.concatenate([piece, np.full(len(unknown), _UNKNOWN)])
         lengths = np.where(piece == _UNKNOWN, 1, self.lengths[piece])
-        offset = place - np.repeat(starts, np.diff(np.append(starts, bounds[-1])))[place]
+        # A word falls apart where no piece goes across; its parts are worked on side by side.
+        long = np.flatnonzero(lengths > 1)
+        marks = np.zeros(len(points) + 1, dtype=np.int64)
+        np.add.at(marks, place[long] + 1, 1)
+        np.add.at(marks, place[long] + lengths[long], -1)
+        apart = np.cumsum(marks[:-1]) == 0
+        apart[bounds - 1] = False
+        apart[starts] = True
+        parts = np.flatnonzero(apart)
+        first = np.searchsorted(parts, starts)
+        last_of_word = np.repeat(bounds - 1, np.diff(np.append(first, len(parts))))
+        ends = np.minimum(np.append(parts[1:], len(points)), last_of_word)
+        offset = place - np.repeat(parts, np.diff(np.append(parts, len(points))))[place]
         order = np.argsort(offset, kind="stable")
         place, piece, lengths, offset = place[order], piece[order], lengths[order], offset[order]
         last = np.full(len(points) + 1, _NONE, dtype=np.int64)
-        last[starts] = _BEGIN
+        last[parts] = _BEGIN  # read in the first step, before a part that ends there writes it
         steps = np.searchsorted(offset, np.arange(offset[-1] + 2 if len(offset) else 1))
         for i, j in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
             before, own = last[place[i:j]], piece[i:j]
@@ -203,7 +215,7 @@ class PieceModel:
             check = np.flatnonzero((before >= 0) & (own >= 0))
             good[check] = self.stays(before[check], own[check])
             last[place[i:j][good] + lengths[i:j][good]] = own[good]
-        return self._collect(words, starts, bounds - 1, last)
+        return self._collect(text, first, parts, ends, last)
 
     def _edges(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and piece ids of all occurrences of pieces."""
@@ -236,9 +248,14 @@ class PieceModel:
         return suffixes[np.repeat(first, counts) + index], np.repeat(ids, counts)
 
     def _collect(
-        self, words: list[str], starts: np.ndarray, ends: np.ndarray, last: np.ndarray
+        self,
+        text: str,
+        first: np.ndarray,
+        starts: np.ndarray,
+        ends: np.ndarray,
+        last: np.ndarray,
     ) -> list[list[int]]:
-        """Read the pieces of all words from their ends back."""
+        """Read the pieces of all parts from their ends back; `first` are the first parts of words."""
         rows, found = [], []
         open_, at = np.flatnonzero(ends > starts), ends[ends > starts]
         while len(open_):
@@ -251,20 +268,20 @@ class PieceModel:
             on = at > starts[open_]
             open_, at = open_[on], at[on]
         if not rows:
-            return [[] for _ in words]
+            return [[] for _ in first]
         row, piece = np.concatenate(rows[::-1]), np.concatenate(found[::-1])
         order = np.argsort(row, kind="stable")
         row, piece = row[order], piece[order]
-        cuts = np.searchsorted(row, np.arange(len(words) + 1))
+        cuts = np.searchsorted(row, np.append(first, len(starts)))
         listed = piece.tolist()
         result = [listed[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        for i in np.unique(row[piece < 0]).tolist():
+        for i in np.unique(np.searchsorted(first, row[piece < 0], side="right") - 1).tolist():
             ids = []
             for x in result[i]:  # a character that is no piece is spelled in bytes
                 if x >= 0:
                     ids.append(x)
                     continue
-                char = words[i][-x - 1 - int(starts[i])].encode("utf-8", "surrogatepass")
+                char = text[-x - 1].encode("utf-8", "surrogatepass")
                 spelled = [self.bytes.get(byte) for byte in char]
                 ids += [self.processor.unk_id()] if None in spelled else spelled
             result[i] = ids
@@ -339,8 +356,9 @@ def model_at(path: str) -> PieceModel:
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` (array<int>) of each row; a null or empty text has no ids.
 
-    Reads `doc_id` and `text`; repeated rows are all returned, an empty table gives an empty result,
-    a very long text is worked on alone.
+    Reads `doc_id` and `text`; other columns are not touched. Repeated rows are all returned, with the
+    same ids; there are no ties, as BPE has one segmentation. An empty table gives an empty result, a
+    very long text is worked on alone.
     """
 
     def work(run: pa.RecordBatch) -> pa.RecordBatch:

@@ -438,7 +438,7 @@ def look_up(keys: DataFrame, index: DataFrame, parts: int) -> DataFrame:
 def write_store(docs: DataFrame, tokenizer: str) -> TokenStore:
     """Write shards and index below the shared folder.
 
-    Reads `doc_id` and `text`. A null or empty text has the end id alone; a null doc_id is a key
+    Reads `doc_id` and `text`; other columns are not touched. A null or empty text has the end id alone; a null doc_id is a key
     like others and comes first; repeated ids are told apart by their number in file order (by text).
     A very long text is worked on alone. An empty table gives a store without records.
     """

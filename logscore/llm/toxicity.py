@@ -446,8 +446,9 @@ def fit(rows: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: `doc_id`, `score` (0 to 1), `predicted` (1 from the threshold on).
 
-    Reads `doc_id` and `text`. A null text, or one without words, has score 0. Repeated rows get the
-    same score; a very long text is worked on alone, a few thousand windows at a time; an empty table
+    Reads `doc_id` and `text`; other columns are not touched. A null text, or one without words, has
+    score 0. Repeated rows get the same score, and so do texts that tie; a score of just `threshold` is
+    predicted toxic; a very long text is worked on alone, a few thousand windows at a time; an empty table
     gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

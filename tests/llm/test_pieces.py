@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -53,6 +54,17 @@ def test_more_characters_than_16_bits(library):
     assert pieces.PieceModel(PATH).encode([text])[0].tolist() == library.encode(text)
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "aB3/+xyzé日本\U0001f600"])
+def test_long_word(library, letters):
+    """A word without a space falls into parts, so that it does not take a step for each character."""
+    rng = random.Random(3)
+    text = "".join(rng.choice(letters) for _ in range(100_000))
+    model = pieces.PieceModel(PATH)
+    start = time.perf_counter()
+    assert model.encode([text, "a", text[:50]])[0].tolist() == library.encode(text)
+    assert time.perf_counter() - start < 5
+
+
 def test_documents(spark, library):
     texts = ["Hello world", None, "", "日本 x", "Hello world"]
     docs = documents(spark, texts, "1 AS ids")
