@@ -1,9 +1,10 @@
 """Benchmark decontamination: test n-grams as a broadcast hash set, scanned over training windows.
 
 The windows of the benchmark (13 words; a shorter item is one window) are hashed on the driver and
-broadcast. A benchmark above `PART_BYTES` is worked on in parts of about that size, one pass over
-the documents each, so that what is broadcast never grows with it. Hash hits are verified word by
-word. Documents are never shuffled.
+broadcast as sorted arrays beside its words, about six times its size. A benchmark above `PART_BYTES`
+is worked on in parts of about that size, one pass over the documents each, and one after the other,
+so that what is broadcast never grows with it. Hash hits are verified word by word. Documents are
+never shuffled.
 """
 
 from __future__ import annotations
@@ -249,7 +250,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     `remove="documents"` drops each document of which at least a twentieth of the words is hit;
     "spans" keeps all documents and cuts the hit words, with what stands between them, out of their
-    text. Null and empty texts stay.
+    text. Null and empty texts stay, whatever other columns there are and are named. An empty benchmark
+    removes nothing, an empty table gives an empty result.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
