@@ -1,7 +1,7 @@
 """Benchmark decontamination: test n-grams as a broadcast hash set, scanned over training windows.
 
 The windows of the benchmark (13 words; a shorter item is one window) are hashed on the driver and
-broadcast as sorted arrays beside its words, about six times its size. A benchmark above `PART_BYTES`
+broadcast as sorted arrays beside its words, about eight times its size. A benchmark above `PART_BYTES`
 is worked on in parts of about that size, one pass over the documents each, and one after the other,
 so that what is broadcast never grows with it. Hash hits are verified word by word. Documents are
 never shuffled.
@@ -28,7 +28,7 @@ PART_BYTES = 32 << 20
 
 class Windows:
     """The windows of some items: their words once, and by window size the sorted hashes with the
-    word at which each window begins. About six times as large as the texts."""
+    word at which each window begins. About eight times as large as the texts, pickled."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         """Items without words have no window; an item without an id counts in no list of items."""
