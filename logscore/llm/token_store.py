@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from logscore.llm.kept import Kept
 from logscore.llm.stored import stored
-from logscore.llm.words import by_run, mix
+from logscore.llm.words import buffer_of, by_run, mix
 from logscore.session import scratch_folder
 
 #: Text of one shard, about.
@@ -48,12 +48,13 @@ KEPT_CHUNKS = 300_000
 END_ID = 0
 _HEADER = "<qBI"
 _HEADER_BYTES = struct.calcsize(_HEADER)
+_BLANK = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]"
 #: White space before a space that white space or the end follows: there a cut could part a token.
-_UNSAFE = re.compile(r"\s (?=\s|\Z)")
+_UNSAFE = f"{_BLANK} ({_BLANK}|$)"
 #: Marks that are cut from the word before them, and parts of words that are not cut.
 _MARKS = ".,;:!?"
 _MARKED = r"\p{L}[.,;:!?]$"
-_ODD = r"^$|[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]"
+_ODD = f"^$|{_BLANK}"
 _WORDS_AT_ONCE = 4096
 
 
@@ -152,15 +153,15 @@ class Encoder:
         keys = pc.if_else(pa.array(later), pc.binary_join_element_wise("\n", bare, ""), bare)
         coded = keys.dictionary_encode()
         whole = np.flatnonzero(odd)
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
         names += [" " + word for word in words.take(pa.array(whole)).to_pylist()]
         ids = self._ids_of(names)
         # Marks are units behind the others.
-        last = [part[-1] for part in parts.filter(pa.array(marked)).to_pylist()]
-        mark_ids = {mark: len(ids) + i for i, mark in enumerate(_MARKS)}
+        data, offsets = buffer_of(parts)
+        mark_ids = np.zeros(256, dtype=np.int64)
+        mark_ids[list(_MARKS.encode())] = len(ids) + np.arange(len(_MARKS))
         ids += self._marks
-        sizes = np.zeros(len(words), dtype=np.int64)
-        np.add.at(sizes, owner, 1 + marked)
+        sizes = np.bincount(owner, 1 + marked, len(words)).astype(np.int64)
         sizes[whole] = 1
         first = np.cumsum(sizes) - sizes
         units = np.empty(int(sizes.sum()), dtype=np.int64)
@@ -171,7 +172,7 @@ class Encoder:
         base = np.repeat(step[start], np.diff(np.append(start, len(owner))))
         at = first[owner] + step - base
         units[at] = coded.indices.to_numpy()
-        units[at[marked] + 1] = [mark_ids[mark] for mark in last]
+        units[at[marked] + 1] = mark_ids[data[offsets[1:][marked] - 1]]
         return sizes, units, ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -187,9 +188,9 @@ class Encoder:
         """
         self.chunks.turn()
         texts = pc.fill_null(texts, "")
-        strings = texts.to_pylist()
-        whole = np.array([bool(_UNSAFE.search(text)) for text in strings], dtype=bool)
-        words = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        unsafe = pc.match_substring_regex(texts, _UNSAFE)
+        whole = unsafe.to_numpy(zero_copy_only=False)
+        words = pc.split_pattern(pc.if_else(unsafe, "", texts), " ")
         first = words.offsets.to_numpy().astype(np.int64)
         first -= first[0] if len(first) else 0
         flat = words.flatten()
@@ -214,10 +215,10 @@ class Encoder:
         bounds = np.append(0, ends)[first]
         if not whole.any():
             return ids, np.diff(bounds)
-        wholes = iter(self._encoded([strings[i] for i in np.flatnonzero(whole)]))
+        wholes = iter(self._encoded(texts.filter(unsafe).to_pylist()))
         parts = [
             np.frombuffer(next(wholes), dtype="<u4") if whole[i] else ids[bounds[i] : bounds[i + 1]]
-            for i in range(len(strings))
+            for i in range(len(texts))
         ]
         return np.concatenate(parts), np.array([len(part) for part in parts], dtype=np.int64)
 
