@@ -146,7 +146,7 @@ def test_latest_row_of_a_user(spark, tmp_path):
 
 
 def test_features_dealt_once_need_no_exchange(spark, sample):
-    kept = ops.by_user(sample)
+    kept = ops.by_user(spark.createDataFrame(sample.collect(), sample.schema))
     kept.count()
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(threshold, "-1")
