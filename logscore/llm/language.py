@@ -34,6 +34,8 @@ ORDER = 3
 ROWS_PER_LANGUAGE = 2000
 #: Code lengths that a process keeps, by four bytes.
 KEPT_CODES = 1_000_000
+#: Code lengths that are worked out at once.
+CODES_AT_ONCE = 1 << 15
 #: Bytes of a text, however long, that are worked on at once.
 CHUNK_BYTES = 1 << 20
 #: Languages whose row counts are broadcast.
@@ -144,8 +146,11 @@ class Model:
         found[known] = self._bits[place[known]]
         new = codes[~known]
         if len(new):
-            wide = new.astype(np.int64)
-            made = np.column_stack([code_lengths(tree, wide) for tree in self.trees])
+            made = np.empty((len(new), len(self.trees)), dtype=np.float32)
+            for begin in range(0, len(new), CODES_AT_ONCE):
+                part = new[begin : begin + CODES_AT_ONCE].astype(np.int64)
+                for k, tree in enumerate(self.trees):
+                    made[begin : begin + CODES_AT_ONCE, k] = code_lengths(tree, part)
             found[~known] = made
             if len(self._codes) + len(new) > KEPT_CODES:
                 self._codes, self._bits = codes, found

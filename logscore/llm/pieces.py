@@ -192,11 +192,11 @@ class PieceModel:
         piece = np.concatenate([piece, np.full(len(unknown), _UNKNOWN)])
         lengths = np.where(piece == _UNKNOWN, 1, self.lengths[piece])
         # A word falls apart where no piece goes across; its parts are worked on side by side.
-        long = np.flatnonzero(lengths > 1)
-        marks = np.zeros(len(points) + 1, dtype=np.int64)
-        np.add.at(marks, place[long] + 1, 1)
-        np.add.at(marks, place[long] + lengths[long], -1)
-        apart = np.cumsum(marks[:-1]) == 0
+        reach = np.ones(len(points), dtype=np.int64)
+        np.maximum.at(reach, place, lengths)
+        reach += np.arange(len(points))
+        apart = np.append(True, np.maximum.accumulate(reach)[:-1] <= np.arange(1, len(points)))
+        del reach
         apart[bounds - 1] = False
         apart[starts] = True
         parts = np.flatnonzero(apart)
