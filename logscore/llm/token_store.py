@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,7 +29,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logscore.llm.kept import Kept
 from logscore.llm.stored import stored
 from logscore.llm.words import buffer_of, by_run, mix
 from logscore.session import scratch_folder
@@ -42,8 +40,9 @@ KEYS_PER_PART = 100_000
 BROADCAST_PLACES = 1_000_000
 #: Bits of a level for each key that is left.
 SPREAD = 2
-#: Chunks of a generation of those that a process keeps.
-KEPT_CHUNKS = 300_000
+#: Units that a process keeps with their ids, and bytes of the longest that is kept.
+KEPT_UNITS = 400_000
+KEPT_BYTES = 64
 
 END_ID = 0
 _HEADER = "<qBI"
@@ -51,20 +50,67 @@ _HEADER_BYTES = struct.calcsize(_HEADER)
 _BLANK = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}]"
 #: White space before a space that white space or the end follows: there a cut could part a token.
 _UNSAFE = f"{_BLANK} ({_BLANK}|$)"
-#: Marks that are cut from the word before them, and parts of words that are not cut.
+#: White space beyond ASCII, and the bytes that characters of it may begin with.
+_WIDE_BLANK = r"[\p{Z}\x{85}]"
+_WIDE_FIRST = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+#: White space of one byte other than the space and the line end.
+_NARROW_BLANK = np.isin(np.arange(256), [0x09, *range(0x0B, 0x0E), *range(0x1C, 0x20)])
+#: Marks that are cut from the word before them.
 _MARKS = ".,;:!?"
 _MARKED = r"\p{L}[.,;:!?]$"
-_ODD = f"^$|{_BLANK}"
-_WORDS_AT_ONCE = 4096
+_IS_MARK = np.isin(np.arange(256), list(_MARKS.encode()))
+_IS_LETTER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+_LINE_END = 0x0A
+_UNITS_AT_ONCE = 512
+
+
+class Units:
+    """Units of text and their ids, in Arrow and numpy arrays; no Python object for each.
+
+    When more than `limit` are kept, those that were not asked for again since the last time are
+    forgotten, and where that leaves more than half, the older ones. Units of more than `KEPT_BYTES`
+    bytes are not kept.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.units = pa.array([], pa.string())
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+        self.again = np.zeros(0, dtype=bool)
+
+    def __len__(self) -> int:
+        return len(self.units)
+
+    def places(self, units: pa.Array) -> np.ndarray:
+        """The number of each unit, or -1."""
+        found = pc.fill_null(pc.index_in(units, value_set=self.units), -1).to_numpy()
+        self.again[found[found >= 0]] = True
+        return found.astype(np.int64)
+
+    def add(self, units: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Keep new units with how many ids each has, and the ids."""
+        short = pc.binary_length(units).to_numpy() <= KEPT_BYTES
+        if not short.all():
+            units, ids, sizes = units.filter(pa.array(short)), ids[np.repeat(short, sizes)], sizes[short]
+        self.units = pa.concat_arrays([self.units, units])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        self.again = np.append(self.again, np.zeros(len(units), dtype=bool))
+        if len(self) > self.limit:
+            keep = np.flatnonzero(self.again)[-(self.limit // 2) :]
+            starts = np.cumsum(self.sizes) - self.sizes
+            self.units, self.ids = self.units.take(pa.array(keep)), self.ids[_ranges(starts[keep], self.sizes[keep])]
+            self.sizes, self.again = self.sizes[keep], np.zeros(len(keep), dtype=bool)
 
 
 class Encoder:
     """Encodes texts as the tokenizer does, but each word only once.
 
-    Texts are cut before single spaces into chunks. The tokenizer's own pattern always begins a new
+    Texts are cut before single spaces into words. The tokenizer's own pattern always begins a new
     token there, unless white space stands on both sides of a space; such texts are encoded whole.
-    New chunks go to the tokenizer many at once, as one text, and its ids are dealt to the chunks by
-    their lengths in bytes.
+    Words are cut into units. New units go to the tokenizer many at once, as one text, and its ids are
+    dealt to the units by their lengths in bytes.
     """
 
     def __init__(self, path: str):
@@ -79,101 +125,68 @@ class Encoder:
             self.sizes[i] = len(token)
         for i, token in added.items():
             self.sizes[i] = len(token.content.encode())
-        self.chunks = Kept(KEPT_CHUNKS)
-        self._marks = self._encoded(list(_MARKS))
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _encoded_words(self, words: list[str]) -> list[bytes]:
-        """The ids of words that begin with a space, by themselves; many are encoded as one text."""
-        found: list[bytes] = []
-        for begin in range(0, len(words), _WORDS_AT_ONCE):
-            part = words[begin : begin + _WORDS_AT_ONCE]
-            ids = np.frombuffer(self._encoded(["".join(part)])[0], dtype="<u4")
-            ends = np.cumsum([len(word.encode()) for word in part])
-            reached = np.cumsum(self.sizes[ids])
+        self.known = Units(KEPT_UNITS)
+        self.marks = self._encoded(list(_MARKS))
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and the ids."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [np.zeros(0, dtype="<u4"), *(np.array(x, dtype="<u4") for x in found)]
+        return np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(ids)
+
+    def _encoded_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As `_encoded`, for units that begin with a space or a line end; many are encoded as one text."""
+        data, offsets = buffer_of(units)
+        sizes, ids = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype="<u4")]
+        for begin in range(0, len(units), _UNITS_AT_ONCE):
+            ends = offsets[begin + 1 : begin + 1 + _UNITS_AT_ONCE]
+            text = data[offsets[begin] : ends[-1]].tobytes().decode()
+            _, found = self._encoded([text])
+            reached = np.cumsum(self.sizes[found]) + offsets[begin]
             cuts = np.searchsorted(reached, ends) + 1
-            if len(ids) != cuts[-1] or (reached[cuts - 1] != ends).any():
-                found += self._encoded(part)
-                continue
-            whole, at = ids.tobytes(), 0
-            for cut in (4 * cuts).tolist():
-                found.append(whole[at:cut])
-                at = cut
-        return found
-
-    def _ids_of(self, keys: list[str]) -> list[bytes]:
-        """The ids of units, from those known or else from the tokenizer.
-
-        A key that begins with a line end is a unit as it stands, others follow a space. A key that
-        begins with a space is a chunk with white space of its own, which is encoded alone.
-        """
-        chunks = self.chunks
-        found = list(map(chunks.get, keys))
-        unknown = [i for i, ids in enumerate(found) if ids is None]
-        if chunks.old:
-            old = chunks.old.get
-            for i in unknown:
-                if (ids := old(keys[i])) is not None:
-                    found[i] = chunks[keys[i]] = ids
-            unknown = [i for i in unknown if found[i] is None]
-        for alone in (False, True):
-            some = [i for i in unknown if (keys[i][0] == " ") is alone]
-            new = [keys[i] for i in some]
-            if alone:
-                learned = self._encoded(new) if new else []
+            if len(found) == cuts[-1] and (reached[cuts - 1] == ends).all():
+                counts = np.diff(cuts, prepend=0)
             else:
-                learned = self._encoded_words([k if k[0] == "\n" else " " + k for k in new])
-            chunks.update(zip(new, learned, strict=True))
-            for i, ids in zip(some, learned, strict=True):
-                found[i] = ids
-        return found
-
-    def _units(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Different words in units: how many each has, their numbers, and the ids of the units.
-
-        A word is cut at the line ends in it and before a mark that ends a word. Words with other
-        white space, or at whose line ends more than one stands, are units whole.
+                counts, found = self._encoded(units.slice(begin, len(ends)).to_pylist())
+            sizes.append(counts)
+            ids.append(found)
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _ids_of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words that follow a space: where those of each begin, how many, and the ids.
+
+        A word is cut before the line ends in it and before a mark that ends a part. Words with other
+        white space, or at whose line ends more than one stands, are units whole; their names begin
+        with the space. Other names do not: a unit that begins with a line end stands as it is, and all
+        others follow a space.
         """
-        listed = pc.split_pattern(words, "\n")
-        parts = listed.flatten()
-        begins = listed.offsets.to_numpy().astype(np.int64)
-        owner = np.repeat(np.arange(len(words)), np.diff(begins))
-        odd_part = pc.match_substring_regex(parts, _ODD).to_numpy(zero_copy_only=False)
-        odd = np.zeros(len(words), dtype=bool)
-        odd[owner[odd_part]] = True
-        keep = np.flatnonzero(~odd[owner])
-        parts, owner = parts.take(pa.array(keep)), owner[keep]
-        later = keep > begins[owner]
-        marked = pc.match_substring_regex(parts, _MARKED).to_numpy(zero_copy_only=False)
-        bare = pc.replace_substring_regex(parts, r"[.,;:!?]$", "", max_replacements=1)
-        bare = pc.if_else(pa.array(marked), bare, parts)
-        keys = pc.if_else(pa.array(later), pc.binary_join_element_wise("\n", bare, ""), bare)
-        coded = keys.dictionary_encode()
-        whole = np.flatnonzero(odd)
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
-        names += [" " + word for word in words.take(pa.array(whole)).to_pylist()]
-        ids = self._ids_of(names)
-        # Marks are units behind the others.
-        data, offsets = buffer_of(parts)
-        mark_ids = np.zeros(256, dtype=np.int64)
-        mark_ids[list(_MARKS.encode())] = len(ids) + np.arange(len(_MARKS))
-        ids += self._marks
-        sizes = np.bincount(owner, 1 + marked, len(words)).astype(np.int64)
-        sizes[whole] = 1
-        first = np.cumsum(sizes) - sizes
-        units = np.empty(int(sizes.sum()), dtype=np.int64)
-        units[first[whole]] = len(coded.dictionary) + np.arange(len(whole))
-        # Parts stand in order, so their units follow one another within a word.
-        step = np.cumsum(1 + marked) - (1 + marked)
-        start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
-        base = np.repeat(step[start], np.diff(np.append(start, len(owner))))
-        at = first[owner] + step - base
-        units[at] = coded.indices.to_numpy()
-        units[at[marked] + 1] = mark_ids[data[offsets[1:][marked] - 1]]
-        return sizes, units, ids
+        odd = _odd_words(words)
+        good, whole = words.filter(pa.array(~odd)), words.filter(pa.array(odd))
+        counts, numbers, parts = _cut_words(good)
+        names = pa.concat_arrays([parts, pc.binary_join_element_wise(" ", whole, "").cast(pa.string())])
+        found = self.known.places(names)
+        new = np.flatnonzero(found < 0)
+        found[new] = len(self.known) + np.arange(len(new))
+        joined, alone = (names.take(pa.array(x)) for x in (new[new < len(parts)], new[new >= len(parts)]))
+        before = pc.if_else(pc.starts_with(joined, "\n"), "", " ")
+        made = [
+            self._encoded_units(pc.binary_join_element_wise(before, joined, "")),
+            self._encoded(alone.to_pylist()),
+        ]
+        new_sizes, new_ids = (np.concatenate(x) for x in zip(*made, strict=True))
+        sizes = np.concatenate([self.known.sizes, new_sizes, self.marks[0]])
+        table = np.concatenate([self.known.ids, new_ids, self.marks[1]])
+        self.known.add(pa.concat_arrays([joined, alone]), new_sizes, new_ids)
+        # Marks are numbered behind the parts, and words that are units whole stand behind the others.
+        marks = len(sizes) - len(_MARKS) + np.arange(len(_MARKS))
+        numbers = np.append(np.append(found[: len(parts)], marks)[numbers], found[len(parts) :])
+        starts = np.cumsum(sizes) - sizes
+        bounds = np.cumsum(np.append(0, sizes[numbers]))
+        bounds = bounds[np.cumsum(np.concatenate([[0], counts, np.ones(len(whole), dtype=np.int64)]))]
+        order = np.append(np.flatnonzero(~odd), np.flatnonzero(odd))
+        begins, lengths = np.empty((2, len(words)), dtype=np.int64)
+        begins[order], lengths[order] = bounds[:-1], np.diff(bounds)
+        return begins, lengths, table[_ranges(starts[numbers], sizes[numbers])]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; of a null none."""
@@ -184,9 +197,8 @@ class Encoder:
         """The ids of all texts, one after the other, and how many each has; a null has none.
 
         Words are told apart by Arrow, and the ids of a word are copied to where it stands by numpy:
-        Python touches each different word of the texts once.
+        Python touches no word by itself.
         """
-        self.chunks.turn()
         texts = pc.fill_null(texts, "")
         unsafe = pc.match_substring_regex(texts, _UNSAFE)
         whole = unsafe.to_numpy(zero_copy_only=False)
@@ -194,39 +206,91 @@ class Encoder:
         first = words.offsets.to_numpy().astype(np.int64)
         first -= first[0] if len(first) else 0
         flat = words.flatten()
-        # The first word of a text has no space before it. It is no chunk like the others.
+        # The first word of a text has no space before it. It is no word like the others.
         heads = flat.take(pa.array(first[:-1])).to_pylist()
         rest = np.ones(len(flat), dtype=bool)
         rest[first[:-1]] = False
         coded = flat.filter(pa.array(rest)).dictionary_encode()
-        counts, units, known = self._units(coded.dictionary)
-        # The heads are words of one unit each, behind the others.
-        counts = np.append(counts, np.ones(len(heads), dtype=np.int64))
-        units = np.append(units, len(known) + np.arange(len(heads)))
-        known += self._encoded(heads)
-        place = np.empty(len(flat), dtype=np.int64)
+        begins, lengths, table = self._ids_of_words(coded.dictionary)
+        # The heads are words behind the others.
+        head_lengths, head_ids = self._encoded(heads)
+        begins = np.append(begins, len(table) + np.cumsum(head_lengths) - head_lengths)
+        lengths, table = np.append(lengths, head_lengths), np.append(table, head_ids)
+        place = np.empty(len(flat), dtype=np.int32)
         place[rest] = coded.indices.to_numpy()
         place[first[:-1]] = len(coded.dictionary) + np.arange(len(heads))
-        table = np.frombuffer(b"".join(known), dtype="<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        of_word = units[_ranges((np.cumsum(counts) - counts)[place], counts[place])]
-        ids = table[_ranges((np.cumsum(sizes) - sizes)[of_word], sizes[of_word])]
-        ends = np.cumsum(np.append(0, sizes[of_word]))[np.cumsum(counts[place])]
-        bounds = np.append(0, ends)[first]
+        del words, flat, rest, coded
+        lengths = lengths[place]
+        ids = table[_ranges(begins[place], lengths)]
+        bounds = np.cumsum(np.append(0, lengths))[first]
         if not whole.any():
             return ids, np.diff(bounds)
-        wholes = iter(self._encoded(texts.filter(unsafe).to_pylist()))
-        parts = [
-            np.frombuffer(next(wholes), dtype="<u4") if whole[i] else ids[bounds[i] : bounds[i + 1]]
-            for i in range(len(texts))
-        ]
+        wholes = self._encoded(texts.filter(unsafe).to_pylist())
+        wholes = iter(np.split(wholes[1], np.cumsum(wholes[0])[:-1]))
+        parts = [next(wholes) if whole[i] else ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
         return np.concatenate(parts), np.array([len(part) for part in parts], dtype=np.int64)
 
 
+def _odd_words(words: pa.Array) -> np.ndarray:
+    """Which words are empty, have white space but line ends, or more than one where a line ends."""
+    data, offsets = buffer_of(words)
+    odd = np.diff(offsets) == 0
+    line = data == _LINE_END
+    bad = _NARROW_BLANK[data]
+    bad[1:] |= line[1:] & line[:-1]
+    edges = np.append(offsets[:-1][~odd], offsets[1:][~odd] - 1)
+    bad[edges] |= line[edges]
+    odd[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = True
+    maybe = np.unique(np.searchsorted(offsets, np.flatnonzero(_WIDE_FIRST[data]), side="right") - 1)
+    wide = pc.match_substring_regex(words.take(pa.array(maybe)), _WIDE_BLANK)
+    odd[maybe[wide.to_numpy(zero_copy_only=False)]] = True
+    return odd
+
+
+def _cut_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Cut words that are not odd: how many units each has, the numbers of the units, and the units.
+
+    Each mark is a unit, too, behind the others. Line ends stand at the beginning of units.
+    """
+    data, offsets = buffer_of(words)
+    is_start = data == _LINE_END
+    is_start[offsets[:-1]] = True
+    starts = np.flatnonzero(is_start)
+    ends = np.append(starts[1:], len(data)) if len(starts) else starts
+    last, before = data[ends - 1], data[ends - 2]
+    marked = _IS_MARK[last] & (ends - starts > 1) & (_IS_LETTER[before] | (before >= 0x80))
+    unsure = np.flatnonzero(marked & (before >= 0x80))
+    if len(unsure):
+        wide = _strings(data, np.append(starts, len(data))).take(pa.array(unsure))
+        marked[unsure] = pc.match_substring_regex(wide, _MARKED).to_numpy(zero_copy_only=False)
+    stays = np.ones(len(data), dtype=bool)
+    stays[ends[marked] - 1] = False
+    coded = _strings(data[stays], np.append(0, ends - np.cumsum(marked))).dictionary_encode()
+    mark_numbers = np.zeros(256, dtype=np.int64)
+    mark_numbers[list(_MARKS.encode())] = len(coded.dictionary) + np.arange(len(_MARKS))
+    # Units stand in order, each with its mark behind it.
+    at = np.cumsum(np.append(0, 1 + marked.astype(np.int64)))
+    numbers = np.empty(int(at[-1]), dtype=np.int64)
+    numbers[at[:-1]] = coded.indices.to_numpy()
+    numbers[at[:-1][marked] + 1] = mark_numbers[last[marked]]
+    counts = np.diff(at[np.searchsorted(starts, offsets)])
+    return counts, numbers, coded.dictionary
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts that follow one another in `data`."""
+    ends = pa.py_buffer(offsets.astype(np.int32))
+    return pa.StringArray.from_buffers(len(offsets) - 1, ends, pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[i], starts[i] + 1, ... counts[i] numbers, for all i."""
     before = np.cumsum(counts) - counts
-    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
+    total = int(counts.sum())
+    kind = np.int32 if max(total, starts.max(initial=0)) < 1 << 31 else np.int64
+    found = np.repeat((starts - before).astype(kind), counts)
+    found += np.arange(total, dtype=kind)
+    return found
 
 
 @lru_cache(maxsize=2)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,6 +30,50 @@ def test_chunks_give_the_same_ids(library):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_units_that_were_forgotten_give_the_same_ids(library, monkeypatch):
+    monkeypatch.setattr(token_store, "KEPT_UNITS", 50)
+    monkeypatch.setattr(token_store, "KEPT_BYTES", 8)
+    monkeypatch.setattr(token_store, "_UNITS_AT_ONCE", 7)
+    rng = random.Random(3)
+    encoder = token_store.Encoder(PATH)
+    letters = ["a", "b", "é", "ß", "中", "ﬁ", "\u0301", "1", "'s", ".", "?", "。", "\n", "\t", "\xa0", "\x85", "\u2003", "\x1c", "²", " "]
+    for _ in range(20):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(100)]
+        texts += ["long" * 30 + " " + "long" * 30 + ". x\n", "", None]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+        assert len(encoder.known) <= 50 and "long" * 30 not in encoder.known.units.to_pylist()
+    assert encoder.encode([]) == []
+
+
+def test_units_asked_for_again_are_kept():
+    known = token_store.Units(6)
+    units = pa.array(["a", "b", "c", "d"])
+    known.add(units, np.array([1, 0, 2, 1]), np.array([5, 6, 7, 8], "<u4"))
+    assert known.places(pa.array(["x", "c", "b"])).tolist() == [-1, 2, 1]
+    known.add(pa.array(["e", "f", "g"]), np.array([1, 1, 1]), np.array([1, 2, 3], "<u4"))
+    assert known.units.to_pylist() == ["b", "c"]
+    assert known.sizes.tolist() == [0, 2] and known.ids.tolist() == [6, 7]
+
+
+def test_words_take_no_python_call_each():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(20_000)]
+    texts = pa.array([" ".join(words)])
+    encoder, calls = token_store.Encoder(PATH), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        encoder.encode_column(texts)
+    finally:
+        sys.setprofile(None)
+    assert calls < len(words) / 4
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(2)
     ids = np.unique(rng.integers(-(1 << 62), 1 << 62, 20_000))
