@@ -116,5 +116,44 @@ def test_repeated_and_null_ids(spark):
     assert found(repeats.cut_repeats(documents(spark, rows))) == brute(rows, 50)
 
 
+def shuffled(df) -> int:
+    """Bytes that the shuffles of a query have written; one that is read twice counts once."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "ShuffleExchangeExec":
+            total += node.metrics().get("shuffleBytesWritten").get().value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_text_that_many_parts_have_is_not_sent_by_each(spark):
+    """Shuffles stay below the text, though all parts share most of it in other surroundings."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(4000)]
+    passage = " ".join(words)
+    rows = [(i, f"{' '.join(rng.choices(words, k=20))} {passage}") for i in range(24)]
+    result = repeats.cut_repeats(documents(spark, rows), part_bytes=64 << 10)
+    assert shuffled(result) < sum(len(text) for _, text in rows)
+    kept = {r.doc_id: len(r.kept) for r in result.collect()}
+    assert kept[0] == len(rows[0][1]) and all(kept[i] <= 130 for i in range(1, 24))
+
+
+def test_far_ids_in_many_parts(spark, monkeypatch):
+    """Ids that need all their bits, the same ones in several parts, some anchors split by window."""
+    monkeypatch.setattr(repeats, "HOT_PIECES", 2)
+    rng = random.Random(6)
+    ids = [-(1 << 61), -7, 0, 3, 1 << 40, 1 << 61]
+    rows = [(rng.choice(ids), text) for text in texts(6)]
+    result = repeats.cut_repeats(documents(spark, rows), part_bytes=3000)
+    assert found(result) == brute(rows, 50)
+
+
 def test_empty_table(spark):
     assert repeats.cut_repeats(documents(spark, []).where("false")).collect() == []
